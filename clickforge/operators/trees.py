@@ -197,17 +197,23 @@ def tree_margin(df: DataFrame, model: TreeEnsemble, features, output: str = "mar
         margin = per_class[0] if k == 1 else F.array(*per_class)
         return work.withColumn(output, margin).drop(*extra)
     work = tree_leaf(df, model, features, "__leaves", method="arrow")
+    return margin_from_leaves(work, model, "__leaves", output).drop("__leaves")
+
+
+def margin_from_leaves(df: DataFrame, model: TreeEnsemble, leaves: str = "leaves", output: str = "margin") -> DataFrame:
+    """Append the margin of rows whose leaves are known already."""
+    k = model.num_class
     table = _leaf_values(model)
-    values = F.transform("__leaves", lambda leaf, t: F.get(F.get(table, t), leaf))
+    values = F.transform(leaves, lambda leaf, t: F.get(F.get(table, t), leaf))
+
+    def total(parts: Column) -> Column:
+        return F.aggregate(parts, F.lit(0.0), lambda acc, v: acc + v)
+
     if k == 1:
-        margin = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
-    else:
-        margin = F.transform(
-            F.sequence(F.lit(0), F.lit(k - 1)),
-            lambda c: F.aggregate(
-                F.filter(values, lambda _, i: i % k == c), F.lit(0.0), lambda acc, v: acc + v),
-        )
-    return work.withColumn(output, margin).drop("__leaves")
+        return df.withColumn(output, total(values))
+    per_class = F.transform(
+        F.sequence(F.lit(0), F.lit(k - 1)), lambda c: total(F.filter(values, lambda _, i: i % k == c)))
+    return df.withColumn(output, per_class)
 
 
 def softmax(margins: str | Column) -> Column:
@@ -373,18 +379,26 @@ def node_ancestors(spark: SparkSession, model: TreeEnsemble) -> DataFrame:
     return spark.createDataFrame(rows, "tree int, leaf int, node int, leaf_value double")
 
 
-def node_mean(df: DataFrame, model: TreeEnsemble, leaves: str = "leaves", hessian: str | Column = "hess") -> DataFrame:
-    """``(tree, node, mean)``: hessian-weighted mean of the leaf values below each node."""
-    weight = F.col(hessian) if isinstance(hessian, str) else hessian
+def node_sums(df: DataFrame, model: TreeEnsemble, leaves: str = "leaves", hessian: str = "hess") -> DataFrame:
+    """``(tree, node, sum_hess, mean)`` of the rows that pass each node.
+
+    ``mean`` is the hessian-weighted mean of the leaf values below the node. Rows are summed per
+    leaf first; sums are additive along the path, so no recursion is needed.
+    """
     per_leaf = (
-        df.select(weight.alias("__h"), F.posexplode(leaves).alias("tree", "leaf"))
+        df.select(F.col(hessian).alias("__h"), F.posexplode(leaves).alias("tree", "leaf"))
         .groupBy("tree", "leaf").agg(F.sum("__h").alias("__h"))
     )
     paths = node_ancestors(df.sparkSession, model)
     return (
         per_leaf.join(F.broadcast(paths), ["tree", "leaf"])
         .groupBy("tree", "node")
-        .agg(F.try_divide(F.sum(F.col("__h") * F.col("leaf_value")), F.sum("__h")).alias("mean"))
+        .agg(F.sum("__h").alias("sum_hess"),
+             F.try_divide(F.sum(F.col("__h") * F.col("leaf_value")), F.sum("__h")).alias("mean"))
     )
 
 
+def with_cover(model: DataFrame, sums: DataFrame) -> DataFrame:
+    """The model table with ``sum_hess`` replaced by the sums over given rows."""
+    found = sums.select("tree", "node", F.col("sum_hess").alias("__h"))
+    return model.join(F.broadcast(found), ["tree", "node"], "left").withColumn("sum_hess", F.col("__h")).drop("__h")
