@@ -56,7 +56,7 @@ def sqrt_shape(x: Column) -> Column:
 
 def domain_transform(rate: Column, shape: Shape = linear_shape) -> Column:
     """Clamp a rate to its window, stretch the window to [0, 1] and bend it by ``shape``."""
-    clamped = F.least(F.greatest(rate, F.lit(RATE_LOW)), F.lit(RATE_HIGH))
+    clamped = F.when(rate < RATE_LOW, RATE_LOW).when(rate > RATE_HIGH, RATE_HIGH).otherwise(rate)
     unit = (clamped - RATE_LOW) / (RATE_HIGH - RATE_LOW)
     at_zero, at_one = shape(F.lit(0.0)), shape(F.lit(1.0))
     return (shape(unit) - at_zero) / (at_one - at_zero)
@@ -69,7 +69,7 @@ def mat2gray(x: Column) -> Column:
 def bucketize_rate(rate: Column, bins: int, shape: Shape = linear_shape) -> Column:
     """Equal-width bin (0 .. bins-1) of the transformed rate."""
     position = F.floor(domain_transform(rate, shape) * bins)
-    return F.least(position, F.lit(bins - 1)).cast("int")
+    return F.when(position >= bins, bins - 1).otherwise(position).cast("int")
 
 
 def hash_feature(name: str | Column, value: Column, low: int = HASH_RANGE[0],

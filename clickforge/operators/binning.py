@@ -87,7 +87,7 @@ def find_cuts(df: DataFrame, feats: Column | str, max_bins: int = 256, accuracy:
 def equal_width_bin(value: Column, low: float, high: float, bins: int) -> Column:
     """Equal-width bin 0 .. bins-1 of a value, the ends clamped."""
     position = F.floor((value - low) / (high - low) * bins)
-    return F.greatest(F.lit(0), F.least(F.lit(bins - 1), position)).cast("int")
+    return F.when(position < 0, 0).when(position >= bins, bins - 1).otherwise(position).cast("int")
 
 
 def _present(name: str, missing: float | None) -> Column:

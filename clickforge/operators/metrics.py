@@ -25,7 +25,7 @@ def label_distribution(df: DataFrame, by: Sequence[str] = ("split",), label: str
 
 
 def row_log_loss(label: Column, score: Column, eps: float = EPS) -> Column:
-    p = F.least(F.greatest(score, F.lit(eps)), F.lit(1 - eps))
+    p = F.when(F.isnan(score), score).when(score < eps, eps).when(score > 1 - eps, 1 - eps).otherwise(score)
     return -(label * F.ln(p) + (1 - label) * F.ln(1 - p))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -100,35 +100,34 @@ class TreeEnsemble:
 
 # ---------------------------------------------------------------- scoring
 
-def _case_leaf(tree: list[dict], value_of: Callable[[int], Column], out: Callable[[dict], Column]) -> Column:
-    """The tree as nested CASE; ``out`` gives what a leaf returns."""
+def _case_tree(tree: list[dict], names: dict[int, str], out: str) -> Column:
+    """The tree as one nested CASE that returns the leaf's ``out`` entry.
+
+    A comparison with a missing value is null, which takes the ELSE branch; only a split with a
+    left default has to ask for null.
+    """
     nodes = {n["node"]: n for n in tree}
 
-    def visit(node: dict) -> Column:
+    def visit(node: dict) -> str:
         if node["is_leaf"]:
-            return out(node)
-        x = value_of(node["feature"])
-        left, right = visit(nodes[node["left"]]), visit(nodes[node["right"]])
-        missing = left if node["default_left"] else right
-        return F.when(x.isNull(), missing).when(x < node["threshold"], left).otherwise(right)
+            return f"{node[out]!r}D" if out == "leaf_value" else str(node[out])
+        x = f"`{names[node['feature']]}`"
+        left = f"{x} < {float(node['threshold'])!r}D" + (f" OR {x} IS NULL" if node["default_left"] else "")
+        return f"CASE WHEN {left} THEN {visit(nodes[node['left']])} ELSE {visit(nodes[node['right']])} END"
 
-    return visit(nodes[0])
+    return F.expr(visit(nodes[0]))
 
 
-def _with_case_columns(df: DataFrame, model: TreeEnsemble, features) -> tuple[DataFrame, Callable, list[str]]:
+def _with_case_columns(df: DataFrame, model: TreeEnsemble, features) -> tuple[DataFrame, dict[int, str], list[str]]:
     """Project the features the model splits on once, so that every CASE reads a plain column."""
-    needed = [int(f) for f in used_features(model.flat())]
+    names = {int(f): f"__f{f}" for f in used_features(model.flat())}
     if not isinstance(features, str):
-        columns = list(features)
-        names = {f: f"__f{f}" for f in needed}
-        picked = {f: F.col(columns[f]) if isinstance(columns[f], str) else columns[f] for f in needed}
-        df = df.withColumns({names[f]: _nan_as_null(c.cast("double")) for f, c in picked.items()})
-        return df, lambda f: F.col(names[f]), list(names.values())
-    feats = feats_column(df, features)
-    names = {f: f"__f{f}" for f in needed}
-    df = df.withColumn("__map", F.map_from_entries(feats))
-    df = df.withColumns({names[f]: _nan_as_null(F.try_element_at("__map", F.lit(f))) for f in needed})
-    return df, lambda f: F.col(names[f]), [*names.values(), "__map"]
+        columns = [F.col(c) if isinstance(c, str) else c for c in features]
+        picked = {name: _nan_as_null(columns[f].cast("double")) for f, name in names.items()}
+        return df.withColumns(picked), names, list(names.values())
+    df = df.withColumn("__map", F.map_from_entries(feats_column(df, features)))
+    df = df.withColumns({name: _nan_as_null(F.try_element_at("__map", F.lit(f))) for f, name in names.items()})
+    return df, names, [*names.values(), "__map"]
 
 
 def _nan_as_null(x: Column) -> Column:
@@ -172,8 +171,8 @@ def tree_leaf(df: DataFrame, model: TreeEnsemble, features, output: str = "leave
     """Append the node id reached in every tree. A missing feature takes the default child."""
     model = model.first(rounds)
     if _use_case(model, method):
-        work, value_of, extra = _with_case_columns(df, model, features)
-        ids = [_case_leaf(t, value_of, lambda n: F.lit(n["node"])) for t in model.by_tree]
+        work, names, extra = _with_case_columns(df, model, features)
+        ids = [_case_tree(t, names, "node") for t in model.by_tree]
         return work.withColumn(output, F.array(*ids)).drop(*extra)
     return df.withColumn(output, leaf_udf(model.flat())(feats_column(df, features)))
 
@@ -190,10 +189,10 @@ def tree_margin(df: DataFrame, model: TreeEnsemble, features, output: str = "mar
     model = model.first(rounds)
     k = model.num_class
     if _use_case(model, method):
-        work, value_of, extra = _with_case_columns(df, model, features)
+        work, names, extra = _with_case_columns(df, model, features)
         per_class = [F.lit(0.0)] * k
         for i, tree in enumerate(model.by_tree):
-            per_class[i % k] = per_class[i % k] + _case_leaf(tree, value_of, lambda n: F.lit(n["leaf_value"]))
+            per_class[i % k] = per_class[i % k] + _case_tree(tree, names, "leaf_value")
         margin = per_class[0] if k == 1 else F.array(*per_class)
         return work.withColumn(output, margin).drop(*extra)
     work = tree_leaf(df, model, features, "__leaves", method="arrow")

@@ -9,8 +9,6 @@ from clickforge.operators import metrics as m
 from clickforge.plans import views
 from clickforge.plans.catalog import IMP, query
 
-LABEL, SCORE = F.col("label"), F.col("score")
-
 # Log loss of a row, the base-rate entropy and the AUC by pair counting, in SQL.
 LOSS = "-(label * ln(score) + (1 - label) * ln(1 - score))"
 
@@ -31,7 +29,7 @@ PREDICTED = f"""{IMP}, pred AS (
 
 
 def _predicted(spark, sf):
-    return views.impressions(spark, sf).withColumn("prediction", predicted_class(SCORE, 0.25))
+    return views.impressions(spark, sf).withColumn("prediction", predicted_class(F.col("score"), 0.25))
 
 
 @query(f"WITH {IMP} SELECT split, label, count(*) AS n FROM imp GROUP BY split, label")
@@ -42,14 +40,14 @@ def label_distribution(spark, sf):
 @query(f"""
 WITH {IMP} SELECT split, round(avg({LOSS}), 6) AS logloss FROM imp GROUP BY split""")
 def log_loss(spark, sf):
-    return m.metric(views.impressions(spark, sf), ["split"], logloss=F.round(m.log_loss(LABEL, SCORE), 6))
+    return m.metric(views.impressions(spark, sf), ["split"], logloss=F.round(m.log_loss(F.col("label"), F.col("score")), 6))
 
 
 @query(f"""
 WITH {IMP}, s AS (SELECT split, avg({LOSS}) AS loss, avg(label) AS r FROM imp GROUP BY split)
 SELECT split, round(loss / -(r * ln(r) + (1 - r) * ln(1 - r)), 6) AS ne FROM s""")
 def normalized_entropy(spark, sf):
-    return m.metric(views.impressions(spark, sf), ["split"], ne=F.round(m.normalized_entropy(LABEL, SCORE), 6))
+    return m.metric(views.impressions(spark, sf), ["split"], ne=F.round(m.normalized_entropy(F.col("label"), F.col("score")), 6))
 
 
 @query(f"""
@@ -57,7 +55,7 @@ WITH {IMP} SELECT event_type, CASE WHEN sum(label) > 0 THEN round(sum(score) / s
 FROM imp GROUP BY event_type""")
 def calibration(spark, sf):
     # Only clicks are positive, so the other types show the null of a missing denominator.
-    return m.metric(views.impressions(spark, sf), ["event_type"], calibration=F.round(m.calibration(LABEL, SCORE), 6))
+    return m.metric(views.impressions(spark, sf), ["event_type"], calibration=F.round(m.calibration(F.col("label"), F.col("score")), 6))
 
 
 @query(f"WITH {IMP}, {auc_sql('imp', 'score', 'split')} SELECT split, round(auc, 6) AS auc FROM auc")
@@ -78,21 +76,21 @@ def auc_hard(spark, sf):
 WITH {PREDICTED} SELECT split, round(avg(CASE WHEN label = prediction THEN 1e0 ELSE 0e0 END), 6) AS accuracy
 FROM pred GROUP BY split""")
 def accuracy(spark, sf):
-    return m.metric(_predicted(spark, sf), ["split"], accuracy=F.round(m.accuracy(LABEL, F.col("prediction")), 6))
+    return m.metric(_predicted(spark, sf), ["split"], accuracy=F.round(m.accuracy(F.col("label"), F.col("prediction")), 6))
 
 
 @query(f"""
 WITH {IMP} SELECT split, round(avg(CASE WHEN (label = 0 AND score > 0.5) OR (label = 1 AND score <= 0.5)
 THEN 1e0 ELSE 0e0 END), 6) AS error FROM imp GROUP BY split""")
 def error_at_half(spark, sf):
-    return m.metric(views.impressions(spark, sf), ["split"], error=F.round(m.error_at_half(LABEL, SCORE), 6))
+    return m.metric(views.impressions(spark, sf), ["split"], error=F.round(m.error_at_half(F.col("label"), F.col("score")), 6))
 
 
 @query(f"""
 WITH {IMP} SELECT split, round(avg(CASE WHEN (label = 0 AND margin0 > 0) OR (label = 1 AND margin0 <= 0)
 THEN 1e0 ELSE 0e0 END), 6) AS error FROM imp GROUP BY split""")
 def margin_error(spark, sf):
-    return m.metric(views.impressions(spark, sf), ["split"], error=F.round(m.margin_error(LABEL, F.col("margin0")), 6))
+    return m.metric(views.impressions(spark, sf), ["split"], error=F.round(m.margin_error(F.col("label"), F.col("margin0")), 6))
 
 
 def _classes(spark, sf):
@@ -140,7 +138,7 @@ def f1_multiclass(spark, sf):
 @query(f"""
 WITH {IMP} SELECT split, round(sqrt(avg((label - score) * (label - score))), 6) AS rmse FROM imp GROUP BY split""")
 def rmse(spark, sf):
-    return m.metric(views.impressions(spark, sf), ["split"], rmse=F.round(m.rmse(LABEL, SCORE), 6))
+    return m.metric(views.impressions(spark, sf), ["split"], rmse=F.round(m.rmse(F.col("label"), F.col("score")), 6))
 
 
 @query(f"""

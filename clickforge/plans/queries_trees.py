@@ -216,11 +216,10 @@ def importance_csv(spark, sf):
 
 
 @query(f"""
-WITH {IMP} SELECT row_id, round((score - planted) * CASE WHEN planted = 1 THEN 2e0 ELSE 1e0 END, 6) AS g,
-round(score * (1 - score) * CASE WHEN planted = 1 THEN 2e0 ELSE 1e0 END, 6) AS h FROM imp""")
+WITH {IMP}, p AS (SELECT row_id, planted, 1e0 / (1e0 + exp(-margin0)) AS p, CASE WHEN planted = 1 THEN 2e0 ELSE 1e0 END AS w FROM imp)
+SELECT row_id, round((p - planted) * w, 6) AS g, round(p * (1 - p) * w, 6) AS h FROM p""")
 def grad_hess(spark, sf):
-    margin = F.ln(F.col("score") / (1 - F.col("score")))
-    g, h = weighted_gradient(margin, F.col("planted"), scale_pos_weight=2.0)
+    g, h = weighted_gradient(F.col("margin0"), F.col("planted"), scale_pos_weight=2.0)
     return views.impressions(spark, sf).select("row_id", F.round(g, 6).alias("g"), F.round(h, 6).alias("h"))
 
 
@@ -250,12 +249,13 @@ def binned_counts(spark, sf):
 @query(f"""
 WITH {IMP}, b AS (
   SELECT 'value' AS feature, CAST(least(15, greatest(0, floor(value / 500 * 16))) AS INTEGER) AS bin FROM imp
-  UNION ALL SELECT 'k', CAST(least(15, greatest(0, floor(k_seen / 1e2 * 16))) AS INTEGER) FROM imp)
+  UNION ALL SELECT 'k', CAST(least(15, greatest(0, floor(k_seen / 1e2 * 16))) AS INTEGER) FROM imp WHERE k_seen IS NOT NULL
+  UNION ALL SELECT 'k', NULL FROM imp WHERE k_seen IS NULL)
 SELECT feature, bin, count(*) AS n FROM b GROUP BY feature, bin""")
 def bin_features(spark, sf):
     rows = views.impressions(spark, sf)
     bins = {"value": equal_width_bin(F.col("value"), 0, 500, 16),
-            "k": F.when(F.col("k_seen").isNotNull(), equal_width_bin(F.col("k_seen"), 0, 100, 16))}
+            "k": equal_width_bin(F.col("k_seen"), 0, 100, 16)}
     pairs = F.array(*[F.struct(F.lit(name).alias("feature"), b.alias("bin")) for name, b in bins.items()])
     long = rows.select(F.explode(pairs).alias("b")).select("b.*")
     return long.groupBy("feature", "bin").agg(F.count("*").alias("n"))
@@ -298,11 +298,12 @@ def split_search(spark, sf):
 
 
 @query(f"""
-WITH {IMP}, s AS (SELECT hour_of_day AS node, sum(score - planted) AS g, sum(score * (1 - score)) AS h FROM imp GROUP BY hour_of_day)
+WITH {IMP}, p AS (SELECT hour_of_day AS node, planted, 1e0 / (1e0 + exp(-margin0)) AS p FROM imp),
+s AS (SELECT node, sum(p - planted) AS g, sum(p * (1 - p)) AS h FROM p GROUP BY node)
 SELECT node, round(-g / (h + 1) * 0.1e0, 6) AS plain,
 round(-sign(g) * greatest(abs(g) - 5, 0) / (h + 1) * 0.1e0, 6) AS shrunk FROM s""")
 def leaf_weight(spark, sf):
-    g, h = weighted_gradient(F.ln(F.col("score") / (1 - F.col("score"))), F.col("planted"))
+    g, h = weighted_gradient(F.col("margin0"), F.col("planted"))
     sums = views.impressions(spark, sf).groupBy(F.col("hour_of_day").alias("node")).agg(F.sum(g).alias("g"), F.sum(h).alias("h"))
     return sums.select("node", F.round(hist.leaf_weight("g", "h", 1.0, 0.0, 0.1), 6).alias("plain"),
                        F.round(hist.leaf_weight("g", "h", 1.0, 5.0, 0.1), 6).alias("shrunk"))
