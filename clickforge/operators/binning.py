@@ -11,11 +11,12 @@ without gaps. Missing features have no code.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -23,26 +24,32 @@ from clickforge.operators.sparse import list_offsets, list_owner
 
 # The driver and every task hold all cut points: 8 bytes each, so at most half a gigabyte.
 MAX_CUTS = 64_000_000
+# Sketches a task may hold at once; each takes up to half a megabyte.
+MAX_SKETCHES = 1024
 FALLBACK_KEYS = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
 
 
 @dataclass
 class Cuts:
-    """Cut points of all features, flat. ``start[i]:start[i + 1]`` are those of ``ids[i]``."""
+    """Cut points of all features, flat. ``start[i]:start[i + 1]`` are those of ``ids[i]``.
+
+    ``input_partitions`` is how many partitions the rows came in.
+    """
 
     ids: np.ndarray
     start: np.ndarray
     values: np.ndarray
+    input_partitions: int = 0
 
     @classmethod
-    def from_lists(cls, cuts: dict[int, Sequence[float]]) -> Cuts:
+    def from_lists(cls, cuts: dict[int, Sequence[float]], input_partitions: int = 0) -> Cuts:
         ids = np.array(sorted(cuts), np.int64)
         sizes = [len(cuts[int(i)]) for i in ids]
         if sum(sizes) > MAX_CUTS:
             raise ValueError(f"{sum(sizes)} cut points exceed {MAX_CUTS}: lower max_bins or the hash range")
         flat = [np.asarray(cuts[int(i)], np.float64) for i in ids]
         start = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        return cls(ids, start, np.concatenate(flat) if flat else np.zeros(0))
+        return cls(ids, start, np.concatenate(flat) if flat else np.zeros(0), input_partitions)
 
     @property
     def num_features(self) -> int:
@@ -61,27 +68,41 @@ class Cuts:
         return float(self.values[self.start[feature] + bin - 1])
 
 
-def find_cuts(df: DataFrame, feats: Column | str, max_bins: int = 256, accuracy: int = 10_000,
+def find_cuts(df: DataFrame, feats: Column | str, max_bins: int = 256, accuracy: int | None = None,
               missing: float | None = None) -> Cuts:
-    """Quantile cut points per feature in one aggregation over all rows.
+    """Quantile cut points per feature over all rows.
 
-    Sketches combine on the map side, so a feature that is present in every row does not
-    gather its values anywhere.
+    A first aggregation takes the range of every feature. Only features with more than one value
+    get a quantile sketch, which is what costs memory; indicators need none. Both aggregations
+    combine on the map side, so a feature that is present in every row gathers nowhere.
     """
     spark = df.sparkSession
-    ranks = F.array(*[F.lit(i / max_bins) for i in range(max_bins)])
     entry = df.select(F.explode(feats).alias("e")).select("e.f", "e.v").filter(_present("v", missing))
-    cuts = entry.groupBy("f").agg(
-        F.min("v").alias("low"), F.percentile_approx("v", ranks, accuracy).alias("q")
-    ).select("f", F.array_sort(F.array_distinct(F.concat(F.array("low"), "q"))).alias("cuts"))
-    # Sketch aggregation falls back to sorting beyond this many groups in a task.
+    ranges = entry.withColumn("part", F.spark_partition_id()).groupBy("f").agg(
+        F.min("v").alias("low"), F.max("v").alias("high"), F.max("part").alias("part")).collect()
+    cuts = {r["f"]: [r["low"]] for r in ranges}
+    varying = {r["f"]: r["low"] for r in ranges if r["low"] < r["high"]}
+    if varying:
+        ranks = F.array(*[F.lit(i / max_bins) for i in range(max_bins)])
+        quantiles = F.percentile_approx("v", ranks, accuracy or 20 * max_bins).alias("q")
+        ids = spark.createDataFrame([(f,) for f in varying], "f int")
+        # One id per feature, as many as the cut table the driver holds anyway.
+        sketched = entry.join(F.broadcast(ids), "f").groupBy("f").agg(quantiles)
+        with _sketches_in_memory(spark, len(varying)):
+            rows = sketched.collect()
+        cuts |= {r["f"]: sorted({varying[r["f"]], *r["q"]}) for r in rows}
+    return Cuts.from_lists(cuts, max((r["part"] for r in ranges), default=-1) + 1)
+
+
+@contextmanager
+def _sketches_in_memory(spark: SparkSession, groups: int):
+    """Let a task keep this many sketches (within reason) before it falls back to sorting."""
     before = spark.conf.get(FALLBACK_KEYS)
-    spark.conf.set(FALLBACK_KEYS, str(max(int(before), 1 << 16)))
+    spark.conf.set(FALLBACK_KEYS, str(max(int(before), min(groups, MAX_SKETCHES))))
     try:
-        rows = cuts.collect()
+        yield
     finally:
         spark.conf.set(FALLBACK_KEYS, before)
-    return Cuts.from_lists({r["f"]: r["cuts"] for r in rows})
 
 
 def equal_width_bin(value: Column, low: float, high: float, bins: int) -> Column:

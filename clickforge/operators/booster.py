@@ -219,9 +219,21 @@ def prepare_rows(df: DataFrame, features, label: str, options: BoostOptions, spl
         rows = rows.withColumn("row_id", F.xxhash64("label", "feats"))
     cuts = find_cuts(rows.filter(F.col("split") == "train"), "feats", options.max_bins, missing=options.missing)
     binned = rows.select("row_id", "label", "split", bin_codes(F.col("feats"), cuts, options.missing).alias("codes"), "margins")
-    limit = options.partitions or 2 * df.sparkSession.sparkContext.defaultParallelism
-    # Every task sends one partial histogram, so there should be about as many tasks as cores.
-    return binned.coalesce(limit), cuts
+    return _even_out(binned, cuts.input_partitions, options), cuts
+
+
+def _even_out(binned: DataFrame, partitions: int, options: BoostOptions) -> DataFrame:
+    """Bring the rows into about as many partitions as there are cores.
+
+    Every task sends one partial histogram, so many small partitions would inflate the shuffle;
+    they are coalesced. Too few would leave cores idle in every pass; then rows are dealt out evenly.
+    """
+    cores = binned.sparkSession.sparkContext.defaultParallelism
+    if options.partitions:
+        return binned.repartition(options.partitions)
+    if partitions < cores:
+        return binned.repartition(cores)
+    return binned.coalesce(2 * cores)
 
 
 def fit_boosted_trees(df: DataFrame, features, label: str = "label", options: BoostOptions | None = None, *,
@@ -231,7 +243,8 @@ def fit_boosted_trees(df: DataFrame, features, label: str = "label", options: Bo
     """Fit boosted trees on the rows whose ``split`` is ``train`` (all rows when not given).
 
     ``features`` is a vector, map or sparse column, or a list of numeric columns. ``row_id`` keys
-    the row sample. ``margin`` continues from an earlier model's raw output. ``metrics`` are
+    the row sample; without it equal rows are sampled together, so pass one where rows repeat.
+    ``margin`` continues from an earlier model's raw output. ``metrics`` are
     evaluated on every split after every round, on the probability (binary models).
     """
     options = options or BoostOptions()

@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 
 from clickforge.functions import binary_entropy, hash_feature
 from clickforge.functions.scalars import HASH_RANGE
-from clickforge.shared import cut_lineage
+from clickforge.shared import broadcast_within, cut_lineage
 
 # A feature with more listed values than this is matched by a broadcast join instead of a
 # literal map, whose lookup is linear.
 MAP_VALUES = 64
+# Vocabulary entries that are sent to every executor.
+BROADCAST_ROWS = 1_000_000
 ROW_IN_PARTITION = (1 << 33) - 1
 
 
@@ -153,6 +155,8 @@ def string_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def one_hot(df: DataFrame, vocabulary: DataFrame, columns: Sequence[str], keys: Sequence[str],
             drop_last: bool = False) -> DataFrame:
     """``(keys, column, index)`` of the hot entry of each row; a dropped last category has none."""
+    # A larger vocabulary is joined by shuffle, where adaptive execution splits hot categories.
+    vocabulary = broadcast_within(vocabulary.select("column", "value", "index"), BROADCAST_ROWS)
     hot = category_long(df, columns, keys).join(vocabulary, ["column", "value"])
     if drop_last:
         last = vocabulary.groupBy("column").agg(F.max("index").alias("__last"))

@@ -24,7 +24,7 @@ MODEL_COLUMNS = [part.strip().split()[0] for part in MODEL_SCHEMA.split(",")]
 
 # Ensembles up to this many splits become CASE expressions. A deeper nest leaves whole-stage
 # codegen, and then the Arrow walk is faster.
-CASE_SPLIT_LIMIT = 48
+CASE_SPLIT_LIMIT = 24
 # Cells of the dense scoring matrix held by a task at one time.
 MATRIX_CELLS = 4_000_000
 

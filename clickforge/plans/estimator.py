@@ -52,6 +52,7 @@ class _BoostParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbability
     maxBins = Param(Params._dummy(), "maxBins", "cut points per feature", TypeConverters.toInt)
     seed = Param(Params._dummy(), "seed", "seed of the samples", TypeConverters.toInt)
     splitCol = Param(Params._dummy(), "splitCol", "column naming the training rows 'train'", TypeConverters.toString)
+    idCol = Param(Params._dummy(), "idCol", "unique key of the row sample", TypeConverters.toString)
     leafCol = Param(Params._dummy(), "leafCol", "output column of leaf ids", TypeConverters.toString)
 
     def options(self) -> BoostOptions:
@@ -68,7 +69,7 @@ class _BoostParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbability
         self._setDefault(
             numRound=100, maxDepth=8, eta=0.1, regLambda=1.0, alpha=0.0, gamma=0.2, minChildWeight=2.0,
             subsample=0.8, colsampleByTree=0.8, scalePosWeight=1.0, numClass=1, maxBins=256, seed=123,
-            splitCol="", leafCol="",
+            splitCol="", idCol="", leafCol="",
         )
 
 
@@ -86,7 +87,8 @@ class BoostedTreesClassifier(Estimator, _BoostParams, DefaultParamsReadable, Def
 
     def _fit(self, dataset: DataFrame) -> BoostedTreesModel:
         split = self.getOrDefault(self.splitCol) or None
-        fitted = fit_boosted_trees(dataset, self.getFeaturesCol(), self.getLabelCol(), self.options(), split=split)
+        row_id = self.getOrDefault(self.idCol) or None
+        fitted = fit_boosted_trees(dataset, self.getFeaturesCol(), self.getLabelCol(), self.options(), split=split, row_id=row_id)
         return self._copyValues(BoostedTreesModel(fitted.model))
 
 

@@ -159,7 +159,7 @@ def grid_tvs(spark, sf):
 
 @query()
 def grid_trees(spark, sf):
-    trees = BoostedTreesClassifier(eta=0.3, maxBins=32)
+    trees = BoostedTreesClassifier(eta=0.3, maxBins=32, idCol="row_id")
     grid = tuning.tree_grid(trees, (2, 3), (1, 2), (0.3,))
     model = tuning.train_validation(trees, grid, tuning.auc_evaluator(), ratio=0.8).fit(_grid_rows(spark, sf))
     return tuning.grid_report(spark, grid, model.validationMetrics).withColumn("metric", F.round("metric", 6))

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -36,3 +37,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path inside the shared folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/clickforge-{name}-{uuid.uuid4().hex}"
+
+
+def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``rows`` rows; otherwise leave it alone."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
