@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from clickforge.operators.sparse import list_offsets, list_owner
+from clickforge.operators.sparse import entry_rows, list_offsets, list_owner
 
 # The driver and every task hold all cut points: 8 bytes each, so at most half a gigabyte.
 MAX_CUTS = 64_000_000
@@ -77,7 +77,7 @@ def find_cuts(df: DataFrame, feats: Column | str, max_bins: int = 256, accuracy:
     combine on the map side, so a feature that is present in every row gathers nowhere.
     """
     spark = df.sparkSession
-    entry = df.select(F.explode(feats).alias("e")).select("e.f", "e.v").filter(_present("v", missing))
+    entry = entry_rows(df, feats).filter(_present("v", missing))
     ranges = entry.withColumn("part", F.spark_partition_id()).groupBy("f").agg(
         F.min("v").alias("low"), F.max("v").alias("high"), F.max("part").alias("part")).collect()
     cuts = {r["f"]: [r["low"]] for r in ranges}

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from clickforge.functions import binary_entropy, hash_feature
 from clickforge.functions.scalars import HASH_RANGE
+from clickforge.operators.sparse import entry_rows
 from clickforge.shared import broadcast_within, cut_lineage
 
 # A feature with more listed values than this is matched by a broadcast join instead of a
@@ -117,7 +118,8 @@ def featurize(df: DataFrame, spec: DataFrame, keep: Sequence[str] = (), start_in
         bucket = hash_feature(r["name"], F.col(r["depend"]), low, high) - low + next_id
         entries.append(entry(bucket, one))
         next_id += high - low
-    feats = F.array_sort(F.filter(F.array(*entries), lambda s: s.isNotNull()))
+    # Ids rise in the order of the entries, so the row is sorted as it stands.
+    feats = F.filter(F.array(*entries), lambda s: s.isNotNull())
     df = df.withColumn(output, feats)
     return df.select(*keep, output) if keep else df.drop(*dropped)
 
@@ -126,8 +128,9 @@ def featurize(df: DataFrame, spec: DataFrame, keep: Sequence[str] = (), start_in
 
 def category_long(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """``(keys, column, value)`` with one row per category column."""
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    return df.select(*keys, F.explode(F.array(*pairs)).alias("e")).select(*keys, "e.*").filter(F.col("value").isNotNull())
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
+    long = df.select(*keys, F.expr(f"stack({len(columns)}, {pairs}) AS (`column`, `value`)"))
+    return long.filter(F.col("value").isNotNull())
 
 
 def string_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -212,4 +215,4 @@ def information_gain(df: DataFrame, label: str, bin: str | Column, by: Sequence[
 
 def feature_index_check(df: DataFrame, feats: str = "feats") -> DataFrame:
     """Sorted distinct feature ids that occur."""
-    return df.select(F.explode(feats).alias("e")).select(F.col("e.f").alias("f")).distinct().orderBy("f")
+    return entry_rows(df, feats).select("f").distinct().orderBy("f")

@@ -27,7 +27,7 @@ def feats_from_columns(columns: Sequence[str | Column]) -> Column:
 
 
 def feats_from_map(column: str | Column) -> Column:
-    return F.array_sort(
+    return F.sort_array(
         F.transform(F.map_entries(column), lambda e: F.struct(
             e["key"].cast("int").alias("f"), e["value"].cast("double").alias("v")))
     )
@@ -56,6 +56,22 @@ def feats_column(df: DataFrame, features: str | Sequence[str]) -> Column:
     return F.col(features)
 
 
+def entry_rows(df: DataFrame, feats: str | Column = "feats", keys: Sequence[str] = ()) -> DataFrame:
+    """Long form ``(keys, f, v)`` of sparse rows.
+
+    The outer generator is deliberate: for the plain one the optimizer adds a filter on the array's
+    size and pushes it to the scan, where the whole expression behind the array runs once more.
+    """
+    entries = df.select(*keys, F.inline_outer(feats))
+    return entries.filter(F.col("f").isNotNull())
+
+
+def element_rows(df: DataFrame, array: str | Column, names: tuple[str, str], keys: Sequence[str] = ()) -> DataFrame:
+    """Long form ``(keys, position, element)`` of an array; see :func:`entry_rows` on the generator."""
+    elements = df.select(*keys, F.posexplode_outer(array).alias(*names))
+    return elements.filter(F.col(names[0]).isNotNull())
+
+
 def feats_to_vector(feats: str | Column, size: int) -> Column:
     """Sparse MLlib vector of the given size; ids at or above it are dropped."""
 

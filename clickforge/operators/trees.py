@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from clickforge.functions import predicted_class, sigmoid
-from clickforge.operators.sparse import feats_column, list_owner
+from clickforge.operators.sparse import element_rows, feats_column, list_owner
 from clickforge.operators.walk import FlatTree, dense_columns, used_features, walk_tree
 
 MODEL_SCHEMA = (
@@ -243,7 +243,7 @@ def tree_predict(df: DataFrame, model: TreeEnsemble, features, output_margin: bo
 
 def leaf_long(df: DataFrame, leaves: str, keys: list[str]) -> DataFrame:
     """Long form ``(keys, tree, leaf)`` of a leaf array."""
-    return df.select(*keys, F.posexplode(leaves).alias("tree", "leaf"))
+    return element_rows(df, leaves, ("tree", "leaf"), keys)
 
 
 def string_leaf_vocabulary(df: DataFrame, leaves: str = "leaves") -> DataFrame:
@@ -252,7 +252,7 @@ def string_leaf_vocabulary(df: DataFrame, leaves: str = "leaves") -> DataFrame:
     Ties go by the leaf id as text. ``position`` is ``index`` plus the sizes of earlier trees.
     The table has at most trees x leaves rows; all trees are counted in one job.
     """
-    counts = df.select(F.posexplode(leaves).alias("tree", "leaf")).groupBy("tree", "leaf").agg(F.count("*").alias("n"))
+    counts = leaf_long(df, leaves, []).groupBy("tree", "leaf").agg(F.count("*").alias("n"))
     order = Window.partitionBy("tree").orderBy(F.desc("n"), F.col("leaf").cast("string"))
     indexed = counts.withColumn("index", F.row_number().over(order) - 1)
     return _with_position(indexed, F.count("*"))
@@ -269,10 +269,7 @@ def _with_position(entries: DataFrame, size: Column) -> DataFrame:
 
 def node_leaf_vocabulary(df: DataFrame, leaves: str = "leaves") -> DataFrame:
     """``(tree, size, offset)`` for the encoding in which the node id itself is the category."""
-    sizes = (
-        df.select(F.posexplode(leaves).alias("tree", "leaf"))
-        .groupBy("tree").agg((F.max("leaf") + 1).alias("size"))
-    )
+    sizes = leaf_long(df, leaves, []).groupBy("tree").agg((F.max("leaf") + 1).alias("size"))
     before = Window.orderBy("tree").rowsBetween(Window.unboundedPreceding, -1)
     return sizes.withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0)).cast("int"))
 
@@ -384,10 +381,7 @@ def node_sums(df: DataFrame, model: TreeEnsemble, leaves: str = "leaves", hessia
     ``mean`` is the hessian-weighted mean of the leaf values below the node. Rows are summed per
     leaf first; sums are additive along the path, so no recursion is needed.
     """
-    per_leaf = (
-        df.select(F.col(hessian).alias("__h"), F.posexplode(leaves).alias("tree", "leaf"))
-        .groupBy("tree", "leaf").agg(F.sum("__h").alias("__h"))
-    )
+    per_leaf = leaf_long(df, leaves, [hessian]).groupBy("tree", "leaf").agg(F.sum(hessian).alias("__h"))
     paths = node_ancestors(df.sparkSession, model)
     return (
         per_leaf.join(F.broadcast(paths), ["tree", "leaf"])

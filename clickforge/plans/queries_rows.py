@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clickforge import functions as fn
 from clickforge.operators import features as feat
 from clickforge.operators import splits as sp
-from clickforge.operators.sparse import feats_to_vector
+from clickforge.operators.sparse import entry_rows, feats_to_vector
 from clickforge.operators.trees import encode_leaves, ordinal_leaf_vocabulary, tree_leaf
 from clickforge.plans import views
 from clickforge.plans.catalog import IMP, LEAVES, ORDER_LINES, SPARSE, query
@@ -40,9 +40,9 @@ FROM sparse JOIN imp USING (row_id) GROUP BY f, label""")
 def sparse_text_roundtrip(spark, sf):
     path = scratch_path(spark, "rows")
     write_libsvm(views.sparse_rows(spark, sf).select("label", "feats"), path)
-    rows = read_sparse_text(spark, path).select("label", F.explode("feats").alias("e"))
-    return rows.groupBy(F.col("e.f").alias("f"), F.col("label").cast("int").alias("label")).agg(
-        F.count("*").alias("n"), F.round(F.sum("e.v"), 6).alias("total"))
+    rows = entry_rows(read_sparse_text(spark, path), "feats", ["label"])
+    return rows.groupBy("f", F.col("label").cast("int").alias("label")).agg(
+        F.count("*").alias("n"), F.round(F.sum("v"), 6).alias("total"))
 
 
 @query(f"""
@@ -163,8 +163,8 @@ def column_prune(spark, sf):
 
 @query(f"WITH {SPARSE} SELECT row_id, f, round(v, 6) AS v FROM sparse")
 def featurize(spark, sf):
-    rows = views.sparse_rows(spark, sf).select("row_id", F.explode("feats").alias("e"))
-    return rows.select("row_id", F.col("e.f").alias("f"), F.round("e.v", 6).alias("v"))
+    rows = entry_rows(views.sparse_rows(spark, sf), "feats", ["row_id"])
+    return rows.select("row_id", "f", F.round("v", 6).alias("v"))
 
 
 @query("""
@@ -238,15 +238,16 @@ def feature_stack(spark, sf):
     encoded = encode_leaves(leaved, ordinal_leaf_vocabulary(spark, model))
     hot = F.transform("onehot", lambda i: F.struct(i.alias("f"), F.lit(1.0).alias("v")))
     numeric = F.filter("feats", lambda s: s["f"] < 2)
-    stacked = encoded.select("row_id", F.explode(feat.stack_features(hot, numeric, 10)).alias("e"))
-    return stacked.select("row_id", "e.f", "e.v")
+    return entry_rows(encoded, feat.stack_features(hot, numeric, 10), ["row_id"])
 
 
 @query("""
 WITH words AS (SELECT unnest(string_split_regex(lower(text), '[ \\t\\n\\x0B\\f\\r]')) AS word FROM documents)
 SELECT word, count(*) AS n FROM words WHERE word <> '' GROUP BY word""")
 def tokenize(spark, sf):
-    words = feat.tokenizer().transform(views.table(spark, sf, "documents").select("text")).select(F.explode("words").alias("word"))
+    tokens = feat.tokenizer().transform(views.table(spark, sf, "documents").select("text"))
+    # An outer generator keeps the tokens from being made twice, see ``entry_rows``.
+    words = tokens.select(F.explode_outer("words").alias("word"))
     return words.filter("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
 
 

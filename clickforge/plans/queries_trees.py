@@ -9,6 +9,7 @@ from clickforge.operators import linear, metrics
 from clickforge.operators import trees as t
 from clickforge.operators.binning import equal_width_bin
 from clickforge.operators.booster import weighted_gradient
+from clickforge.operators.sparse import element_rows
 from clickforge.plans import views
 from clickforge.plans.catalog import IMP, LEAVES, ORDER_LINES, SPARSE, query
 from clickforge.shared import scratch_path
@@ -112,7 +113,7 @@ def leaf_vector(spark, sf):
     leaved = _leaved(spark, sf)
     vectors = t.leaf_vector(leaved, t.string_leaf_vocabulary(leaved))
     hot = F.unwrap_udt("leaf_features")["indices"]
-    return vectors.select("row_id", F.posexplode(hot).alias("tree", "pos"))
+    return element_rows(vectors, hot, ("tree", "pos"), ["row_id"])
 
 
 @query(f"""
@@ -122,7 +123,7 @@ SELECT row_id, tree, CAST(leaf + o AS INTEGER) AS pos FROM leaf_long JOIN offset
 def leaf_onehot_node(spark, sf):
     leaved = _leaved(spark, sf)
     encoded = t.encode_leaves_by_node(leaved, t.node_leaf_vocabulary(leaved))
-    return encoded.select("row_id", F.posexplode("onehot").alias("tree", "pos"))
+    return element_rows(encoded, "onehot", ("tree", "pos"), ["row_id"])
 
 
 ORDINAL = f"""{LEAVES}, ordinal AS (
@@ -132,7 +133,7 @@ ORDINAL = f"""{LEAVES}, ordinal AS (
 @query(f"WITH {ORDINAL} SELECT row_id, tree, pos FROM leaf_long JOIN ordinal USING (tree, leaf)")
 def leaf_onehot_ordinal(spark, sf):
     encoded = t.encode_leaves(_leaved(spark, sf), t.ordinal_leaf_vocabulary(spark, views.fixed_model()))
-    return encoded.select("row_id", F.posexplode("onehot").alias("tree", "pos"))
+    return element_rows(encoded, "onehot", ("tree", "pos"), ["row_id"])
 
 
 @query(f"""
@@ -235,7 +236,7 @@ def _cells(spark, sf):
     bins = [F.round(100 * F.col("l_discount")), F.floor(F.col("l_quantity") / 5),
             F.when(F.col("l_tax") > 0, F.round(100 * F.col("l_tax")))]
     pairs = F.array(*[F.struct(F.lit(i).alias("feature"), b.cast("int").alias("bin")) for i, b in enumerate(bins)])
-    cells = lines.select("label", F.explode(pairs).alias("c")).select("label", "c.*")
+    cells = lines.select("label", F.inline_outer(pairs))
     return lines, cells.filter(F.col("bin").isNotNull())
 
 
@@ -257,7 +258,7 @@ def bin_features(spark, sf):
     bins = {"value": equal_width_bin(F.col("value"), 0, 500, 16),
             "k": equal_width_bin(F.col("k_seen"), 0, 100, 16)}
     pairs = F.array(*[F.struct(F.lit(name).alias("feature"), b.alias("bin")) for name, b in bins.items()])
-    long = rows.select(F.explode(pairs).alias("b")).select("b.*")
+    long = rows.select(F.inline_outer(pairs))
     return long.groupBy("feature", "bin").agg(F.count("*").alias("n"))
 
 

@@ -63,7 +63,7 @@ def read_sparse_text(spark: SparkSession, paths: PathSpec, index_base: int = 1)
         .select(tokens.alias("t"))
         .select(
             F.col("t")[0].cast("double").alias("label"),
-            F.array_sort(F.transform(F.slice("t", 2, F.size("t") - 1), entry)).alias("feats"),
+            F.sort_array(F.transform(F.slice("t", 2, F.size("t") - 1), entry)).alias("feats"),
         )
     )
 

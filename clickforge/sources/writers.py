@@ -32,7 +32,7 @@ def write_importance_csv(importance: DataFrame, path: str) -> None:
 def write_libsvm(rows: DataFrame, path: str, start_index: int = 1) -> None:
     """``label id:value ...`` lines from ``(label, feats)`` with ids from ``start_index``."""
     pairs = F.transform(
-        F.array_sort("feats"),
+        F.sort_array("feats"),
         lambda s: F.concat_ws(":", (s["f"] + start_index).cast("string"), s["v"].cast("string")),
     )
     line = F.concat_ws(" ", F.col("label").cast("string"), F.array_join(pairs, " "))
