@@ -1,25 +1,31 @@
-"""Queries that train models. They have no SQL form and are checked by properties in the tests."""
+"""Queries that train models.
+
+Most have no SQL form and are checked by properties in the tests; where the result is fixed by the
+data (a single split, a round trip) there is SQL.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from clickforge.functions import predicted_class, sigmoid as sigmoid_of
+from clickforge.functions import predicted_class
+from clickforge.functions import sigmoid as sigmoid_of
 from clickforge.operators import metrics as m
 from clickforge.operators.booster import BoostOptions, fit_boosted_trees
 from clickforge.operators.features import assembler
 from clickforge.operators.linear import linear_booster as l1_linear
-from clickforge.operators.linear import logistic_regression
+from clickforge.operators.linear import linear_score, logistic_regression
 from clickforge.operators.sparse import feats_to_vector
 from clickforge.operators.splits import k_fold
 from clickforge.operators.trees import tree_predict
 from clickforge.plans import jobs, tuning, views
-from clickforge.plans.catalog import query
+from clickforge.plans.catalog import IMP, query
 from clickforge.plans.estimator import BoostedTreesClassifier
 from clickforge.plans.queries_metrics import rounded
 from clickforge.shared import scratch_path
+from clickforge.sources import read_linear_model, write_linear_model
 
 QUICK = BoostOptions(num_round=3, max_depth=3, eta=0.5)
 
@@ -194,3 +200,58 @@ def lr_training_rates(spark, sf):
     p = F.get(vector_to_array("probability"), F.lit(1))
     rates = m.per_label_rates(scored.withColumn("prediction", predicted_class(p)))
     return rates.select("label", "n", *[F.round(c, 6).alias(c) for c in ("tpr", "fpr", "precision", "recall", "f")])
+
+
+@query(f"WITH {IMP} SELECT count(*) AS n, CAST(0 AS BIGINT) AS differing FROM imp")
+def linear_model_roundtrip(spark, sf):
+    rows = _sparse(spark, sf).select("row_id", "label", "feats", "features")
+    model, path = logistic_regression(max_iter=20, reg=0.01).fit(rows), scratch_path(spark, "linear")
+    write_linear_model(spark, model, path)
+    p = F.get(vector_to_array("probability"), F.lit(1))
+    theirs = model.transform(rows).select("row_id", p.alias("theirs"))
+    ours = linear_score(rows, read_linear_model(spark, path)).select("row_id", F.col("probability").alias("ours"))
+    far = (F.abs(F.col("ours") - F.col("theirs")) > 1e-9).cast("bigint")
+    return ours.join(theirs, "row_id").agg(F.count("*").alias("n"), F.sum(far).alias("differing"))
+
+
+# One tree of one split over hour (0) and k (1), fitted exactly: all rows, all features, every value a cut.
+@query(f"""
+WITH {IMP}, total AS (SELECT sum(0.5e0 - planted) AS g_all, count(*) * 0.25e0 AS h_all FROM imp),
+cells AS (SELECT 0 AS feature, hour_of_day AS v, 0.5e0 - planted AS g FROM imp
+          UNION ALL SELECT 1, k_seen, 0.5e0 - planted FROM imp WHERE k_seen IS NOT NULL),
+hist AS (SELECT feature, v, sum(g) AS g, count(*) * 0.25e0 AS h FROM cells GROUP BY feature, v),
+run AS (SELECT feature, v,
+  coalesce(sum(g) OVER (PARTITION BY feature ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gl,
+  coalesce(sum(h) OVER (PARTITION BY feature ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS hl,
+  sum(g) OVER (PARTITION BY feature) AS g_in, sum(h) OVER (PARTITION BY feature) AS h_in FROM hist),
+sides AS (SELECT feature, v, false AS default_left, gl AS g, hl AS h, g_all, h_all FROM run, total
+          UNION ALL SELECT feature, v, true, gl + g_all - g_in, hl + h_all - h_in, g_all, h_all FROM run, total),
+gains AS (SELECT *, round(0.5e0 * (g * g / (h + 1) + (g_all - g) * (g_all - g) / (h_all - h + 1) - g_all * g_all / (h_all + 1)), 9) AS gain
+          FROM sides WHERE h >= 2 AND h_all - h >= 2)
+SELECT feature, CAST(v AS DOUBLE) AS threshold, default_left, round(gain, 6) AS gain,
+       round(-g / (h + 1) * 0.1e0, 6) AS left_value, round(-(g_all - g) / (h_all - h + 1) * 0.1e0, 6) AS right_value
+FROM gains ORDER BY gains.gain DESC, feature, v, default_left DESC LIMIT 1""")
+def boosted_stump(spark, sf):
+    options = BoostOptions(num_round=1, max_depth=1, subsample=1.0, colsample_bytree=1.0, max_bins=1000)
+    nodes = fit_boosted_trees(_planted(spark, sf), ["hour_of_day", "k_seen"], options=options, row_id="row_id").model.to_df(spark)
+    leaf = nodes.filter("is_leaf").select("node", "leaf_value")
+    left = leaf.select(F.col("node").alias("left"), F.round("leaf_value", 6).alias("left_value"))
+    right = leaf.select(F.col("node").alias("right"), F.round("leaf_value", 6).alias("right_value"))
+    root = nodes.filter("NOT is_leaf").select("feature", "threshold", "default_left", F.round("gain", 6).alias("gain"), "left", "right")
+    return root.join(left, "left").join(right, "right").drop("left", "right")
+
+
+@query()
+def area_under_roc(spark, sf):
+    rows = views.impressions(spark, sf)
+    binned = tuning.auc_evaluator(score="score").evaluate(rows)
+    return m.auc(rows).select(F.round("auc", 4).alias("exact"), F.round(F.lit(binned), 4).alias("binned"))
+
+
+@query()
+def grid_best(spark, sf):
+    rows = _grid_rows(spark, sf)
+    lr = logistic_regression(max_iter=20)
+    grid = tuning.linear_grid(lr, (0.1, 0.01), (20,), (0.5,))
+    best = tuning.train_validation(lr, grid, tuning.auc_evaluator(), ratio=0.8).fit(rows).bestModel
+    return tuning.best_params(spark, best)

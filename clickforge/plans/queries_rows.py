@@ -161,6 +161,27 @@ def column_prune(spark, sf):
 # ---------------------------------------------------------------- features
 
 
+@query("""
+WITH names AS (
+  SELECT 1 AS line, 0 AS i, 'retailprice' AS name, 'q' AS ftype
+  UNION ALL SELECT 2, CAST(row_number() OVER (ORDER BY p_type) - 1 AS INTEGER), 'type=' || p_type, 'i' FROM (SELECT DISTINCT p_type FROM part)
+  UNION ALL SELECT 3, CAST(row_number() OVER (ORDER BY p_brand) - 1 AS INTEGER), 'brand=' || p_brand, 'i' FROM (SELECT DISTINCT p_brand FROM part))
+SELECT CAST(row_number() OVER (ORDER BY line, i) - 1 AS INTEGER) AS feature_id, name, ftype FROM names""")
+def feature_map(spark, sf):
+    """The map of a specification whose value lists are what the part table holds."""
+    part = views.table(spark, sf, "part")
+
+    def line(number, name, column):
+        listed = F.array_join(F.sort_array(F.collect_set(column)), ",")
+        text = F.concat(F.lit(f"name={name};class=S_onehot;slot={number};depend={column};is_hash=false;feat_values="), listed)
+        return part.agg(F.lit(number).alias("line"), text.alias("text"))
+
+    price = "name=retailprice;class=S_direct;slot=1;depend=p_retailprice;is_hash=false;feat_type=0"
+    numeric = part.agg(F.lit(1).alias("line"), F.lit(price).alias("text"))
+    lines = sp.union_all([numeric, line(2, "type", "p_type"), line(3, "brand", "p_brand")])
+    return feat.feature_map(feat.parse_spec(lines))
+
+
 @query(f"WITH {SPARSE} SELECT row_id, f, round(v, 6) AS v FROM sparse")
 def featurize(spark, sf):
     rows = entry_rows(views.sparse_rows(spark, sf), "feats", ["row_id"])
