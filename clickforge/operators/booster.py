@@ -2,8 +2,11 @@
 
 Rows are binned once and cached as ``codes`` (see ``binning``). Each level of each tree is one pass
 over the cache that produces a small histogram; only the winning split of every open node reaches
-the driver. Margins are updated once per round by a walk over the codes, and the lineage is cut by
-a checkpoint every few rounds.
+the driver. Margins are updated once per round by a walk over the codes.
+
+The binned rows are written once to the shared folder. Every few rounds the margins are rebuilt from
+that table with all trees so far, so plans stay short and a lost executor costs a read of its rows
+and a few walks, while no round writes the rows again.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -22,9 +25,9 @@ from clickforge.functions import sigmoid
 from clickforge.operators.binning import Cuts, bin_codes, find_cuts
 from clickforge.operators.histogram import best_splits, code_histogram, node_totals, split_candidates
 from clickforge.operators.sparse import feats_column, list_owner
-from clickforge.operators.trees import TreeEnsemble, softmax
+from clickforge.operators.trees import MATRIX_CELLS, TreeEnsemble, softmax
 from clickforge.operators.walk import FlatTree, dense_columns, used_features, walk_tree
-from clickforge.shared import cut_lineage
+from clickforge.shared import drop_scratch, scratch_path
 
 # (margin, label) -> (gradient, hessian)
 Objective = Callable[[Column, Column], tuple[Column, Column]]
@@ -53,7 +56,7 @@ class BoostOptions:
     max_bins: int = 256
     missing: float | None = None
     seed: int = 123
-    checkpoint_interval: int = 10
+    rebuild_interval: int = 10
     partitions: int | None = None
 
 
@@ -168,24 +171,30 @@ class _GrowingTree:
         return rows
 
 
-def _round_values(trees: list[FlatTree], cuts: Cuts):
-    """Arrow function from codes to the round's leaf value per class."""
-    used = used_features(trees)
+def _add_rounds(rounds: list[list[FlatTree]], cuts: Cuts) -> Column:
+    """The margins after adding the leaf values of the rounds, one tree per class each, in order."""
     code_start = cuts.code_start
     feature_of = np.repeat(np.arange(cuts.num_features, dtype=np.int32), np.diff(code_start))
+    used = used_features([t for trees in rounds for t in trees])
     column_of = np.full(max(cuts.num_features, 1), -1, np.int64)
     column_of[used] = np.arange(len(used))
+    step = max(1, MATRIX_CELLS // max(1, len(used)))
 
     @arrow_udf("array<double>")
-    def values(lists: pa.Array) -> pa.Array:
-        codes = lists.flatten().to_numpy(zero_copy_only=False)
-        feature = feature_of[codes]
-        matrix = dense_columns(list_owner(lists), column_of[feature], codes - code_start[feature], len(used), len(lists))
-        out = np.stack([t.value[walk_tree(t, matrix, column_of)] for t in trees], axis=1)
-        offsets = np.arange(len(lists) + 1, dtype=np.int32) * len(trees)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
-
-    return values
+    def added(lists: pa.Array, margins: pa.Array) -> pa.Array:
+        total = margins.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1).copy()
+        for i in range(0, len(lists), step):
+            block = lists.slice(i, step)
+            codes = block.flatten().to_numpy(zero_copy_only=False)
+            feature = feature_of[codes]
+            matrix = dense_columns(list_owner(block), column_of[feature], codes - code_start[feature], len(used), len(block))
+            for trees in rounds:
+                for c, tree in enumerate(trees):
+                    total[i:i + step, c] += tree.value[walk_tree(tree, matrix, column_of)]
+        offsets = np.arange(len(lists) + 1, dtype=np.int32) * total.shape[1]
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(total.ravel()))
+
+    return added("codes", "margins")
 
 
 @dataclass
@@ -223,17 +232,19 @@ def prepare_rows(df: DataFrame, features, label: str, options: BoostOptions, spl
 
 
 def _even_out(binned: DataFrame, partitions: int, options: BoostOptions) -> DataFrame:
-    """Bring the rows into about as many partitions as there are cores.
+    """Deal rows out evenly where they came in fewer partitions than there are cores."""
+    cores = binned.sparkSession.sparkContext.defaultParallelism
+    if options.partitions or partitions < cores:
+        return binned.repartition(options.partitions or cores)
+    return binned
+
 
-    Every task sends one partial histogram, so many small partitions would inflate the shuffle;
-    they are coalesced. Too few would leave cores idle in every pass; then rows are dealt out evenly.
+def _reread(spark: SparkSession, path: str) -> DataFrame:
+    """The binned table in about as many partitions as there are cores.
+
+    Every task sends one partial histogram, so many small partitions would inflate the shuffle.
     """
-    cores = binned.sparkSession.sparkContext.defaultParallelism
-    if options.partitions:
-        return binned.repartition(options.partitions)
-    if partitions < cores:
-        return binned.repartition(cores)
-    return binned.coalesce(2 * cores)
+    return spark.read.parquet(path).coalesce(2 * spark.sparkContext.defaultParallelism)
 
 
 def fit_boosted_trees(df: DataFrame, features, label: str = "label", options: BoostOptions | None = None, *,
@@ -248,36 +259,40 @@ def fit_boosted_trees(df: DataFrame, features, label: str = "label", options: Bo
     evaluated on every split after every round, on the probability (binary models).
     """
     options = options or BoostOptions()
-    base, cuts = prepare_rows(df, features, label, options, split, row_id, margin)
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    spare: list[DataFrame] = [base]
+    spark = df.sparkSession
+    rows, cuts = prepare_rows(df, features, label, options, split, row_id, margin)
+    path = scratch_path(spark, "boost")
+    rows.write.parquet(path)
+    table = _reread(spark, path)
+    current = table.persist(StorageLevel.MEMORY_AND_DISK)
+    held = [current]
     nodes: list[dict] = []
+    rounds: list[list[FlatTree]] = []
     history: list[tuple] = []
-    k = options.num_class
     try:
         for round_ in range(options.num_round):
-            trees = _grow_round(base, cuts, options, objective, round_)
+            trees = _grow_round(current, cuts, options, objective, round_)
             for tree in trees:
-                nodes += tree.model_rows(round_ * k + tree.class_id, cuts)
+                nodes += tree.model_rows(round_ * options.num_class + tree.class_id, cuts)
+            rounds.append([t.flat() for t in trees])
             if round_ + 1 == options.num_round and not metrics:
                 break
-            value = _round_values([t.flat() for t in trees], cuts)(F.col("codes"))
-            updated = base.withColumn("margins", F.zip_with("margins", value, lambda a, b: a + b))
-            updated = updated.persist(StorageLevel.MEMORY_AND_DISK)
-            spare.append(updated)
+            if (round_ + 1) % options.rebuild_interval == 0:
+                updated = table.withColumn("margins", _add_rounds(rounds, cuts))
+            else:
+                updated = current.withColumn("margins", _add_rounds(rounds[-1:], cuts))
+            current = updated.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(current)
             if metrics:
-                history += _evaluate(updated, round_, metrics)
-            if (round_ + 1) % options.checkpoint_interval == 0:
-                updated = cut_lineage(updated).persist(StorageLevel.MEMORY_AND_DISK)
-                spare.append(updated)
-            base = updated
-            # The newest copies are still needed: the latest is filled from the one before it.
-            while len(spare) > 2:
-                spare.pop(0).unpersist()
+                history += _evaluate(current, round_, metrics)
+            # The copy before the newest is still what the newest is filled from.
+            while len(held) > 2:
+                held.pop(0).unpersist()
     finally:
-        for held in spare:
-            held.unpersist()
-    return BoostResult(TreeEnsemble(nodes, k), history)
+        for copy in held:
+            copy.unpersist()
+        drop_scratch(spark, path)
+    return BoostResult(TreeEnsemble(nodes, options.num_class), history)
 
 
 def _evaluate(rows: DataFrame, round_: int, metrics: dict[str, Metric]) -> list[tuple]:

@@ -39,6 +39,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/clickforge-{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that this process wrote."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
     """Mark ``df`` for broadcast if it has at most ``rows`` rows; otherwise leave it alone."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
