@@ -255,16 +255,17 @@ def string_leaf_vocabulary(df: DataFrame, leaves: str = "leaves") -> DataFrame:
     counts = leaf_long(df, leaves, []).groupBy("tree", "leaf").agg(F.count("*").alias("n"))
     order = Window.partitionBy("tree").orderBy(F.desc("n"), F.col("leaf").cast("string"))
     indexed = counts.withColumn("index", F.row_number().over(order) - 1)
-    return _with_position(indexed, F.count("*"))
+    return _with_position(indexed)
 
 
-def _with_position(entries: DataFrame, size: Column) -> DataFrame:
-    """Add ``position = index + sum of the sizes of the trees before``."""
-    before = Window.orderBy("tree").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = entries.groupBy("tree").agg(size.alias("__size"))
-    offsets = sizes.select("tree", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
-    joined = entries.join(F.broadcast(offsets), "tree")
-    return joined.withColumn("position", (F.col("index") + F.col("__offset")).cast("int")).drop("__offset")
+def _with_position(entries: DataFrame) -> DataFrame:
+    """Add ``position``: the index plus the sizes of the trees before, that is the rank over all trees.
+
+    The table has one row per leaf of the model, so one ordered window is enough, and the rows
+    behind it are read once.
+    """
+    rank = F.row_number().over(Window.orderBy("tree", "index"))
+    return entries.withColumn("position", rank - 1)
 
 
 def node_leaf_vocabulary(df: DataFrame, leaves: str = "leaves") -> DataFrame:
@@ -282,7 +283,7 @@ def ordinal_leaf_vocabulary(spark: SparkSession, model: TreeEnsemble) -> DataFra
     """
     leaves = model.to_df(spark).filter("is_leaf").select("tree", F.col("node").alias("leaf"))
     indexed = leaves.withColumn("index", F.row_number().over(Window.partitionBy("tree").orderBy("leaf")) - 1)
-    return _with_position(indexed, F.count("*"))
+    return _with_position(indexed)
 
 
 def _lookup_column(entries: list[tuple[int, int, int]], trees: int) -> Column:

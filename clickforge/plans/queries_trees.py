@@ -225,18 +225,19 @@ def grad_hess(spark, sf):
 
 
 # Feature 0: discount in hundredths, 1: quantity in steps of five, 2: tax in hundredths, missing at zero.
-CELLS = f"""{ORDER_LINES}, cells AS (
-  SELECT l_orderkey, label, 0 AS feature, CAST(round(100 * l_discount) AS INTEGER) AS bin FROM ol
-  UNION ALL SELECT l_orderkey, label, 1, CAST(floor(l_quantity / 5) AS INTEGER) FROM ol
-  UNION ALL SELECT l_orderkey, label, 2, CAST(round(100 * l_tax) AS INTEGER) FROM ol WHERE l_tax > 0)"""
+CELLS = f"""{ORDER_LINES}, lines AS (SELECT *, CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END AS node FROM ol), cells AS (
+  SELECT node, label, 0 AS feature, CAST(round(100 * l_discount) AS INTEGER) AS bin FROM lines
+  UNION ALL SELECT node, label, 1, CAST(floor(l_quantity / 5) AS INTEGER) FROM lines
+  UNION ALL SELECT node, label, 2, CAST(round(100 * l_tax) AS INTEGER) FROM lines WHERE l_tax > 0)"""
 
 
 def _cells(spark, sf):
-    lines = views.order_lines(spark, sf)
+    status = F.when(F.col("l_linestatus") == "F", 0).otherwise(1)
+    lines = views.order_lines(spark, sf).withColumn("node", status)
     bins = [F.round(100 * F.col("l_discount")), F.floor(F.col("l_quantity") / 5),
             F.when(F.col("l_tax") > 0, F.round(100 * F.col("l_tax")))]
     pairs = F.array(*[F.struct(F.lit(i).alias("feature"), b.cast("int").alias("bin")) for i, b in enumerate(bins)])
-    cells = lines.select("label", F.inline_outer(pairs))
+    cells = lines.select("node", "label", F.inline_outer(pairs))
     return lines, cells.filter(F.col("bin").isNotNull())
 
 
@@ -262,16 +263,17 @@ def bin_features(spark, sf):
     return long.groupBy("feature", "bin").agg(F.count("*").alias("n"))
 
 
-SPLITS = f"""{CELLS}, total AS (SELECT sum(0.5e0 - label) AS g_all, count(*) * 0.25e0 AS h_all FROM ol),
-hist AS (SELECT feature, bin, sum(0.5e0 - label) AS g, count(*) * 0.25e0 AS h FROM cells GROUP BY feature, bin),
-run AS (SELECT feature, bin,
-  coalesce(sum(g) OVER (PARTITION BY feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gl,
-  coalesce(sum(h) OVER (PARTITION BY feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS hl,
-  sum(g) OVER (PARTITION BY feature) AS g_in, sum(h) OVER (PARTITION BY feature) AS h_in FROM hist),
+# Two open nodes, by line status.
+SPLITS = f"""{CELLS}, total AS (SELECT node, sum(0.5e0 - label) AS g_all, count(*) * 0.25e0 AS h_all FROM lines GROUP BY node),
+hist AS (SELECT node, feature, bin, sum(0.5e0 - label) AS g, count(*) * 0.25e0 AS h FROM cells GROUP BY node, feature, bin),
+run AS (SELECT node, feature, bin,
+  coalesce(sum(g) OVER (PARTITION BY node, feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gl,
+  coalesce(sum(h) OVER (PARTITION BY node, feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS hl,
+  sum(g) OVER (PARTITION BY node, feature) AS g_in, sum(h) OVER (PARTITION BY node, feature) AS h_in FROM hist),
 sides AS (
-  SELECT feature, bin, false AS default_left, gl AS g_left, hl AS h_left, g_all, h_all FROM run, total
-  UNION ALL SELECT feature, bin, true, gl + g_all - g_in, hl + h_all - h_in, g_all, h_all FROM run, total),
-gains AS (SELECT feature, bin, default_left, g_left, h_left, round(0.5e0 * (g_left * g_left / (h_left + 1)
+  SELECT node, feature, bin, false AS default_left, gl AS g_left, hl AS h_left, g_all, h_all FROM run JOIN total USING (node)
+  UNION ALL SELECT node, feature, bin, true, gl + g_all - g_in, hl + h_all - h_in, g_all, h_all FROM run JOIN total USING (node)),
+gains AS (SELECT node, feature, bin, default_left, g_left, h_left, round(0.5e0 * (g_left * g_left / (h_left + 1)
   + (g_all - g_left) * (g_all - g_left) / (h_all - h_left + 1) - g_all * g_all / (h_all + 1)) - 0.2e0, 9) AS gain
   FROM sides WHERE h_left >= 2 AND h_all - h_left >= 2)"""
 
@@ -279,23 +281,23 @@ gains AS (SELECT feature, bin, default_left, g_left, h_left, round(0.5e0 * (g_le
 def _candidates(spark, sf):
     lines, cells = _cells(spark, sf)
     g, h = weighted_gradient(F.lit(0.0), F.col("label"))
-    histogram = cells.groupBy("feature", "bin").agg(F.sum(g).alias("g"), F.sum(h).alias("h"))
-    histogram = histogram.withColumns({"class_id": F.lit(0), "node": F.lit(0)})
-    totals = lines.agg(F.sum(g).alias("g_all"), F.sum(h).alias("h_all")).withColumns({"class_id": F.lit(0), "node": F.lit(0)})
+    one = F.lit(0).alias("class_id")
+    histogram = cells.groupBy(one, "node", "feature", "bin").agg(F.sum(g).alias("g"), F.sum(h).alias("h"))
+    totals = lines.groupBy(one, "node").agg(F.sum(g).alias("g_all"), F.sum(h).alias("h_all"))
     return hist.split_candidates(histogram, totals, gamma=0.2, min_child_weight=2.0)
 
 
-@query(f"WITH {SPLITS} SELECT feature, bin, default_left, round(gain, 6) AS gain FROM gains")
+@query(f"WITH {SPLITS} SELECT node, feature, bin, default_left, round(gain, 6) AS gain FROM gains")
 def split_gains(spark, sf):
-    return _candidates(spark, sf).select("feature", "bin", "default_left", F.round("gain", 6).alias("gain"))
+    return _candidates(spark, sf).select("node", "feature", "bin", "default_left", F.round("gain", 6).alias("gain"))
 
 
 @query(f"""
-WITH {SPLITS} SELECT feature, bin, default_left, round(gain, 6) AS gain, round(g_left, 6) AS g_left, round(h_left, 6) AS h_left
-FROM gains ORDER BY gains.gain DESC, feature, bin, default_left DESC LIMIT 1""")
+WITH {SPLITS} SELECT node, feature, bin, default_left, round(gain, 6) AS gain, round(g_left, 6) AS g_left, round(h_left, 6) AS h_left
+FROM gains QUALIFY row_number() OVER (PARTITION BY node ORDER BY gains.gain DESC, feature, bin, default_left DESC) = 1""")
 def split_search(spark, sf):
     best = hist.best_splits(_candidates(spark, sf))
-    return best.select("feature", "bin", "default_left", *[F.round(c, 6).alias(c) for c in ("gain", "g_left", "h_left")])
+    return best.select("node", "feature", "bin", "default_left", *[F.round(c, 6).alias(c) for c in ("gain", "g_left", "h_left")])
 
 
 @query(f"""

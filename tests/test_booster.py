@@ -234,6 +234,23 @@ def test_cut_points(spark):
     assert probe.select(binning.bin_codes("feats", cuts)).first()[0] == [0, 1, 3, 4]
 
 
+def test_golden_first_split(spark):
+    """Discount and quantity bins of the line items at scale 0.01, label = returned."""
+    lines = views.order_lines(spark, "/root/testdata/sf0.01")
+    g, h = logistic_gradient(F.lit(0.0), F.col("label"))
+    cell = lambda i, b: F.struct(F.lit(i).alias("feature"), b.cast("int").alias("bin"))
+    cells = lines.select("label", F.inline_outer(F.array(
+        cell(0, F.round(100 * F.col("l_discount"))), cell(1, F.floor(F.col("l_quantity") / 5)))))
+    cells = cells.groupBy(F.lit(0).alias("class_id"), F.lit(0).alias("node"), "feature", "bin").agg(F.sum(g).alias("g"), F.sum(h).alias("h"))
+    total = lines.agg(F.sum(g).alias("g"), F.sum(h).alias("h")).first()
+    totals = histogram.node_totals(spark, [(0, 0, total["g"], total["h"])])
+    candidates = histogram.split_candidates(cells, totals, gamma=0.2)
+    best = histogram.best_splits(candidates).first()
+    # The last discount bin on the left side is 9; a split is named by the first bin on the right.
+    assert (best["feature"], best["bin"] - 1, round(best["gain"], 6)) == (0, 9, 0.442129)
+    assert candidates.filter("feature = 1").agg(F.max(F.round("gain", 6))).first()[0] <= 0.442129
+
+
 def test_histogram_does_not_grow_with_rows(spark, planted):
     """The rows that leave the Arrow stage are bounded by tasks x cells."""
     few = planted.limit(200)
