@@ -161,7 +161,11 @@ def rounded(evaluation):
 @query(f"WITH {IMP} SELECT count(*) AS n, CAST(0 AS BIGINT) AS differing FROM imp")
 def same_predictions(spark, sf):
     left = views.impressions(spark, sf).select("row_id", "score")
-    differing = m.same_predictions(left, left.select("score", "row_id")).agg(F.count("*").alias("differing"))
-    # Two one-row tables.
-    counted = left.agg(F.count("*").alias("n")).withColumn("one", F.lit(1))
-    return counted.join(differing.withColumn("one", F.lit(1)), "one").select("n", "differing")
+    return compared(left, m.same_predictions(left, left.select("score", "row_id")))
+
+
+def compared(rows, differing):
+    """``(n, differing)``: how many rows there are and how many differ."""
+    counts = rows.agg(F.count("*").alias("n"), F.lit(0).cast("bigint").alias("differing"))
+    found = differing.agg(F.lit(0).cast("bigint").alias("n"), F.count("*").alias("differing"))
+    return counts.unionByName(found).agg(F.sum("n").alias("n"), F.sum("differing").alias("differing"))

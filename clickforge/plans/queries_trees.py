@@ -12,6 +12,7 @@ from clickforge.operators.booster import weighted_gradient
 from clickforge.operators.sparse import element_rows
 from clickforge.plans import views
 from clickforge.plans.catalog import IMP, LEAVES, ORDER_LINES, SPARSE, query
+from clickforge.plans.queries_metrics import compared
 from clickforge.shared import scratch_path
 from clickforge.sources import write_importance_csv
 
@@ -81,10 +82,7 @@ def tree_model_roundtrip(spark, sf):
     rows = views.sparse_rows(spark, sf)
     before = t.tree_predict(rows, model, "feats").select("row_id", "probability")
     after = t.tree_predict(rows, t.TreeEnsemble.load(spark, path), "feats").select("row_id", "probability")
-    differing = metrics.same_predictions(before, after).agg(F.count("*").alias("differing"))
-    counted = rows.agg(F.count("*").alias("n"))
-    # Two one-row tables.
-    return counted.withColumn("one", F.lit(1)).join(differing.withColumn("one", F.lit(1)), "one").select("n", "differing")
+    return compared(rows, metrics.same_predictions(before, after))
 
 
 # ---------------------------------------------------------------- leaf encodings
