@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickforge.llm import decontaminate, lines, minhash, substring
+from clickforge.llm import bpe, decontaminate, lines, minhash, quality, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,35 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without later copies of runs of three or more lines."""
     out = lines.drop_repeated_lines(table(spark, sf_dir, "documents"), min_lines=3)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+@query()
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdicts of all documents; brute force in the tests."""
+    return quality.quality_verdicts(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed", ",").alias("failed"))
+
+
+def tokenizer() -> tuple[str, str]:
+    """The path of the vocabulary and the splitting pattern."""
+    try:
+        import public_tokenizers
+    except ImportError:
+        import importlib.util
+        import os
+
+        where = os.path.join(os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers"), "__init__.py")
+        spec = importlib.util.spec_from_file_location("public_tokenizers", where)
+        public_tokenizers = importlib.util.module_from_spec(spec)
+        spec.loader.exec_module(public_tokenizers)
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query()
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all texts and their round trip; held against the tokenizer's own library in the tests."""
+    path, pattern = tokenizer()
+    ranks = bpe.load_ranks(spark, path)
+    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern), ranks)
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
