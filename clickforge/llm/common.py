@@ -12,12 +12,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickforge.shared import broadcast_within, drop_scratch, scratch_path
 
-__all__ = ["broadcast_within", "drop_scratch", "scratch_path", "Words", "word_chunks", "ngram_hashes", "rolling", "mix64", "stored", "keyed", "parted"]
+__all__ = ["broadcast_within", "drop_scratch", "scratch_path", "Words", "word_chunks", "ngram_hashes", "rolling", "mix64", "stored", "keyed", "parted", "row_id"]
 
 CHUNK_BYTES = 1 << 20
 #: Ids that may be broadcast: 8 bytes each, so at most some tens of megabytes in an executor.
@@ -152,10 +152,14 @@ def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def row_id() -> Column:
+    """64 bits for ``doc_id`` and ``text``: rows equal in both are one document."""
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.isnull("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` (null as empty) and ``rid``, 64 bits for both: rows equal in both are one document."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return docs.withColumn("rid", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.isnull("doc_id"), "text"))
+    """``doc_id``, ``text`` (null as empty) and ``rid``, as ``row_id`` gives it."""
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), row_id().alias("rid"))
 
 
 def parted(docs: DataFrame, rids: DataFrame) -> tuple[DataFrame, DataFrame]:

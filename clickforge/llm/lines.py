@@ -67,6 +67,12 @@ def repeated_runs(docs: DataFrame, min_lines: int = 3) -> DataFrame:
     return runs.groupBy("doc_id", "rid").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("runs"))
 
 
+def without_runs() -> Column:
+    """``text`` without the lines in ``runs``."""
+    stay = F.filter(F.split("text", "\n"), lambda x, i: ~F.exists("runs", lambda r: (i >= r["start"]) & (i < r["stop"])))
+    return F.array_join(stay, "\n")
+
+
 def drop_repeated_lines(docs: DataFrame, min_lines: int = 3) -> DataFrame:
     """Every row of ``docs`` (doc_id, text; further columns are ignored) without later copies of repeated line runs.
 
@@ -83,7 +89,6 @@ def drop_repeated_lines(docs: DataFrame, min_lines: int = 3) -> DataFrame:
     touched, plain = parted(docs, runs.select("rid"))
     lines = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines")
     none = F.expr("cast(array() as array<struct<start:int,stop:int>>)")
-    stay = F.filter(F.split("text", "\n"), lambda x, i: ~F.exists("runs", lambda r: (i >= r["start"]) & (i < r["stop"])))
     gone = F.aggregate("runs", F.lit(0).cast("long"), lambda acc, r: acc + (r["stop"] - r["start"])).alias("n_removed")
-    cut = touched.join(runs.select("rid", "runs"), "rid").select("doc_id", "rid", lines, gone, "runs", F.array_join(stay, "\n").alias("text"))
+    cut = touched.join(runs.select("rid", "runs"), "rid").select("doc_id", "rid", lines, gone, "runs", without_runs().alias("text"))
     return plain.select("doc_id", "rid", lines, F.lit(0).cast("long").alias("n_removed"), none.alias("runs"), "text").unionByName(cut)

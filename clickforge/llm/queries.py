@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickforge.llm import bpe, decontaminate, lines, minhash, quality, substring
+from clickforge.llm import bpe, decontaminate, html, lines, minhash, quality, substring, toxicity, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -124,3 +124,51 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a classifier that never saw the held-out labels; held-out accuracy in the tests."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held))
+    return model.score(docs).select(
+        "doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query()
+def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules and template purities of all urls; brute force in the tests."""
+    return urls.judged_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "template")
+
+
+WARC_SQL = r"""
+WITH u AS (SELECT page_id, coalesce(url, '') AS uri, coalesce(html, '') AS body, md5(coalesce(CAST(page_id AS VARCHAR), '') || ' ' || coalesce(url, '')) AS h FROM pages),
+r AS (SELECT *, '<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] || '>' AS id FROM u),
+t AS (SELECT page_id, uri, id, 'sha1:' || sha1(body) AS source_digest, 'conversion' AS type, trim(regexp_replace(regexp_replace(
+ replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(body,
+ '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'),
+ '(?i)<(/?(p|div|li|ul|ol|h[1-6]|article|nav|footer|header|title|tr|table)|br)[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g'),
+ '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'),
+ '[ \t\r\f]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10)) AS block FROM r
+ UNION ALL
+ SELECT page_id, uri, id, 'sha1:' || sha1(body), 'metadata', '{"http_status":200,"http_headers":{"Content-Type":"text/html; charset=utf-8","Content-Length":"'
+  || octet_length(encode(body)) || '"},"payload_digest":"sha1:' || sha1(body) || '","title":' || to_json(trim(regexp_extract(body, '(?is)<title[^>]*>(.*?)</title>', 1)))
+  || ',"links":' || to_json(regexp_extract_all(body, '<a [^>]*?href="([^"]*)"', 1)) || '}' FROM r)
+SELECT page_id, type, id AS refers_to, uri, source_digest, 'sha1:' || sha1(block) AS block_digest, octet_length(encode(block))::BIGINT AS n_bytes FROM t
+"""
+
+
+@query(WARC_SQL)
+def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata and conversion records of all pages."""
+    made = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    return made.select(
+        "page_id", "type", "refers_to", "uri", F.col("payload_digest").alias("source_digest"), "block_digest",
+        F.octet_length("block").cast("long").alias("n_bytes"))
+
+
+@query()
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages; brute force and hand-made pages in the tests."""
+    return html.main_texts(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
