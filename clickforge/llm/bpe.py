@@ -13,7 +13,7 @@ import heapq
 import json
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import regex
@@ -71,35 +71,41 @@ def rank_literal(ranks: dict[bytes, int]) -> Column:
     return F.from_json(F.lit(json.dumps(slots, separators=(",", ":"))), "array<map<string,int>>")
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def folded(piece: str, slots: Column) -> Column:
     """The ids of a piece (its bytes as hex): as many merge steps as it has neighbours, each joining the least-ranked pair."""
+    return _let(slots, lambda bound: _folded(F.col(piece), bound))
 
-    def rank(token: Column) -> Column:
-        return F.try_element_at(F.get(slots, (F.crc32(token) % SLOTS).cast("int")), token)
 
+def _folded(piece: Column, slots: Column) -> Column:
     none = F.lit(1 << 30)
 
-    def let(value: Column, then) -> Column:
-        return F.element_at(F.transform(F.array(value), then), 1)
+    def rank(token: Column) -> Column:
+        return F.try_element_at(F.get(slots, (F.crc32(token) % SLOTS).cast("int")), token)
 
     def joined(parts: Column, ranks: Column) -> Column:
-        return let(F.array_min(ranks), lambda low: F.when(low == none, parts).otherwise(let(
+        return _let(F.array_min(ranks), lambda low: F.when(low == none, parts).otherwise(_let(
             F.array_position(ranks, low).cast("int"), lambda p: F.concat(
                 F.slice(parts, 1, p - 1), F.array(F.concat(F.element_at(parts, p), F.element_at(parts, p + 1))),
                 F.slice(parts, p + 2, F.size(parts))))))
 
     def step(parts: Column) -> Column:
         ranks = F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda x, i: F.coalesce(rank(F.concat(x, F.get(parts, i + 1))), none))
-        return let(ranks, lambda r: joined(parts, r))
+        return _let(ranks, lambda r: joined(parts, r))
 
     def after(acc: Column) -> Column:
-        return let(step(acc["parts"]), lambda p: F.struct(p.alias("parts"), (F.size(p) == F.size(acc["parts"])).alias("done")))
+        return _let(step(acc["parts"]), lambda p: F.struct(p.alias("parts"), (F.size(p) == F.size(acc["parts"])).alias("done")))
 
-    single = F.transform(F.sequence(F.lit(0), (F.length(piece) / 2).cast("int") - 1), lambda i: F.substring(F.col(piece), (2 * i + 1).cast("int"), F.lit(2)))
+    size = (F.length(piece) / 2).cast("int")
+    single = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.substring(piece, (2 * i + 1).cast("int"), F.lit(2)))
     fold = F.aggregate(
-        F.sequence(F.lit(1), (F.length(piece) / 2).cast("int")), F.struct(single.alias("parts"), F.lit(False).alias("done")),
+        F.sequence(F.lit(1), size), F.struct(single.alias("parts"), F.lit(False).alias("done")),
         lambda acc, _: F.when(acc["done"] | (F.size(acc["parts"]) < 2), F.struct(acc["parts"].alias("parts"), F.lit(True).alias("done"))).otherwise(after(acc)))
-    return F.coalesce(F.when(rank(F.col(piece)).isNotNull(), F.array(rank(F.col(piece)))), F.transform(fold["parts"], rank))
+    return _let(rank(piece), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(fold["parts"], rank)))
 
 
 def frequent_pieces(docs: DataFrame, pattern: str, at_most: int = TABLE_PIECES) -> DataFrame:
