@@ -89,17 +89,18 @@ def judged_urls(
     seen = F.count("ruled")
     leaf, _ = stored(known.groupBy("host", "template").agg(bad.alias("bad"), seen.alias("seen")), "purity")
     # siblings in the order of their shares: a branch that differs from the one before it opens a new group
-    siblings = Window.partitionBy("host").orderBy(F.col("bad") / F.greatest("seen", F.lit(1)), "template")
+    leaf = leaf.withColumn("labelled", F.col("seen") > 0)  # branches without labels are judged by their host's counts
+    siblings = Window.partitionBy("host", "labelled").orderBy(F.col("bad") / F.greatest("seen", F.lit(1)), "template")
     last_bad, last_seen = F.lag("bad").over(siblings), F.lag("seen").over(siblings)
     pooled = (F.col("bad") + last_bad) / (F.col("seen") + last_seen)
     error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("seen") + 1 / last_seen))
-    differs = (F.col("seen") > 0) & (last_seen > 0) & (F.abs(F.col("bad") / F.col("seen") - last_bad / last_seen) > z * error)
+    differs = F.col("labelled") & (F.abs(F.col("bad") / F.col("seen") - last_bad / last_seen) > z * error)
     grouped = leaf.withColumn("opens", F.coalesce(differs, F.lit(False)).cast("int")).withColumn("branch", F.sum("opens").over(siblings))
-    branches = grouped.groupBy("host", "branch").agg(F.sum("bad").alias("b_bad"), F.sum("seen").alias("b_seen"))
+    branches = grouped.groupBy("host", "labelled", "branch").agg(F.sum("bad").alias("b_bad"), F.sum("seen").alias("b_seen"))
     hosts = leaf.groupBy("host").agg(F.sum("bad").alias("h_bad"), F.sum("seen").alias("h_seen"))
     corpus = leaf.agg(((F.sum("bad") + prior / 2) / (F.sum("seen") + prior)).alias("base"))
     of_host = (F.col("h_bad") + prior * F.coalesce("base", F.lit(0.5))) / (F.col("h_seen") + prior)
-    scored = grouped.select("host", "template", "branch").join(branches, ["host", "branch"]).join(hosts, "host").join(F.broadcast(corpus)).select(  # one row
+    scored = grouped.select("host", "template", "labelled", "branch").join(branches, ["host", "labelled", "branch"]).join(hosts, "host").join(F.broadcast(corpus)).select(  # one row
         "host", "template", ((F.col("b_bad") + prior * of_host) / (F.col("b_seen") + prior)).alias("purity"))
     return known.join(scored, ["host", "template"]).select(
         "page_id", "host", "path", "template", "purity", F.col("ruled.rule").alias("rule"),
