@@ -32,7 +32,7 @@ def linear_score(df: DataFrame, weights: DataFrame, feats: str = "feats") -> Dat
     """Append ``margin``, ``probability`` and ``prediction`` from ``(index, weight)`` rows.
 
     The weights have one row per feature, like the model they come from; they travel with the
-    function, and rows are neither exploded nor shuffled.
+    function, and rows are neither exploded nor shuffled. A feature id below 0 is an error.
     """
     rows = weights.collect()
     size = max((r["index"] for r in rows), default=-1) + 1
@@ -49,6 +49,8 @@ def linear_score(df: DataFrame, weights: DataFrame, feats: str = "feats") -> Dat
         entries = lists.flatten()
         ids = entries.field("f").to_numpy(zero_copy_only=False)
         values = entries.field("v").to_numpy(zero_copy_only=False)
+        if len(ids) and ids.min() < 0:
+            raise ValueError(f"feature id {ids.min()} below 0")
         known = ids < size
         products = np.zeros(len(ids))
         products[known] = dense[ids[known]] * values[known]

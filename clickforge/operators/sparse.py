@@ -73,7 +73,7 @@ def element_rows(df: DataFrame, array: str | Column, names: tuple[str, str], key
 
 
 def feats_to_vector(feats: str | Column, size: int) -> Column:
-    """Sparse MLlib vector of the given size; ids at or above it are dropped."""
+    """Sparse MLlib vector of the given size; an id outside ``[0, size)`` is an error."""
 
     @arrow_udf(VectorUDT())
     def assemble(rows: pa.Array) -> pa.Array:
@@ -81,14 +81,15 @@ def feats_to_vector(feats: str | Column, size: int) -> Column:
         ids = entries.field("f").to_numpy(zero_copy_only=False)
         values = entries.field("v").to_numpy(zero_copy_only=False)
         owner = list_owner(rows)
-        keep = ids < size
-        offsets = list_offsets(owner[keep], len(rows))
+        if len(ids) and (ids.min() < 0 or ids.max() >= size):
+            raise ValueError(f"feature id {ids.min() if ids.min() < 0 else ids.max()} outside [0, {size})")
+        offsets = list_offsets(owner, len(rows))
         return pa.StructArray.from_arrays(
             [
                 pa.array(np.zeros(len(rows), np.int8)),
                 pa.array(np.full(len(rows), size, np.int32)),
-                pa.ListArray.from_arrays(offsets, pa.array(ids[keep].astype(np.int32))),
-                pa.ListArray.from_arrays(offsets, pa.array(values[keep])),
+                pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32))),
+                pa.ListArray.from_arrays(offsets, pa.array(values)),
             ],
             names=["type", "size", "indices", "values"],
         )

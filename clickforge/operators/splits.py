@@ -12,10 +12,16 @@ from pyspark.sql import functions as F
 MIX_FACTOR, MIX_STEP, MIX_RANGE = 1_103_515_245, 12_345, 2_147_483_648
 
 
-def mix_key(key: str | Column) -> Column:
-    """Scatter a non-negative key over [0, 2**31); the same in every engine."""
+def mix_key(key: str | Column, salt: int = 0) -> Column:
+    """Scatter a non-negative key over [0, 2**31); the same in every engine.
+
+    Each ``salt`` swaps the value's halves and mixes once more: draws with different salts are independent of each other.
+    """
     key = F.col(key) if isinstance(key, str) else key
-    return (F.pmod(key.cast("bigint"), F.lit(MIX_RANGE)) * MIX_FACTOR + MIX_STEP) % MIX_RANGE
+    mixed = (F.pmod(key.cast("bigint"), F.lit(MIX_RANGE)) * MIX_FACTOR + MIX_STEP) % MIX_RANGE
+    for _ in range(salt):
+        mixed = ((F.floor(mixed / 65536) + (mixed % 65536) * 32768) * MIX_FACTOR + MIX_STEP) % MIX_RANGE
+    return mixed
 
 
 def _cut_points(weights: Sequence[float]) -> list[int]:
@@ -26,18 +32,18 @@ def _cut_points(weights: Sequence[float]) -> list[int]:
     return cuts
 
 
-def key_split(key: str | Column, weights: Sequence[float], names: Sequence[str]) -> Column:
+def key_split(key: str | Column, weights: Sequence[float], names: Sequence[str], salt: int = 0) -> Column:
     """Split name of a row from its key: reproducible under any partitioning."""
-    mixed = mix_key(key)
+    mixed = mix_key(key, salt)
     split = F.lit(names[-1])
     for cut, name in reversed(list(zip(_cut_points(weights), names))):
         split = F.when(mixed < cut, name).otherwise(split)
     return split
 
 
-def k_fold(key: str | Column, folds: int) -> Column:
-    """Fold number 0 .. folds-1 of a row from its key."""
-    return F.floor(mix_key(key) * folds / MIX_RANGE).cast("int")
+def k_fold(key: str | Column, folds: int, salt: int = 0) -> Column:
+    """Fold number 0 .. folds-1 of a row from its key; inside a part of ``key_split`` take another salt than there."""
+    return F.floor(mix_key(key, salt) * folds / MIX_RANGE).cast("int")
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int = 123) -> list[DataFrame]:

@@ -38,7 +38,7 @@ imp AS (
   SELECT *, CASE WHEN k % 7 <> 0 THEN k END AS k_seen,
          1e-2 * value - 2e-2 * hour_of_day - 1.4e0 AS margin0,
          round(1e0 / (1e0 + exp(-(1e-2 * value - 2e-2 * hour_of_day - 1.4e0))), 9) AS score,
-         CASE WHEN ((value > 50 AND hour_of_day < 12) OR k > 70) <> (mix < 214748364) THEN 1 ELSE 0 END AS planted,
+         CASE WHEN ((value > 50 AND hour_of_day < 12) OR k > 70) <> ((((mix // 65536) + (mix % 65536) * 32768) * 1103515245 + 12345) % 2147483648 < 214748364) THEN 1 ELSE 0 END AS planted,
          CASE WHEN mix < 1717986918 THEN 'train' WHEN mix < 1932735283 THEN 'eval' ELSE 'test' END AS split
   FROM imp0)"""
 

@@ -133,12 +133,12 @@ def text_pipeline(spark, sf):
 @query("SELECT count(*) AS n, CAST(0 AS BIGINT) AS differing FROM embeddings")
 def pipeline_save_load(spark, sf):
     rows = views.vectors(spark, sf).select(
-        "vec_id", F.concat(F.lit("class_"), (F.col("label") % 3).cast("string")).alias("target"),
-        *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(4)])
+        "vec_id", F.concat(F.lit("class_"), F.col("label").cast("string")).alias("target"),
+        *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(64)])
     # The labels in index order: by falling count, then by name.
     counts = rows.groupBy("target").count().orderBy(F.desc("count"), "target").collect()
-    pipeline = jobs.tabular_pipeline([f"e{i}" for i in range(4)], "target", [r["target"] for r in counts],
-                                     numRound=2, maxDepth=2, numClass=3, maxBins=32)
+    pipeline = jobs.tabular_pipeline([f"e{i}" for i in range(64)], "target", [r["target"] for r in counts],
+                                     numRound=2, maxDepth=2, numClass=len(counts), maxBins=32)
     model, path = pipeline.fit(rows), scratch_path(spark, "pipeline")
     model.write().overwrite().save(path)
     before = model.transform(rows).select("vec_id", "prediction", "predicted_label")

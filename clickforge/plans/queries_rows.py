@@ -308,7 +308,8 @@ def ctr_bucketize(spark, sf):
 
 @query()
 def hashing_tf(spark, sf):
-    words = feat.tokenizer().transform(views.texts(spark, sf))
+    docs = views.table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    words = feat.tokenizer().transform(docs)
     hashed = feat.hashing_tf(1000).transform(words)
     values = F.unwrap_udt("features")["values"]
     total = F.aggregate(values, F.lit(0.0), lambda a, v: a + v)

@@ -41,7 +41,7 @@ def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event with a label, a fixed score and a planted, learnable label."""
     margin = 0.01 * F.col("value") - 0.02 * F.col("hour_of_day") - 1.4
     planted = ((F.col("value") > 50) & (F.col("hour_of_day") < 12)) | (F.col("k") > 70)
-    flipped = F.col("mix") < 214_748_364
+    flipped = F.col("noise") < 214_748_364
     return (
         table(spark, sf_dir, "events")
         .select(
@@ -49,7 +49,7 @@ def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("event_type") == "click").cast("double").alias("label"),
             F.to_date("ts").alias("dt"), F.hour("ts").alias("hour_of_day"),
             F.get_json_object("props", "$.k").cast("int").alias("k"),
-            mix_key("event_id").alias("mix"),
+            mix_key("event_id").alias("mix"), mix_key("event_id", salt=1).alias("noise"),
         )
         .withColumns({
             "k_seen": F.when(F.col("k") % 7 != 0, F.col("k")),
@@ -58,6 +58,7 @@ def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "planted": (planted != flipped).cast("int"),
             "split": key_split("row_id", [0.8, 0.1, 0.1], ["train", "eval", "test"]),
         })
+        .drop("noise")
     )
 
 

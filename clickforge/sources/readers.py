@@ -49,13 +49,15 @@ def read_libsvm(spark: SparkSession, paths: PathSpec, num_features: int | None =
 def read_sparse_text(spark: SparkSession, paths: PathSpec, index_base: int = 1) -> DataFrame:
     """``(label, feats array<struct<f,v>>)`` from ``label id:value ...`` lines.
 
-    Keeps explicit zeros, skips blank lines and shifts ids so that they start at 0.
+    Keeps explicit zeros, skips blank lines and shifts ids so that they start at 0; an id below ``index_base`` is an error.
     """
     tokens = F.split(F.trim(F.col("value")), r"\s+")
 
     def entry(token):
         pair = F.split(token, ":")
-        return F.struct((pair[0].cast("int") - index_base).alias("f"), pair[1].cast("double").alias("v"))
+        shifted = pair[0].cast("int") - index_base
+        checked = F.when(shifted < 0, F.raise_error(F.concat(F.lit("feature id below the base: "), token)).cast("int")).otherwise(shifted)
+        return F.struct(checked.alias("f"), pair[1].cast("double").alias("v"))
 
     return (
         spark.read.text(_paths(paths))
@@ -70,7 +72,7 @@ def read_sparse_text(spark: SparkSession, paths: PathSpec, index_base: int = 1)
 
 def read_labelled_csv(spark: SparkSession, path: PathSpec, num_columns: int | None = None,
                       label_last: bool = True) -> DataFrame:
-    """``(label, features vector)`` from a dense numeric CSV without header."""
+    """``(label, features vector)`` from a dense numeric CSV without header; a row of another width or a bad number is an error."""
     files = _paths(path)
     if num_columns is None:
         num_columns = len(spark.read.text(files).filter(F.trim("value") != "").first()["value"].split(","))
@@ -78,15 +80,15 @@ def read_labelled_csv(spark: SparkSession, path: PathSpec, num_columns: int | No
     schema = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
     label = names[-1] if label_last else names[0]
     inputs = [n for n in names if n != label]
-    rows = spark.read.schema(schema).csv(files)
+    rows = spark.read.schema(schema).option("mode", "FAILFAST").csv(files)
     assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
     return assembler.transform(rows).select(F.col(label).alias("label"), "features")
 
 
 def read_typed_csv(spark: SparkSession, path: PathSpec, schema: T.StructType | str,
                    drop: Sequence[str] = ("index",)) -> DataFrame:
-    """CSV with a declared schema, without its id columns."""
-    return spark.read.schema(schema).csv(_paths(path)).drop(*drop)
+    """CSV with a declared schema, without its id columns; a row that does not fit the schema is an error."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").csv(_paths(path)).drop(*drop)
 
 
 def read_day_range(spark: SparkSession, base: str, low, high, partition: str = "dt",
