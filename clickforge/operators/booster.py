@@ -292,7 +292,7 @@ def fit_boosted_trees(df: DataFrame, features, label: str = "label", options: Bo
         for copy in held:
             copy.unpersist()
         drop_scratch(spark, path)
-    return BoostResult(TreeEnsemble(nodes, options.num_class), history)
+    return BoostResult(TreeEnsemble(nodes, options.num_class, options.missing), history)
 
 
 def _evaluate(rows: DataFrame, round_: int, metrics: dict[str, Metric]) -> list[tuple]:

@@ -34,11 +34,13 @@ class TreeEnsemble:
 
     The driver holds ``trees x nodes per tree`` rows, a size set by the training options and
     not by the data. ``num_class`` is 1 for a binary model, else one tree per class and round.
+    Values equal to ``missing`` count as absent, as they did in training.
     """
 
-    def __init__(self, nodes: Iterable[dict], num_class: int = 1):
+    def __init__(self, nodes: Iterable[dict], num_class: int = 1, missing: float | None = None):
         self.nodes = [{c: n.get(c) for c in MODEL_COLUMNS} for n in nodes]
         self.num_class = num_class
+        self.missing = missing
         by_tree: dict[int, list[dict]] = {}
         for n in self.nodes:
             by_tree.setdefault(n["tree"], []).append(n)
@@ -80,7 +82,7 @@ class TreeEnsemble:
         keep = rounds * self.num_class
         if rounds <= 0 or keep >= self.num_trees:
             return self
-        return TreeEnsemble((n for n in self.nodes if n["tree"] < keep), self.num_class)
+        return TreeEnsemble((n for n in self.nodes if n["tree"] < keep), self.num_class, self.missing)
 
     def flat(self) -> list[FlatTree]:
         return [FlatTree.from_nodes(tree) for tree in self.by_tree]
@@ -90,12 +92,14 @@ class TreeEnsemble:
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Write the model table as parquet."""
-        self.to_df(spark).withColumn("num_class", F.lit(self.num_class)).coalesce(1).write.mode("overwrite").parquet(path)
+        table = self.to_df(spark).withColumns({"num_class": F.lit(self.num_class), "missing": F.lit(self.missing).cast("double")})
+        table.coalesce(1).write.mode("overwrite").parquet(path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> TreeEnsemble:
         rows = spark.read.parquet(path).orderBy("tree", "node").collect()
-        return cls((r.asDict() for r in rows), rows[0]["num_class"] if rows else 1)
+        first = rows[0].asDict() if rows else {}
+        return cls((r.asDict() for r in rows), first.get("num_class", 1), first.get("missing"))
 
 
 # ---------------------------------------------------------------- scoring
@@ -112,29 +116,37 @@ def _case_tree(tree: list[dict], names: dict[int, str], out: str) -> Column:
         if node["is_leaf"]:
             return f"{node[out]!r}D" if out == "leaf_value" else str(node[out])
         x = f"`{names[node['feature']]}`"
-        left = f"{x} < {float(node['threshold'])!r}D" + (f" OR {x} IS NULL" if node["default_left"] else "")
+        left = f"{x} < double('{float(node['threshold'])!r}')" + (f" OR {x} IS NULL" if node["default_left"] else "")
         return f"CASE WHEN {left} THEN {visit(nodes[node['left']])} ELSE {visit(nodes[node['right']])} END"
 
     return F.expr(visit(nodes[0]))
 
 
 def _with_case_columns(df: DataFrame, model: TreeEnsemble, features) -> tuple[DataFrame, dict[int, str], list[str]]:
-    """Project the features the model splits on once, so that every CASE reads a plain column."""
+    """Project the features the model splits on once, so that every CASE reads a plain column.
+
+    Of an id that a sparse row repeats, the last value counts, as in the Arrow walk.
+    """
     names = {int(f): f"__f{f}" for f in used_features(model.flat())}
     if not isinstance(features, str):
         columns = [F.col(c) if isinstance(c, str) else c for c in features]
-        picked = {name: _nan_as_null(columns[f].cast("double")) for f, name in names.items()}
+        picked = {name: _absent_as_null(columns[f].cast("double"), model.missing) for f, name in names.items()}
         return df.withColumns(picked), names, list(names.values())
-    df = df.withColumn("__map", F.map_from_entries(feats_column(df, features)))
-    df = df.withColumns({name: _nan_as_null(F.try_element_at("__map", F.lit(f))) for f, name in names.items()})
-    return df, names, [*names.values(), "__map"]
+    df = df.withColumn("__entries", feats_column(df, features))
+
+    def last(f: int) -> Column:
+        return F.try_element_at(F.filter("__entries", lambda e: e["f"] == f), F.lit(-1))["v"]
+
+    df = df.withColumns({name: _absent_as_null(last(f), model.missing) for f, name in names.items()})
+    return df, names, [*names.values(), "__entries"]
 
 
-def _nan_as_null(x: Column) -> Column:
-    return F.nanvl(x, F.lit(None).cast("double"))
+def _absent_as_null(x: Column, missing: float | None) -> Column:
+    x = F.nanvl(x, F.lit(None).cast("double"))
+    return x if missing is None else F.nullif(x, F.lit(float(missing)))
 
 
-def leaf_udf(trees: list[FlatTree]):
+def leaf_udf(trees: list[FlatTree], missing: float | None = None):
     """Arrow function from sparse rows to the leaf reached in every tree."""
     used = used_features(trees)
     column_of = np.zeros(int(used.max()) + 1 if len(used) else 1, np.int64)
@@ -145,6 +157,8 @@ def leaf_udf(trees: list[FlatTree]):
         entries = block.flatten()
         ids = entries.field("f").to_numpy(zero_copy_only=False).astype(np.int64)
         values = entries.field("v").to_numpy(zero_copy_only=False).astype(np.float64)
+        if missing is not None:
+            values = np.where(values == missing, np.nan, values)
         at = np.searchsorted(used, ids)
         column = np.where((at < len(used)) & (used[np.minimum(at, len(used) - 1)] == ids), at, -1) if len(used) else ids * 0 - 1
         matrix = dense_columns(list_owner(block), column, values, len(used), len(block))
@@ -174,7 +188,7 @@ def tree_leaf(df: DataFrame, model: TreeEnsemble, features, output: str = "leave
         work, names, extra = _with_case_columns(df, model, features)
         ids = [_case_tree(t, names, "node") for t in model.by_tree]
         return work.withColumn(output, F.array(*ids)).drop(*extra)
-    return df.withColumn(output, leaf_udf(model.flat())(feats_column(df, features)))
+    return df.withColumn(output, leaf_udf(model.flat(), model.missing)(feats_column(df, features)))
 
 
 def _use_case(model: TreeEnsemble, method: str) -> bool:

@@ -50,6 +50,7 @@ class _BoostParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbability
     scalePosWeight = Param(Params._dummy(), "scalePosWeight", "weight of positives", TypeConverters.toFloat)
     numClass = Param(Params._dummy(), "numClass", "classes; 1 for binary", TypeConverters.toInt)
     maxBins = Param(Params._dummy(), "maxBins", "cut points per feature", TypeConverters.toInt)
+    missing = Param(Params._dummy(), "missing", "value that stands for an absent feature; none when not set", TypeConverters.toFloat)
     seed = Param(Params._dummy(), "seed", "seed of the samples", TypeConverters.toInt)
     splitCol = Param(Params._dummy(), "splitCol", "column naming the training rows 'train'", TypeConverters.toString)
     idCol = Param(Params._dummy(), "idCol", "unique key of the row sample", TypeConverters.toString)
@@ -63,6 +64,7 @@ class _BoostParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbability
             min_child_weight=get(self.minChildWeight), subsample=get(self.subsample),
             colsample_bytree=get(self.colsampleByTree), scale_pos_weight=get(self.scalePosWeight),
             num_class=get(self.numClass), max_bins=get(self.maxBins), seed=get(self.seed),
+            missing=get(self.missing) if self.isDefined(self.missing) else None,
         )
 
     def _set_boost_defaults(self) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clickforge.operators import binning, histogram
 from clickforge.operators import metrics as m
 from clickforge.operators.booster import BoostOptions, fit_boosted_trees, logistic_gradient
-from clickforge.operators.trees import tree_leaf, tree_margin, tree_predict
+from clickforge.operators.trees import TreeEnsemble, tree_leaf, tree_margin, tree_predict
 from clickforge.plans import views
 
 EXACT = BoostOptions(num_round=3, max_depth=3, eta=0.5, gamma=0.0, min_child_weight=1.0, subsample=1.0, colsample_bytree=1.0)
@@ -191,6 +191,24 @@ def test_missing_sentinel(spark, planted):
     with_sentinel = fit_boosted_trees(filled, views.NUMERIC, options=o, row_id="row_id").model
     with_null = fit_boosted_trees(planted, views.NUMERIC, options=o, row_id="row_id").model
     assert_same_model(with_sentinel, with_null)
+    want = sorted(r.margin for r in tree_predict(planted, with_null, views.NUMERIC).collect())
+    for method in ("case", "arrow"):
+        assert sorted(r.margin for r in tree_predict(filled, with_sentinel, views.NUMERIC, method=method).collect()) == pytest.approx(want)
+
+
+def test_missing_sentinel_is_saved(spark, tmp_path):
+    model = TreeEnsemble(TreeEnsemble.from_splits([{0: (0, 5.0, 1, 2, 2), 1: 1.0, 2: 2.0}]).nodes, missing=-999.0)
+    model.save(spark, str(tmp_path / "m"))
+    rows = spark.createDataFrame([(-999.0,), (3.0,), (7.0,)], "x double")
+    for read in (model, model.first(1), TreeEnsemble.load(spark, str(tmp_path / "m"))):
+        for method in ("case", "arrow"):
+            assert [r.margin for r in tree_predict(rows, read, ["x"], method=method).orderBy("x").collect()] == [2.0, 1.0, 2.0]
+
+
+def test_repeated_ids_and_infinite_thresholds_score_alike(spark):
+    model = TreeEnsemble.from_splits([{0: (0, float("inf"), 1, 2, 2), 1: (1, 5.0, 3, 4, 3), 2: 9.0, 3: 1.0, 4: 2.0}])
+    rows = spark.sql("SELECT array(named_struct('f', 0, 'v', 1D), named_struct('f', 1, 'v', 3D), named_struct('f', 1, 'v', 7D)) AS x")
+    assert [tree_predict(rows, model, "x", method=m).first().margin for m in ("case", "arrow")] == [2.0, 2.0]
 
 
 def test_scale_pos_weight_raises_scores(spark, planted):
