@@ -5,9 +5,10 @@ the least value of pi, circularly shifted by k, over the places of the set. Sinc
 in pi, a shingle contributes one contiguous slice of the table.
 
 Sets that are equal collapse to one representative before banding. Buckets never emit all their pairs: every member is
-held against the bucket's leader, linked sets are joined to components, and only members outside a bucket's largest
-component are then held against those of other components. Pairs inside one component can change nothing. Every pair
-that the bands propose is thus either verified on the full sets or already connected.
+held against the bucket's leader, the member that meets most others over all its buckets, and linked sets are joined to
+components. Members of buckets that still have several components are then held against those of other components, as far
+as their rarest shingles allow a link at all. Pairs inside one component can change nothing. Every pair that the bands
+propose is thus verified on the full sets, already connected, or ruled out by its sizes and rarest shingles.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickforge.llm.common import BROADCAST_IDS, broadcast_within, mix64, ngram_hashes, stored, word_chunks
@@ -120,8 +121,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, bands:
         full.groupBy("a", "b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
         .select("rep", "n_shingles", "a", "b", "bands"), "representatives")
     posted = reps.select("rep", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
-    crowd = posted.groupBy("band", "key").agg(F.count("*").alias("members"), F.min(F.struct("rep", "n")).alias("leader")).where("members > 1")
-    bucketed, _ = stored(posted.join(crowd.drop("members"), ["band", "key"]), "buckets")
+    crowd = posted.groupBy("band", "key").agg(F.count("*").alias("members")).where("members > 1")
+    shared, _ = stored(posted.join(crowd, ["band", "key"]), "buckets")
+    reach = shared.groupBy("rep").agg(F.sum("members").alias("reach"))
+    hubs = shared.join(reach, "rep").groupBy("band", "key").agg(
+        F.max(F.struct("reach", (-F.col("rep")).alias("first"), "rep", "n")).alias("leader"))
+    bucketed, _ = stored(shared.drop("members").join(hubs, ["band", "key"]).select(
+        "band", "key", "rep", "n", F.struct("leader.rep", "leader.n").alias("leader")), "led")
 
     close = f"100 * least(n, m) >= {int(percent)} * greatest(n, m)"
     star = (
@@ -137,16 +143,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, bands:
     groups = components(first)
     state = bucketed.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     state, _ = stored(state.select("band", "key", "rep", "n", "component", F.col("leader.rep").alias("leader")), "state")
-    sizes = state.groupBy("band", "key", "component").count()
-    top = sizes.groupBy("band", "key").agg(F.max(F.struct("count", F.col("component").alias("main"))).alias("top"), F.count("*").alias("parts"))
-    open_buckets = top.where("parts > 1").select("band", "key", F.col("top.main").alias("main"))
-    rest, _ = stored(state.join(open_buckets, ["band", "key"]).where("rep <> leader"), "open")
-    minor = rest.where("component <> main").select("band", "key", F.col("rep").alias("i"), "n", F.col("component").alias("ci"))
-    other = rest.select("band", "key", F.col("rep").alias("j"), F.col("n").alias("m"), F.col("component").alias("cj"), "main")
-    cross = (
-        minor.join(other, ["band", "key"]).where("ci <> cj and (cj = main or i < j)").where(close)
-        .select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "n", "m").dropDuplicates(["i", "j"])
-    )
+    split = state.groupBy("band", "key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
+    rest, _ = stored(
+        state.join(split.select("band", "key"), ["band", "key"]).where("rep <> leader").select("rep", "n", "component").distinct(), "open")
+    cross = _candidates(rest, sets, percent)
     second, _ = stored(_verified(cross, sets, percent), "links")
     final = components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(second))
     named = reps.select("a", "b", "n_shingles", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -157,6 +157,30 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, bands:
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _candidates(open_sets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (i, j, n, m) of ``open_sets`` (rep, n, component) from different components that may be as similar as asked.
+
+    Shingles are ordered by rarity. Two similar sets share a shingle among the first ``n - ceil(percent * n / 100) + 1`` of each, and
+    from their first common one on, both still have as many as the intersection needs; pairs without such a shingle are ruled out
+    unseen. Among the sets with one shingle, only those outside its largest component are held against the others.
+    """
+    each = sets.join(open_sets.withColumnRenamed("rep", "doc_id"), "doc_id").select("doc_id", "n", "component", F.explode_outer("shingles").alias("g"))
+    common = each.groupBy("g").agg(F.count("*").alias("df"))
+    rarest = Window.partitionBy("doc_id").orderBy("df", "g")
+    placed = each.join(common, "g").withColumn("left", F.col("n") - F.row_number().over(rarest) + 1)
+    prefix, _ = stored(placed.where(f"df > 1 and 100 * left >= {int(percent)} * n").select("g", "doc_id", "n", "component", "left"), "prefixes")
+    sizes = prefix.groupBy("g", "component").count()
+    top = sizes.groupBy("g").agg(F.max(F.struct("count", F.col("component").alias("main"))).alias("top"), F.count("*").alias("parts"))
+    met, _ = stored(prefix.join(top.where("parts > 1").select("g", F.col("top.main").alias("main")), "g"), "met")
+    minor = met.where("component <> main").select("g", F.col("doc_id").alias("i"), "n", F.col("component").alias("ci"), F.col("left").alias("li"))
+    other = met.select("g", F.col("doc_id").alias("j"), F.col("n").alias("m"), F.col("component").alias("cj"), F.col("left").alias("lj"), "main")
+    enough = f"{100 + int(percent)} * least(li, lj) >= {int(percent)} * (n + m)"
+    return (
+        minor.join(other, "g").where("ci <> cj and (cj = main or i < j)").where(enough)
+        .select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "n", "m").dropDuplicates(["i", "j"])
+    )
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (i, j) whose full sets are as similar as asked, as (u, v)."""
     left = sets.select(F.col("doc_id").alias("i"), F.col("shingles").alias("x"))
