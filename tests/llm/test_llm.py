@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 
 import pytest
@@ -138,6 +139,27 @@ def test_near_duplicates_chain_inside_one_bucket(spark):
     assert {r.component_id for r in out} == {0}
 
 
+def test_near_duplicates_of_one_text_with_many_edits(spark):
+    """Copies that meet in most buckets, of which some are linked, some only through others and some not at all."""
+    draw = random.Random(5)
+    texts = []
+    for k in range(60):
+        words = [f"b{i}" for i in range(120)]
+        for at in draw.sample(range(120), draw.randrange(7)):
+            words[at] = f"own{k}x{at}"
+        texts.append((k, " ".join(words)))
+    sets = [shingles(t) for _, t in texts]
+    label = list(range(60))
+    for _ in range(60):
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 100 * len(a & b) >= 85 * len(a | b):
+                    label[i] = label[j] = min(label[i], label[j])
+    assert 2 < len(set(label)) < 50
+    out = minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in out} == dict(enumerate(label))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (102, 101), (7, 7), (None, 3)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
