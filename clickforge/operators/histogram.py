@@ -60,9 +60,9 @@ def split_candidates(histogram: DataFrame, totals: DataFrame, reg_lambda: float
         "class_id", "node", "feature", "bin", "g_all", "h_all",
         "stack(2, true, gl + g_all - g_in, hl + h_all - h_in, false, gl, hl) AS (default_left, g_left, h_left)",
     )
-    gain = (f"0.5D * ({_score('g_left', 'h_left', reg_lambda, alpha)} "
+    gain = (f"{_score('g_left', 'h_left', reg_lambda, alpha)} "
             f"+ {_score('(g_all - g_left)', '(h_all - h_left)', reg_lambda, alpha)} "
-            f"- {_score('g_all', 'h_all', reg_lambda, alpha)}) - {gamma}D")
+            f"- {_score('g_all', 'h_all', reg_lambda, alpha)} - {gamma}D")
     return both.where(f"h_left >= {min_child_weight}D AND h_all - h_left >= {min_child_weight}D").selectExpr(
         "class_id", "node", "feature", "bin", "default_left", "g_left", "h_left", "g_all", "h_all",
         f"round({gain}, {ROUND_DIGITS}) AS gain",

@@ -223,7 +223,7 @@ run AS (SELECT feature, v,
   sum(g) OVER (PARTITION BY feature) AS g_in, sum(h) OVER (PARTITION BY feature) AS h_in FROM hist),
 sides AS (SELECT feature, v, false AS default_left, gl AS g, hl AS h, g_all, h_all FROM run, total
           UNION ALL SELECT feature, v, true, gl + g_all - g_in, hl + h_all - h_in, g_all, h_all FROM run, total),
-gains AS (SELECT *, round(0.5e0 * (g * g / (h + 1) + (g_all - g) * (g_all - g) / (h_all - h + 1) - g_all * g_all / (h_all + 1)), 9) AS gain
+gains AS (SELECT *, round(g * g / (h + 1) + (g_all - g) * (g_all - g) / (h_all - h + 1) - g_all * g_all / (h_all + 1), 9) AS gain
           FROM sides WHERE h >= 2 AND h_all - h >= 2)
 SELECT feature, CAST(v AS DOUBLE) AS threshold, default_left, round(gain, 6) AS gain,
        round(-g / (h + 1) * 0.1e0, 6) AS left_value, round(-(g_all - g) / (h_all - h + 1) * 0.1e0, 6) AS right_value

@@ -271,8 +271,8 @@ run AS (SELECT node, feature, bin,
 sides AS (
   SELECT node, feature, bin, false AS default_left, gl AS g_left, hl AS h_left, g_all, h_all FROM run JOIN total USING (node)
   UNION ALL SELECT node, feature, bin, true, gl + g_all - g_in, hl + h_all - h_in, g_all, h_all FROM run JOIN total USING (node)),
-gains AS (SELECT node, feature, bin, default_left, g_left, h_left, round(0.5e0 * (g_left * g_left / (h_left + 1)
-  + (g_all - g_left) * (g_all - g_left) / (h_all - h_left + 1) - g_all * g_all / (h_all + 1)) - 0.2e0, 9) AS gain
+gains AS (SELECT node, feature, bin, default_left, g_left, h_left, round(g_left * g_left / (h_left + 1)
+  + (g_all - g_left) * (g_all - g_left) / (h_all - h_left + 1) - g_all * g_all / (h_all + 1) - 0.2e0, 9) AS gain
   FROM sides WHERE h_left >= 2 AND h_all - h_left >= 2)"""
 
 

@@ -44,7 +44,7 @@ def brute_force(rows, labels, o):
                     if not any(rows[i].get(f) == cut for i in members):
                         continue
                     gl = sum(grad[i] for i in left)
-                    gain = round(0.5 * (score(gl, hl) + score(g - gl, hr) - score(g, h)), 9)
+                    gain = round(score(gl, hl) + score(g - gl, hr) - score(g, h), 9)
                     key = (gain, -f, -b, missing_left)
                     if best is None or key > best[0]:
                         best = (key, left, right)
