@@ -3,7 +3,8 @@
 The rank map is a literal: an array of small maps, so that a lookup reads one of them. Bytes are written in hex there. Distinct pieces of the corpus are
 counted in Spark; the most frequent, up to a fixed number of bytes, are folded with ``aggregate`` and ``transform`` and travel to
 the tasks as a table of bounded size. A task takes a piece's ids from that table, and merges the rest, which by the cap are
-the rare ones, with a heap: both follow the same rule, so the cap bounds memory and changes no result.
+the rare ones: many short ones together, a pair in each at a time, on numpy arrays, and long ones with a heap. All follow the same
+rule, so the cap bounds memory and changes no result.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ import json
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +30,13 @@ SLOTS = 1 << 16
 TABLE_PIECES = 4_096
 FOLD_BYTES = 16
 CACHE_PIECES = 400_000
+#: Pieces of at most so many bytes are merged together, so many at once; longer ones one by one with a heap.
 SHORT = 64
+STEP_PIECES = 8_192
+#: More than any rank.
+NO_PAIR = 1 << 40
+#: Texts are taken together until they have so many characters.
+CHUNK_CHARS = 1 << 20
 
 
 def load_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -40,8 +49,6 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of one piece: of all neighbours, those whose joint bytes have the least rank merge first, leftmost first."""
     if piece in ranks:
         return [ranks[piece]]
-    if len(piece) <= SHORT:
-        return _merge_short(piece, ranks)
     parts: list[bytes | None] = [piece[i: i + 1] for i in range(len(piece))]
     before, after = list(range(-1, len(parts) - 1)), list(range(1, len(parts) + 1))
     heap = [(r, i, parts[i] + parts[i + 1]) for i in range(len(parts) - 1) if (r := ranks.get(parts[i] + parts[i + 1])) is not None]
@@ -62,24 +69,99 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
-def _merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """``merge`` by scanning the ranks of all neighbours: for few bytes faster than a heap."""
-    none = 1 << 30
-    get = ranks.get
-    parts = [piece[i: i + 1] for i in range(len(piece))]
-    joint = [get(piece[i: i + 2], none) for i in range(len(piece) - 1)]
-    while joint:
-        low = min(joint)
-        if low == none:
-            break
-        i = joint.index(low)
-        parts[i] += parts.pop(i + 1)
-        joint.pop(i)
-        if i < len(joint):
-            joint[i] = get(parts[i] + parts[i + 1], none)
-        if i:
-            joint[i - 1] = get(parts[i - 1] + parts[i], none)
-    return [ranks[p] for p in parts]
+class PairTable:
+    """The rank of every two neighbouring tokens whose joint bytes are a token, as an open hash table in numpy arrays.
+
+    It has one entry for each way to cut a token in two tokens, so its size is bounded by the vocabulary's bytes.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        cuts = [(a << 32 | b, r) for t, r in ranks.items() for i in range(1, len(t))
+                if (a := ranks.get(t[:i])) is not None and (b := ranks.get(t[i:])) is not None]
+        key, value = np.array(cuts, dtype=np.int64).reshape(-1, 2).T
+        bits = max(len(cuts) * 4, 2).bit_length()
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, dtype=np.int64), np.full(1 << bits, NO_PAIR, dtype=np.int64)
+        left, slot = np.arange(len(key)), self._slots(key)
+        while len(left):
+            free = left[self.keys[slot[left]] == -1]
+            self.keys[slot[free]] = key[free]  # of several, the last one stays; the others look on
+            self.values[slot[free]] = value[free]
+            left = left[self.keys[slot[left]] != key[left]]
+            slot[left] = (slot[left] + 1) & self.mask
+        self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
+
+    def _slots(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def look(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The ranks of the pairs; ``NO_PAIR`` for those that do not merge, also where either side is missing (-1)."""
+        key = np.where((a < 0) | (b < 0), -2, a << 32 | b)
+        slot = self._slots(key)
+        seen = self.keys[slot]
+        out = np.where(seen == key, self.values[slot], NO_PAIR)
+        left = np.flatnonzero((seen != key) & (seen != -1))
+        while len(left):
+            slot[left] = (slot[left] + 1) & self.mask
+            seen = self.keys[slot[left]]
+            same = seen == key[left]
+            out[left[same]] = self.values[slot[left[same]]]
+            left = left[~same & (seen != -1)]
+        return out
+
+
+def merge_many(pieces: list[bytes], pairs: PairTable) -> list[list[int]]:
+    """``merge`` of many pieces of at most ``SHORT`` bytes that are no token: one step merges one pair in each of them."""
+    out: list[list[int]] = [[]] * len(pieces)
+    order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
+    begin = 0
+    while begin < len(order):
+        end = min(begin + STEP_PIECES, len(order))
+        for i, ids in zip(order[begin:end], _merge_block([pieces[i] for i in order[begin:end]], pairs)):
+            out[i] = ids
+        begin = end
+    return out
+
+
+def _merge_block(pieces: list[bytes], pairs: PairTable) -> list[list[int]]:
+    """Columns are pieces, rows places, with a row for the border on either side; joined tokens stay at the left place."""
+    size = np.array([len(p) for p in pieces])
+    high, wide = int(size.max()), len(pieces)
+    inside = np.arange(high)[None, :] < size[:, None]
+    token = np.full((wide, high + 2), -1, dtype=np.int64)
+    token[:, 1:-1][inside] = pairs.byte_ids[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+    token = np.ascontiguousarray(token.T)
+    row = np.arange(high + 2, dtype=np.int64)[:, None]
+    after, before = np.repeat(row + 1, wide, axis=1), np.repeat(row - 1, wide, axis=1)
+    # A pair's rank and place in one number: the least is the leftmost of the least rank.
+    cost = np.full((high + 2, wide), NO_PAIR << 8, dtype=np.int64)
+    cost[1:-1] = pairs.look(token[1:-1].ravel(), token[2:].ravel()).reshape(high, wide) << 8 | row[1:-1]
+    live, who = token, np.arange(wide)  # the columns still at work, and which they are
+    while True:
+        low = cost.min(axis=0)
+        busy = np.flatnonzero(low < NO_PAIR << 8)
+        if 2 * len(busy) < len(low):
+            if live is not token:
+                token[:, who] = live
+            if not len(busy):
+                break
+            live, who, low = live[:, busy], who[busy], low[busy]
+            cost, after, before = cost[:, busy], after[:, busy], before[:, busy]
+            busy = np.arange(len(who))
+        else:
+            low = low[busy]
+        at, rank = low & 255, low >> 8
+        gone = after[at, busy]
+        right, left = after[gone, busy], before[at, busy]
+        live[at, busy], live[gone, busy] = rank, -1
+        after[at, busy], before[right, busy] = right, at
+        cost[gone, busy] = NO_PAIR << 8
+        cost[at, busy] = pairs.look(rank, live[right, busy]) << 8 | at
+        cost[left, busy] = pairs.look(live[left, busy], rank) << 8 | left
+    held = token.T >= 0
+    ends = np.cumsum(held.sum(axis=1)).tolist()
+    flat = token.T[held].tolist()
+    return [flat[i:j] for i, j in zip([0, *ends], ends)]
 
 
 def rank_literal(ranks: dict[bytes, int]) -> Column:
@@ -168,37 +250,41 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, at_most: int
 
     Each match of ``pattern`` is merged for itself; there are no special tokens. Null counts as empty and has no ids.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, folded_table(docs, ranks, pattern, at_most)))
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, PairTable(ranks), folded_table(docs, ranks, pattern, at_most)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, table = shared.value
+        ranks, pairs, table = shared.value
         split = regex.compile(pattern).findall
-        rare: dict[str, list[int]] = {}
         head = {k.decode("utf-8", "surrogateescape"): v for k, v in table.items()}
+        known = dict(head)
         for batch in batches:
-            done, ids, size = 0, [], 0
+            done, texts, size = 0, [], 0
             for row, text in enumerate(batch.column(1)):
-                mine: list[int] = []
-                for piece in split(text.as_py() or ""):
-                    found = head.get(piece)
-                    if found is None:
-                        found = rare.get(piece)
-                        if found is None:
-                            if len(rare) > CACHE_PIECES:
-                                rare.clear()
-                            found = rare[piece] = merge(piece.encode(), known)
-                    mine += found
-                ids.append(pa.array(mine, pa.int32()))
-                size += len(mine)
-                if size > 1 << 19:
+                texts.append(split(text.as_py() or ""))
+                size += len(text.as_py() or "")
+                if size > CHUNK_CHARS or row + 1 == batch.num_rows:
+                    if len(known) > CACHE_PIECES:
+                        known = dict(head)
+                    _learn(set().union(*texts).difference(known), known, ranks, pairs)
+                    ids = [pa.array(list(chain.from_iterable(map(known.__getitem__, pieces))), pa.int32()) for pieces in texts]
                     yield _ids(batch, done, ids)
-                    done, ids, size = row + 1, [], 0
-            if ids:
-                yield _ids(batch, done, ids)
+                    done, texts, size = row + 1, [], 0
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids array<int>")
 
 
+def _learn(pieces: set[str], known: dict[str, list[int]], ranks: dict[bytes, int], pairs: PairTable) -> None:
+    """Add the ids of ``pieces`` to ``known``."""
+    together: list[tuple[str, bytes]] = []
+    for piece in pieces:
+        code = piece.encode()
+        if code in ranks or len(code) > SHORT:
+            known[piece] = merge(code, ranks)
+        else:
+            together.append((piece, code))
+    known.update(zip((p for p, _ in together), merge_many([c for _, c in together], pairs)))
+
+
 def _ids(batch: pa.RecordBatch, begin: int, ids: list[pa.Array]) -> pa.RecordBatch:
     ends = [0]
     for x in ids:
