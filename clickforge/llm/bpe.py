@@ -1,6 +1,6 @@
 """Byte-level BPE: ranked merges as a fold over byte arrays of distinct words, and decoding by concatenation.
 
-The rank map is a literal: an array of small maps, so that a lookup reads one of them. Bytes are written in hex there. Distinct pieces of the corpus are
+The rank map of the folded pieces is a literal: an array of small maps, so that a lookup reads one of them. Bytes are written in hex there. Distinct pieces of the corpus are
 counted in Spark; the most frequent, up to a fixed number of bytes, are folded with ``aggregate`` and ``transform`` and travel to
 the tasks as a table of bounded size. A task takes a piece's ids from that table, and merges the rest, which by the cap are
 the rare ones: many short ones together, a pair in each at a time, on numpy arrays, and long ones with a heap. All follow the same
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from clickforge.llm.common import stored
 
-SLOTS = 1 << 16
+SLOTS = 1 << 12
 #: The table of folded pieces: at most so many pieces, none longer than so many bytes.
 TABLE_PIECES = 4_096
 FOLD_BYTES = 16
@@ -238,11 +238,17 @@ def frequent_pieces(docs: DataFrame, pattern: str, at_most: int = TABLE_PIECES)
 
 
 def folded_table(docs: DataFrame, ranks: dict[bytes, int], pattern: str, at_most: int = TABLE_PIECES) -> dict[bytes, list[int]]:
-    """The ids of the frequent pieces by the fold; at most ``at_most`` entries of at most ``FOLD_BYTES`` bytes each."""
+    """The ids of the frequent pieces by the fold; at most ``at_most`` entries of at most ``FOLD_BYTES`` bytes each.
+
+    The literal rank map holds the tokens that are part of such a piece: the fold can ask for no others, and plans stay small.
+    """
     spark = docs.sparkSession
     pieces, _ = stored(frequent_pieces(docs, pattern, at_most), "pieces")
+    found = [bytes(r[0]) for r in pieces.select("piece").collect()]  # bounded by at_most
+    parts = {p[i:j] for p in found for i in range(len(p)) for j in range(i + 1, len(p) + 1)}
+    literal = rank_literal({t: ranks[t] for t in parts & ranks.keys()})
     spread = pieces.repartition(max(8, spark.sparkContext.defaultParallelism * 2), "piece").withColumn("code", F.hex("piece"))
-    return {bytes(r[0]): list(r[1]) for r in spread.select("piece", folded("code", rank_literal(ranks)).alias("ids")).toLocalIterator()}
+    return {bytes(r[0]): list(r[1]) for r in spread.select("piece", folded("code", literal).alias("ids")).collect()}
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, at_most: int = TABLE_PIECES) -> DataFrame:
