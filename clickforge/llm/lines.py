@@ -7,6 +7,10 @@ suffixes have one name and names sort as suffixes do. A suffix whose prefix no o
 and leaves the rounds. When prefixes are ``min_lines`` long, suffixes of one name are the intervals of the suffix array whose
 longest common prefix is at least that: more rounds would only order suffixes inside these intervals. In each, the first copy
 stays; the windows of all others merge to the maximal runs that are deleted.
+
+With ``min_words``, a run of fewer lines also counts if it has that many words; one line is enough. A repeated run of ``min_lines``
+or more is the union of its windows of ``min_lines``, and each of these has an earlier copy, so maximal runs of any length follow
+from the intervals at 1, 2, ... ``min_lines`` lines: the rounds then go by one line, and every interval on the way is read.
 """
 
 from __future__ import annotations
@@ -36,33 +40,46 @@ def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
     return out
 
 
-def suffix_intervals(docs: DataFrame, min_lines: int = 3) -> DataFrame:
-    """(doc_id, rid, seq, pos, name, until): suffixes of ``docs`` (doc_id, rid, text) that share ``min_lines`` lines with another.
+def suffix_intervals(docs: DataFrame, min_lines: int = 3, min_words: int | None = None) -> list[DataFrame]:
+    """(doc_id, rid, seq, pos, name, until, words): suffixes of ``docs`` (doc_id, rid, text) that share lines with another.
 
-    ``seq`` counts lines with a word, ``pos`` all lines, ``until`` is the number of the prefix's last line; suffixes of one
-    ``name`` form an interval.
+    The last table has the suffixes that share ``min_lines`` lines; with ``min_words``, those that share 1, 2, ... lines stand before
+    it. ``seq`` counts lines with a word, ``pos`` all lines, ``until`` is the number of the prefix's last line, ``words`` counts the
+    prefix's words (0 without ``min_words``); suffixes of one ``name`` form an interval.
     """
+    words = F.lit(0) if min_words is None else F.regexp_count("s.line", F.lit(r"[^\x20\x09-\x0D]+"))
     lines = docs.select("doc_id", "rid", F.posexplode_outer(_numbered("text")).alias("seq", "s")).where("s is not null").select(
-        *PLACE, F.col("s.pos").alias("pos"), F.unhex(F.md5("s.line")).alias("line"))
-    now = _named(lines, ["line"]).withColumn("until", F.col("pos"))
-    have = 1
+        *PLACE, F.col("s.pos").alias("pos"), words.alias("words"), F.unhex(F.md5("s.line")).alias("line"))
+    now = _named(lines, ["line"]).withColumns({"until": F.col("pos"), "last": F.col("words")})
+    have, found = 1, []
     while have < min_lines:
-        step = min(have, min_lines - have)
+        found += [now] if min_words is not None else []
+        step = min(have, min_lines - have) if min_words is None else 1
         behind = Window.partitionBy("doc_id", "rid").orderBy("seq").rangeBetween(step, step)
         pairs = now.select(
-            *PLACE, "pos", F.col("name").alias("a"), F.first("name").over(behind).alias("b"), F.first("until").over(behind).alias("until"))
+            *PLACE, "pos", F.col("name").alias("a"), F.first("name").over(behind).alias("b"), F.first("until").over(behind).alias("until"),
+            (F.col("words") + F.first("last").over(behind)).alias("words"), F.first("last").over(behind).alias("last"))
         now = _named(pairs.where("b is not null"), ["a", "b"])
         have += step
-    return now
+    return [*found, now]
+
+
+def _later(suffixes: DataFrame) -> DataFrame:
+    """The windows (doc_id, rid, pos, until) of all suffixes but the first of each name."""
+    first, _ = stored(suffixes.groupBy("name").agg(F.min(F.struct(*PLACE)).alias("first")), "first")  # apart, so that hot names can be split
+    return suffixes.join(first, "name").where(F.struct(*PLACE) > F.col("first")).select("doc_id", "rid", "pos", "until")
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = 3) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_lines: int = 3, min_words: int | None = None) -> DataFrame:
     """(doc_id, rid, runs): the line runs (from start up to stop, by line number) that an earlier place of the corpus has."""
-    suffixes = suffix_intervals(docs, min_lines)
-    first = suffixes.groupBy("name").agg(F.min(F.struct(*PLACE)).alias("first"))
-    later = suffixes.join(first, "name").where(F.struct(*PLACE) > F.col("first")).select("doc_id", "rid", "pos", "until").distinct()
+    *short, suffixes = suffix_intervals(docs, min_lines, min_words)
+    windows = _later(suffixes)
+    for fewer in short:  # a name's suffixes have the same words, so whole intervals go
+        windows = windows.unionByName(_later(fewer.where(F.col("words") >= min_words)))
+    later = windows.groupBy("doc_id", "rid", "pos").agg(F.max("until").alias("until"))
     order = Window.partitionBy("doc_id", "rid").orderBy("pos")
-    runs = later.withColumn("opens", F.coalesce(F.col("pos") > F.lag("until").over(order), F.lit(True)).cast("int")).withColumn(
+    before = order.rowsBetween(Window.unboundedPreceding, -1)  # a longer window may end behind the one before
+    runs = later.withColumn("opens", F.coalesce(F.col("pos") > F.max("until").over(before), F.lit(True)).cast("int")).withColumn(
         "run", F.sum("opens").over(order)).groupBy("doc_id", "rid", "run").agg(F.min("pos").alias("start"), (F.max("until") + 1).alias("stop"))
     return runs.groupBy("doc_id", "rid").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("runs"))
 
@@ -73,19 +90,22 @@ def without_runs() -> Column:
     return F.array_join(stay, "\n")
 
 
-def drop_repeated_lines(docs: DataFrame, min_lines: int = 3) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_lines: int = 3, min_words: int | None = None) -> DataFrame:
     """Every row of ``docs`` (doc_id, text; further columns are ignored) without later copies of repeated line runs.
 
     Returns doc_id, rid, n_lines, n_removed, runs and text. Lines end at a line feed; lines without a word count as lines but are
     no part of a run's ``min_lines``, and go if they lie inside a deleted run. A run is deleted if the same ``min_lines`` or more
-    lines begin earlier, in a smaller doc_id or further up in the same text, also where both overlap; null ids come first.
+    lines begin earlier, in a smaller doc_id or further up in the same text, also where both overlap; null ids come first. With ``min_words``
+a run of fewer lines, also of one, is deleted likewise if it has that many words (without ASCII white space); shorter ones stay.
     Lines are equal if their 128-bit digests are. Null and empty texts have no lines and stay as they are (null as empty). Rows
     equal in id and text count as one document and lose the same lines.
     """
     if min_lines < 1:
         raise ValueError("min_lines must be at least 1")
+    if min_words is not None and min_words < 1:
+        raise ValueError("min_words must be at least 1")
     docs = keyed(docs)
-    runs, _ = stored(repeated_runs(docs, min_lines), "runs")
+    runs, _ = stored(repeated_runs(docs, min_lines, min_words), "runs")
     touched, plain = parted(docs, runs.select("rid"))
     lines = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines")
     none = F.expr("cast(array() as array<struct<start:int,stop:int>>)")

@@ -93,6 +93,34 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.drop_repeated_lines(table(spark, sf_dir, "documents"), min_lines=3)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
+
+PASSAGES_SQL = r"""
+WITH l AS (SELECT doc_id, line, pos, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq
+           FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+                 FROM documents WHERE text IS NOT NULL) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+w AS (SELECT doc_id, pos, line, n, lead(line, 1) OVER s AS l2, lead(line, 2) OVER s AS l3, n + lead(n, 1) OVER s AS n2,
+             lead(pos, 1) OVER s AS u2, lead(pos, 2) OVER s AS u3
+      FROM l WINDOW s AS (PARTITION BY doc_id ORDER BY seq)),
+f AS (SELECT doc_id, pos, pos AS until, n >= 13 AS fits, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS nth FROM w
+      UNION ALL SELECT doc_id, pos, u2, n2 >= 13, row_number() OVER (PARTITION BY line, l2 ORDER BY doc_id, pos) FROM w WHERE u2 IS NOT NULL
+      UNION ALL SELECT doc_id, pos, u3, true, row_number() OVER (PARTITION BY line, l2, l3 ORDER BY doc_id, pos) FROM w WHERE u3 IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, until + 1)) AS pos FROM f WHERE nth > 1 AND fits),
+every AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+          FROM documents WHERE text <> ''),
+per AS (SELECT doc_id, count(*) AS n_lines, count(g.pos) AS n_removed, string_agg(line, chr(10) ORDER BY pos) FILTER (g.pos IS NULL) AS kept
+        FROM every LEFT JOIN gone g USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN per USING (doc_id)
+"""
+
+
+@query(PASSAGES_SQL)
+def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without later copies of runs of three or more lines or of 13 or more words on fewer lines."""
+    out = lines.drop_repeated_lines(table(spark, sf_dir, "documents"), min_lines=3, min_words=13)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query()
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdicts of all documents; brute force in the tests."""

@@ -28,9 +28,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of line runs; those with no word left go."""
+    """Documents without later copies of line runs of three lines or 13 words; those with no word left go."""
     marked = docs.withColumn("rid", row_id())
-    runs, _ = stored(lines.repeated_runs(marked.select("doc_id", "rid", F.coalesce("text", F.lit("")).alias("text")), min_lines=3), "runs")
+    runs, _ = stored(lines.repeated_runs(marked.select("doc_id", "rid", F.coalesce("text", F.lit("")).alias("text")), min_lines=3, min_words=13), "runs")
     touched, plain = parted(marked, runs.select("rid").distinct())
     cut = touched.join(runs.select("rid", "runs"), "rid").withColumn("text", lines.without_runs()).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     cut = cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut

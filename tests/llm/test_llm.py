@@ -182,6 +182,34 @@ def test_line_runs_brute_force(docs):
     assert got == sorted(want)
 
 
+def test_line_runs_by_words_brute_force(spark):
+    """Longest earlier copy of every line's suffix, by comparing all pairs; runs of one and two lines, blanks inside, overlaps, longer runs."""
+    long = " ".join(f"p{i}" for i in range(13))
+    rows = [
+        (1, f"{long}\nshort\nx1\nx2\nx3\nx4\nx5"), (2, f"a\n{long}\nb"), (3, f"c\n{long}\n \nshort\nd"), (4, long.rsplit(" ", 1)[0]), (5, "short\nx1"),
+        (6, long.rsplit(" ", 1)[0] + "\nq"), (7, "r\nx1\nx2\nx3\nx4\nx5\nz"), (8, f"six words on this line here\nand seven more words on this one\n{long} more"),
+        (9, "six words on this line here\nand seven more words on this one\nend"), (10, "six words on this line here\nend"), (11, f"{long}\n{long}\n{long}"), (12, None), (13, ""),
+        (14, f"{long}\nx1\nx2\nx3"),
+    ]
+    got = sorted((r.doc_id, r.n_removed, r.text) for r in lines.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_words=13).collect())
+    held = [[(p, x) for p, x in enumerate((t or "").split("\n")) if x.split()] for _, t in rows]
+    places = [(d, s) for d, h in enumerate(held) for s in range(len(h))]
+    gone = [set() for _ in rows]
+    for d, s in places:
+        most = 0
+        for e, t in places:
+            if (e, t) < (d, s):
+                same = 0
+                while max(s + same - len(held[d]), t + same - len(held[e])) < 0 and held[d][s + same][1] == held[e][t + same][1]:
+                    same += 1
+                most = max(most, same)
+        run = held[d][s: s + most]
+        if len(run) >= 3 or sum(len(x.split()) for _, x in run) >= 13:
+            gone[d] |= set(range(run[0][0], run[-1][0] + 1))
+    want = [(i, len(g), "\n".join(x for p, x in enumerate((t or "").split("\n")) if p not in g)) for (i, t), g in zip(rows, gone)]
+    assert got == sorted(want) and [w[1] for w in want] == [0, 1, 3, 0, 0, 0, 5, 0, 2, 0, 3, 0, 0, 4]
+
+
 def test_quality_statistics_and_verdicts(spark):
     good = [(i, " ".join(f"word{(i * 31 + j * 7) % 5003}" for j in range(120)), "en", "s") for i in range(300)]
     bad = [(900, " ".join(f"word{j}$$$" for j in range(100)), "en", "s"), (901, "same three words " * 40, "en", None), (902, None, None, "s"), (903, "a\nb\na\na\n \n", "fr", "s")]

@@ -91,3 +91,9 @@ def test_stages_keep_the_columns_of_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, sf).columns == docs.columns
+
+
+def test_line_stage_removes_long_passages_on_one_line(spark):
+    line = " ".join(f"p{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, f"{line}\none"), (2, f"two\n{line}\nthree"), (3, line), (4, "two")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()} == {1: f"{line}\none", 2: "two\nthree", 4: "two"}
