@@ -1,10 +1,12 @@
 """URL filters: a path-template tree per host, with DataFrame functions only.
 
 Paths are cut into segments. A segment that carries an id (a number, a long hex or a mix of letters and digits) or that is one of
-too many different ones below its place is a variable and becomes a wildcard. Sibling branches of one host with statistically
-similar shares of bad labels (two-proportion z below ``z``) are merged and judged by their joint counts. A template is rejected
-if its smoothed labelled purity, the share of bad labels with pseudo-counts of its host and, for the host, of the corpus, exceeds
-``reject``. Rules name hosts and path prefixes; where one fits, it decides, and its verdict is the label that templates learn from.
+too many different ones below its place is a variable and becomes a wildcard. Children of one node with statistically similar
+shares of bad labels (two-proportion z below ``z``) are merged and judged by their joint counts. Purity goes down the tree: a
+node's is the share of bad labels in its branch with pseudo-counts of its parent's purity, the host's with those of the corpus. A
+node without labels below it thus takes the purity of its nearest labelled ancestor; if nodes of the same path and shape (with or
+without a wildcard child) are labelled on other hosts, their share counts as ``prior`` labels of its own. A template is rejected
+if its purity exceeds ``reject``. Rules name hosts and path prefixes; where one fits, it decides, and its verdict is the label that templates learn from.
 """
 
 from __future__ import annotations
@@ -44,7 +46,7 @@ def _variable(segment: Column) -> Column:
     return segment.rlike(r"^[0-9]+(\.[A-Za-z]{1,5})?$") | segment.rlike(r"^[0-9A-Fa-f]{8,}$") | segment.rlike(r"[0-9].*[A-Za-z]|[A-Za-z].*[0-9]")
 
 
-def _path(depth: int, column: str = "segments") -> Column:
+def _path(depth: int | Column, column: str = "segments") -> Column:
     """The template down to a depth."""
     return F.concat(F.lit("/"), F.array_join(F.slice(column, 1, depth), "/"))
 
@@ -62,6 +64,7 @@ def templates(pages: DataFrame, depth: int, fan_out: int) -> DataFrame:
     nodes = pages.select("host", "path").withColumn("segments", segments).groupBy("host", "segments").count()
     nodes = nodes.withColumn("original", F.col("segments"))
     for level in range(1, depth + 1):
+        nodes, _ = stored(nodes, "nodes")  # each level reads the one before three times: plans would grow as 3 to the depth
         above, here = _path(level - 1), F.get("segments", F.lit(level - 1))
         tree = nodes.where(here.isNotNull()).groupBy("host", above.alias("above"), here.alias("child")).agg(F.sum("count").alias("rows"))
         whole = tree.groupBy("host", "above").agg(F.count("*").alias("children"), F.sum("rows").alias("total")).where(F.col("children") > fan_out)
@@ -79,7 +82,7 @@ def judged_urls(
 ) -> DataFrame:
     """Host, path, template, rule, purity and verdict of every row of ``pages`` (page_id, url; further columns are ignored).
 
-    ``purity`` is the smoothed share of bad labels in the template's branch. Null urls and urls without ``://`` have an empty host
+    ``purity`` is the smoothed share of bad labels in the template's branch, passed on from node to node. Null urls and urls without ``://`` have an empty host
     and path; they form one template. Without any labels all purities are 0.5 and nothing is rejected, as ``reject`` must be exceeded.
     """
     read = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string")).withColumns({"host": host_of("url"), "path": path_of("url")})
@@ -88,20 +91,34 @@ def judged_urls(
     bad = F.sum(F.when(F.col("ruled.verdict") == "block", 1).otherwise(0))
     seen = F.count("ruled")
     leaf, _ = stored(known.groupBy("host", "template").agg(bad.alias("bad"), seen.alias("seen")), "purity")
-    # siblings in the order of their shares: a branch that differs from the one before it opens a new group
-    leaf = leaf.withColumn("labelled", F.col("seen") > 0)  # branches without labels are judged by their host's counts
-    siblings = Window.partitionBy("host", "labelled").orderBy(F.col("bad") / F.greatest("seen", F.lit(1)), "template")
+    # every template stands at its node and below all nodes above it, up to the host's root at level 0
+    cut = F.filter(F.split("template", "/"), lambda s: s != "")
+    below = leaf.withColumn("cut", cut).select("*", F.explode_outer(F.sequence(F.lit(0), F.size("cut"))).alias("level")).select(
+        "host", "template", "bad", "seen", "level", _path(F.col("level"), "cut").alias("node"),
+        F.when(F.col("level") > 0, _path(F.col("level") - 1, "cut")).otherwise("").alias("above"),
+        F.coalesce(F.get("cut", F.col("level")).startswith("*"), F.lit(False)).alias("wild"))
+    tree, _ = stored(below.groupBy("host", "level", "node", "above").agg(
+        F.sum("bad").alias("bad"), F.sum("seen").alias("seen"), F.max("wild").alias("wild")), "tree")
+    # children of one node in the order of their shares: one that differs from the one before it opens a new branch
+    labelled = (F.col("seen") > 0).alias("labelled")
+    siblings = Window.partitionBy("host", "above", "level", "labelled").orderBy(F.col("bad") / F.greatest("seen", F.lit(1)), "node")
     last_bad, last_seen = F.lag("bad").over(siblings), F.lag("seen").over(siblings)
     pooled = (F.col("bad") + last_bad) / (F.col("seen") + last_seen)
     error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("seen") + 1 / last_seen))
     differs = F.col("labelled") & (F.abs(F.col("bad") / F.col("seen") - last_bad / last_seen) > z * error)
-    grouped = leaf.withColumn("opens", F.coalesce(differs, F.lit(False)).cast("int")).withColumn("branch", F.sum("opens").over(siblings))
-    branches = grouped.groupBy("host", "labelled", "branch").agg(F.sum("bad").alias("b_bad"), F.sum("seen").alias("b_seen"))
-    hosts = leaf.groupBy("host").agg(F.sum("bad").alias("h_bad"), F.sum("seen").alias("h_seen"))
-    corpus = leaf.agg(((F.sum("bad") + prior / 2) / (F.sum("seen") + prior)).alias("base"))
-    of_host = (F.col("h_bad") + prior * F.coalesce("base", F.lit(0.5))) / (F.col("h_seen") + prior)
-    scored = grouped.select("host", "template", "labelled", "branch").join(branches, ["host", "labelled", "branch"]).join(hosts, "host").join(F.broadcast(corpus)).select(  # one row
-        "host", "template", ((F.col("b_bad") + prior * of_host) / (F.col("b_seen") + prior)).alias("purity"))
+    grouped = tree.select("*", labelled).withColumn("opens", F.coalesce(differs, F.lit(False)).cast("int")).withColumn("branch", F.sum("opens").over(siblings))
+    joint = Window.partitionBy("host", "above", "level", "labelled", "branch")
+    # nodes without labels look at labelled ones of the same path and shape on other hosts
+    sisters, _ = stored(tree.where("level > 0 and seen > 0").groupBy("node", "wild").agg((F.sum("bad") / F.sum("seen")).alias("sister")), "sisters")
+    nodes = grouped.withColumns({"b_bad": F.sum("bad").over(joint), "b_seen": F.sum("seen").over(joint)}).join(sisters, ["node", "wild"], "left").select(
+        "host", "node", "b_bad", "b_seen", F.when(~F.col("labelled"), F.col("sister")).alias("sister"))
+    corpus = leaf.agg(F.coalesce((F.sum("bad") + prior / 2) / (F.sum("seen") + prior), F.lit(0.5)).alias("base"))
+    way = below.select("host", "template", "level", "node").join(nodes, ["host", "node"]).groupBy("host", "template").agg(
+        F.sort_array(F.collect_list(F.struct("level", "b_bad", "b_seen", "sister"))).alias("way"))
+    told = lambda s: F.when(s["sister"].isNotNull(), F.lit(prior)).otherwise(0.0)
+    purity = F.aggregate("way", F.col("base"), lambda p, s: F.when(s["b_seen"] + told(s) == 0, p).otherwise(
+        (s["b_bad"] + told(s) * F.coalesce(s["sister"], F.lit(0.0)) + prior * p) / (s["b_seen"] + told(s) + prior)))
+    scored, _ = stored(way.join(F.broadcast(corpus)).select("host", "template", purity.alias("purity")), "scored")  # the corpus is one row
     return known.join(scored, ["host", "template"]).select(
         "page_id", "host", "path", "template", "purity", F.col("ruled.rule").alias("rule"),
         F.coalesce("ruled.verdict", F.when(F.col("purity") > reject, "block").otherwise("allow")).alias("verdict"))

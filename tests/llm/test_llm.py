@@ -287,6 +287,19 @@ def test_url_templates_reject_bad_branches(spark):
     assert out[100].rule is None and out[100].verdict in ("allow", "block")
 
 
+def test_url_labels_reach_unlabelled_templates_through_the_tree(spark):
+    """Unlabelled children of a good and of a bad node, and unlabelled templates that other hosts have with labels."""
+    rules = (("allow", "h.com", "/a/known/"), ("block", "h.com", "/b/known/"), ("block", "s1.net", "/x/"), ("allow", "s1.net", "/y/"))
+    paths = [("h.com", p) for p in ("/a/known/p", "/b/known/p", "/a/other/p", "/b/other/p", "/c/p")] + [("s1.net", "/x/7"), ("s1.net", "/y/7"), ("s2.net", "/x/8"), ("s2.net", "/y/8")]
+    rows = [(100 * k + i, f"http://{h}{p}") for k, (h, p) in enumerate(paths) for i in range(30)]
+    out = {r.page_id: r for r in urls.judged_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert len(out) == len(rows) and all(out[k].rule is None for k in (200, 300, 400, 700, 800))
+    assert [out[k].verdict for k in (200, 300, 700, 800)] == ["allow", "block", "block", "allow"]
+    # by hand: corpus 61/122, root 61/122, /a joint counts 0 of 30, /b 30 of 30; a node without labels takes its parent's
+    assert [round(out[k].purity, 9) for k in (200, 300, 400)] == [round(x, 9) for x in (1 / 32, 31 / 32, 0.5)]
+    assert [out[k].purity for k in (700, 800)] == [0.875, 0.125]  # two steps, each half way to the sister's share
+
+
 PAGE = """<html><head><title>T</title><script>var a="<p>";</script></head><body><header>top</header><nav><a href="/x">menu</a></nav>
 <div class="cookie-notice">We use cookies</div><div class="post-12"><h1>Head &amp; tail</h1><p>First <b>bold</b>
 text &lt;here&gt;.<p>Second one which is rather long, so that it counts for something.<ul><li>one<li>two</ul></div>
