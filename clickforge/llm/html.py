@@ -3,7 +3,8 @@
 A page becomes a tree of elements. Each element that holds text is a container with a path of tags and generalised classes (digits
 become ``#``), and a score: characters of text outside links, less what stands in links. Spark adds the scores up by host and path,
 so that the path that carries the articles of most pages wins over what is long on one page only. A page is then cut to the
-elements at its host's winning path; where it has none, to its own best container.
+elements at its host's winning path; where it has none, to its own best container, and where no container scores above 0 either, it
+stays whole.
 """
 
 from __future__ import annotations
@@ -49,7 +50,10 @@ class _Open:
 
 
 def containers(page: str | None) -> list[tuple[str, int, list[str]]]:
-    """(path, score, blocks) of each container element in the order in which they end; noise and skipped elements hold nothing."""
+    """(path, score, blocks) of each container element in the order in which they end, then of the whole page, whose path is empty.
+
+    Noise and skipped elements hold nothing.
+    """
     if not page:
         return []
     root = _Open("", "", False, False)
@@ -134,15 +138,20 @@ def containers(page: str | None) -> list[tuple[str, int, list[str]]]:
     flush()
     while len(stack) > 1:
         close()
-    if not done:
-        done.append(("", root.text - 2 * root.links, root.blocks))
+    done.append(("", root.text - 2 * root.links, root.blocks))
     return done
 
 
 def _best(found: list[tuple[str, int, list[str]]]) -> int:
-    """The container with the highest score of its own; of nested ones that hold nearly the same, the innermost, which ends first."""
+    """The container with the highest score of its own, or the whole page if none is above 0.
+
+    Of nested ones that hold the same blocks it is the innermost, which ends first; one that leaves a block out is never taken instead.
+    """
     top = max(score for _, score, _ in found)
-    return next(i for i, (_, score, _) in enumerate(found) if score >= 0.9 * top)
+    if top <= 0:
+        return len(found) - 1
+    most = max(i for i, (_, score, _) in enumerate(found) if score == top)
+    return next(i for i, (_, _, blocks) in enumerate(found) if blocks == found[most][2])
 
 
 def path_votes(pages: DataFrame) -> DataFrame:

@@ -313,6 +313,18 @@ def test_html_extraction(spark):
     assert out[3] == out[4] == "" and out[5] == "just text é" and out[6] == "unclosed it"
 
 
+def test_html_keeps_what_stands_around_the_longest_part(spark):
+    """A heading and a lead before a long part of the same article, text outside any container, and pages of links only."""
+    nested = "<body><nav>menu</nav><article><h1>Head</h1><p>Lead.</p><div class=body><p>{}</p></div></article></body>"
+    body = ["long " * 200 + str(i) for i in range(4)]
+    links = "<body><div><a href=/1>first link</a></div><div>by <a href=/2>second link</a></div></body>"
+    rows = [(i, f"http://n/{i}", nested.format(b)) for i, b in enumerate(body)]
+    rows += [(10, "http://l/1", links), (11, "http://n/9", links), (12, "http://f/1", f"<h1>Top</h1><div>{body[0]}</div>")]
+    out = {r.page_id: r.text for r in html.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [out[i] for i in range(4)] == [f"Head\n\nLead.\n\n{b}" for b in body]
+    assert out[10] == out[11] == "first link\n\nby second link" and out[12] == f"Top\n\n{body[0]}"
+
+
 def test_warc_derivatives(spark, tmp_path):
     pages = spark.createDataFrame([(1, "http://h/1", PAGE, "x"), (2, None, None, "x")], "page_id long, url string, html string, block string")
     made = warc.derivatives(warc.responses(pages))
