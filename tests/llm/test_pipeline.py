@@ -97,3 +97,11 @@ def test_line_stage_removes_long_passages_on_one_line(spark):
     line = " ".join(f"p{i}" for i in range(60))
     docs = spark.createDataFrame([(1, f"{line}\none"), (2, f"two\n{line}\nthree"), (3, line), (4, "two")], "doc_id long, text string")
     assert {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()} == {1: f"{line}\none", 2: "two\nthree", 4: "two"}
+
+
+def test_near_stage_removes_copies_from_eight_tenths_on(spark):
+    """Two of 100 words changed leave 86 of 106 shingles in common, three leave 81 of 111."""
+    base = [f"n{i}" for i in range(100)]
+    changed = lambda *at: " ".join("other" + w if i in at else w for i, w in enumerate(base))
+    docs = spark.createDataFrame([(1, changed()), (2, changed(30, 60)), (3, changed(20, 50, 80))], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == {1, 3}
