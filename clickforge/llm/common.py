@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from clickforge.shared import broadcast_within, drop_scratch, scratch_path
 
-__all__ = ["broadcast_within", "drop_scratch", "scratch_path", "Words", "word_chunks", "ngram_hashes", "rolling", "mix64", "stored", "keyed", "parted", "row_id"]
+__all__ = ["broadcast_within", "drop_scratch", "scratch_path", "ALPHANUMERIC", "Words", "word_chunks", "ngram_hashes", "rolling", "mix64", "stored", "keyed", "parted", "row_id"]
 
 CHUNK_BYTES = 1 << 20
 #: Ids that may be broadcast: 8 bytes each, so at most some tens of megabytes in an executor.
@@ -44,6 +44,10 @@ def _powers(n: int) -> np.ndarray:
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
+#: Separators: all ASCII but digits and letters.
+ALPHANUMERIC = np.ones(256, dtype=bool)
+ALPHANUMERIC[48:58] = ALPHANUMERIC[65:91] = ALPHANUMERIC[97:123] = False
+ALPHANUMERIC[128:] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 

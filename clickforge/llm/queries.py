@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickforge.llm import bpe, decontaminate, html, lines, minhash, quality, substring, toxicity, urls, warc
+from clickforge.llm import bpe, decontaminate, html, importance, lines, minhash, quality, search, secrets, substring, toxicity, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -192,3 +192,96 @@ def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of all pages; brute force and hand-made pages in the tests."""
     return html.main_texts(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+#: The crc32 of a feature is a fold over its bytes, eight steps each: a byte joins at its first step, the others have 0.
+RESAMPLE_SQL = r"""
+WITH w AS (SELECT 'd' AS side, doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL SELECT 'b', NULL, 0, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+f AS (SELECT side, r, unnest(w) AS feature FROM w
+      UNION ALL SELECT side, r, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w),
+c AS (SELECT side, r, feature, count(*) AS n FROM f GROUP BY ALL),
+b AS (SELECT feature, xor(list_reduce(flatten(list_transform(range(0, octet_length(encode(feature))),
+        lambda i: [CAST('0x' || substr(hex(encode(feature)), 2 * i + 1, 2) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+        lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1)), 4294967295), 4294967295) % 10000 AS bucket
+      FROM (SELECT DISTINCT feature FROM c)),
+n AS (SELECT bucket, sum(n) FILTER (side = 'd') AS s, sum(n) FILTER (side = 'b') AS t FROM c JOIN b USING (feature) GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000e0 * ln((coalesce(t, 0) + 1)::DOUBLE * (coalesce(sum(s) OVER (), 0) + 10000)::DOUBLE
+        / ((coalesce(s, 0) + 1)::DOUBLE * (coalesce(sum(t) OVER (), 0) + 10000)::DOUBLE))) AS BIGINT) AS gain FROM n),
+p AS (SELECT r, sum(n)::BIGINT AS n_features, CAST(floor(sum(n * gain)::DOUBLE / sum(n)) AS BIGINT) AS weight
+      FROM c JOIN b USING (feature) JOIN g USING (bucket) WHERE side = 'd' GROUP BY r),
+h AS (SELECT r, doc_id, len(w) AS n_words, CAST('0x' || sha256('7:' || doc_id)[1:8] AS BIGINT) AS h FROM w WHERE side = 'd'),
+z AS (SELECT r, doc_id, n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000e0 * ln(-ln((h + 0.5e0) / 4294967296e0))) AS BIGINT) AS score FROM h LEFT JOIN p USING (r)),
+o AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS eligible FROM z WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * eligible // 100 THEN place END AS rank FROM z LEFT JOIN o USING (r)
+"""
+
+
+@query(RESAMPLE_SQL)
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their weight towards the benchmark, and the drawn quarter's ranks."""
+    out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=25, min_words=20, seed=7)
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+SEARCH_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (SELECT count(*) FILTER (len(w) > 0)::BIGINT AS texts, sum(len(w))::BIGINT AS length FROM d),
+t AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+x AS (SELECT item_id, r, doc_id, sum(CAST(floor(1000 * ln((2 * texts + 2)::DOUBLE / (2 * df + 1))) AS BIGINT)
+             * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * texts) // length))))::BIGINT AS score
+      FROM q JOIN t USING (term) JOIN f USING (term), s GROUP BY ALL),
+o AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place, doc_id, score FROM x WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM o WHERE place <= 10
+"""
+
+
+@query(SEARCH_SQL)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
+#: Matches and the texts between them give the places: as many code points as stand before.
+SECRETS_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS t FROM documents),
+pattern(k, kind, pat, least) AS (VALUES
+  (0, 'assign', '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+', 8),
+  (1, 'access', 'AKIA[A-Z0-9]+', 16), (2, 'hex', '[0-9a-f]{32,}', 32), (3, 'owned', '[A-Za-z0-9+_=-]{20,}', 20)),
+m AS (SELECT r, doc_id, owner, k, kind, least, regexp_extract_all(t, pat) AS m, string_split_regex(t, pat) AS p FROM d, pattern WHERE regexp_matches(t, pat)),
+e AS (SELECT r, doc_id, owner, k, kind, least, m[i] AS s, list_sum(list_transform(p[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: len(x))), 0) AS a
+      FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM m)),
+c AS (SELECT *, a + len(s) AS z FROM (SELECT *, CASE WHEN k = 0 THEN regexp_extract(s, '^[A-Za-z_]+["'']?\x20*[:=]\x20*["'']?(.*)$', 1) ELSE s END AS v FROM e) WHERE len(v) >= least),
+b AS (SELECT * FROM c WHERE k < 3),
+f AS (SELECT * FROM b UNION ALL SELECT * FROM c WHERE k = 3 AND len(list_distinct(string_split(s, ''))) >= 10
+        AND len(regexp_extract_all(s, '[0-9][A-Za-z]|[A-Za-z][0-9]')) >= 3
+        AND NOT EXISTS (SELECT 1 FROM b WHERE b.r = c.r AND b.a < c.z AND b.z > c.a)),
+o AS (SELECT v, count(DISTINCT owner) AS owners FROM f GROUP BY v),
+j AS (SELECT r, k, kind, a, z, owners > 2 AS example, kind || ':' || CAST(a AS BIGINT) || ':' || CAST(z AS BIGINT) AS span FROM f JOIN o USING (v)),
+g AS (SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+        string_agg(span, ',' ORDER BY a, k) FILTER (k < 3) AS base, string_agg(span, ',' ORDER BY a, k) FILTER (k < 3 OR NOT example) AS spans,
+        count(*) FILTER (NOT example) AS n_live, count(*) FILTER (example AND k < 3) AS n_examples FROM j GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_examples, 0)::BIGINT AS n_examples
+FROM d LEFT JOIN g USING (r)
+"""
+
+
+@query(SECRETS_SQL)
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of all documents, with drawn-looking runs of few owners, and how many are live-looking or copied examples."""
+    out = secrets.secret_spans(table(spark, sf_dir, "documents"), owner="source", repository="doc_id", max_owners=2)
+    n = lambda test: F.size(F.filter("spans", test)).cast("long")
+    of = lambda kind: n(lambda s: s["kind"] == kind).alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"] != "owned")
+    return out.select(
+        "doc_id", *[of(kind) for kind in secrets.KINDS[:3]],
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"),
+        n(lambda s: ~s["example"]).alias("n_live"), n(lambda s: s["example"]).alias("n_examples"))
