@@ -1,10 +1,11 @@
 """Byte-level BPE: ranked merges as a fold over byte arrays of distinct words, and decoding by concatenation.
 
-The rank map of the folded pieces is a literal: an array of small maps, so that a lookup reads one of them. Bytes are written in hex there. Distinct pieces of the corpus are
-counted in Spark; the most frequent, up to a fixed number of bytes, are folded with ``aggregate`` and ``transform`` and travel to
-the tasks as a table of bounded size. A task takes a piece's ids from that table, and merges the rest, which by the cap are
+Distinct pieces of the corpus are counted in Spark; the most frequent, up to a fixed number and length, are folded with ``aggregate`` and
+``transform`` over a literal rank map (an array of small maps, so that a lookup reads one of them; bytes are written in hex there) and
+travel to the tasks as a table of bounded size. A task takes a piece's ids from that table, and merges the rest, which by the cap are
 the rare ones: many short ones together, a pair in each at a time, on numpy arrays, and long ones with a heap. All follow the same
-rule, so the cap bounds memory and changes no result.
+rule, so the cap bounds memory and time and changes no result. Decoding takes the tokens of all ids of many texts from one array of
+tokens, where they come to stand end to end, and cuts the bytes at the texts' ends.
 """
 
 from __future__ import annotations
@@ -23,13 +24,16 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickforge.llm.common import stored
+from clickforge.llm.common import drop_scratch, stored
 
 SLOTS = 1 << 12
 #: The table of folded pieces: at most so many pieces, none longer than so many bytes.
-TABLE_PIECES = 4_096
+TABLE_PIECES = 16_384
 FOLD_BYTES = 16
-CACHE_PIECES = 400_000
+#: Pieces a task remembers beside that table.
+CACHE_PIECES = 200_000
+#: Pieces a task counts before it sends them on.
+COUNTED_PIECES = 300_000
 #: Pieces of at most so many bytes are merged together, so many at once; longer ones one by one with a heap.
 SHORT = 64
 STEP_PIECES = 8_192
@@ -110,20 +114,17 @@ class PairTable:
         return out
 
 
-def merge_many(pieces: list[bytes], pairs: PairTable) -> list[list[int]]:
-    """``merge`` of many pieces of at most ``SHORT`` bytes that are no token: one step merges one pair in each of them."""
-    out: list[list[int]] = [[]] * len(pieces)
-    order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
-    begin = 0
-    while begin < len(order):
-        end = min(begin + STEP_PIECES, len(order))
-        for i, ids in zip(order[begin:end], _merge_block([pieces[i] for i in order[begin:end]], pairs)):
-            out[i] = ids
-        begin = end
-    return out
+def merge_many(pieces: list[bytes], pairs: PairTable) -> tuple[np.ndarray, np.ndarray]:
+    """``merge`` of many pieces of at most ``SHORT`` bytes that are no token, in rising length: all ids, and how many each piece has.
+
+    One step merges one pair in each piece of a block.
+    """
+    blocks = [_merge_block(pieces[i: i + STEP_PIECES], pairs) for i in range(0, len(pieces), STEP_PIECES)]
+    none = np.zeros(0, dtype=np.int64)
+    return np.concatenate([none, *[ids for ids, _ in blocks]]), np.concatenate([none, *[size for _, size in blocks]])
 
 
-def _merge_block(pieces: list[bytes], pairs: PairTable) -> list[list[int]]:
+def _merge_block(pieces: list[bytes], pairs: PairTable) -> tuple[np.ndarray, np.ndarray]:
     """Columns are pieces, rows places, with a row for the border on either side; joined tokens stay at the left place."""
     size = np.array([len(p) for p in pieces])
     high, wide = int(size.max()), len(pieces)
@@ -159,9 +160,7 @@ def _merge_block(pieces: list[bytes], pairs: PairTable) -> list[list[int]]:
         cost[at, busy] = pairs.look(rank, live[right, busy]) << 8 | at
         cost[left, busy] = pairs.look(live[left, busy], rank) << 8 | left
     held = token.T >= 0
-    ends = np.cumsum(held.sum(axis=1)).tolist()
-    flat = token.T[held].tolist()
-    return [flat[i:j] for i, j in zip([0, *ends], ends)]
+    return token.T[held], held.sum(axis=1)
 
 
 def rank_literal(ranks: dict[bytes, int]) -> Column:
@@ -213,8 +212,12 @@ def _folded(piece: Column, slots: Column) -> Column:
     return _let(rank(piece), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(fold["parts"], rank)))
 
 
-def frequent_pieces(docs: DataFrame, pattern: str, at_most: int = TABLE_PIECES) -> DataFrame:
-    """(piece, n): the corpus' most frequent pieces that are short enough to fold, counted over all texts."""
+def frequent_pieces(docs: DataFrame, pattern: str, at_most: int = TABLE_PIECES) -> tuple[DataFrame, str]:
+    """(piece, n), stored, and where: the corpus' most frequent pieces that are short enough to fold, counted over all texts.
+
+    How many pieces are how frequent is added up by classes of frequency, and the classes from the top on that fit
+    into ``at_most`` are taken whole, so nothing sorts the pieces.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = regex.compile(pattern).findall
@@ -229,12 +232,22 @@ def frequent_pieces(docs: DataFrame, pattern: str, at_most: int = TABLE_PIECES)
             for text in batch.column(0):
                 if (t := text.as_py()):
                     seen.update(split(t))
-                if len(seen) > CACHE_PIECES:
+                if len(seen) > COUNTED_PIECES:
                     yield out()
         yield out()
 
-    counts = docs.select(F.col("text").cast("string")).mapInArrow(run, "piece binary, n long")
-    return counts.where(F.length("piece") <= FOLD_BYTES).groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(at_most)
+    spark = docs.sparkSession
+    counts = docs.select(F.col("text").cast("string")).mapInArrow(run, "piece binary, n long").where(F.length("piece") <= FOLD_BYTES)
+    counted, path = stored(counts.groupBy("piece").agg(F.sum("n").alias("n")).where("n > 1").withColumn("kind", F.floor(F.log2("n") * 16).cast("int")), "counts")
+    least, total = None, 0
+    for r in counted.groupBy("kind").count().orderBy(F.desc("kind")).collect():  # at most 16 classes for each bit of a count
+        total += r["count"]
+        if total > at_most:
+            break
+        least = r.kind
+    found = stored(counted.where(F.col("kind") >= F.lit(least)).select("piece", "n"), "pieces")
+    drop_scratch(spark, path)
+    return found
 
 
 def folded_table(docs: DataFrame, ranks: dict[bytes, int], pattern: str, at_most: int = TABLE_PIECES) -> dict[bytes, list[int]]:
@@ -243,72 +256,123 @@ def folded_table(docs: DataFrame, ranks: dict[bytes, int], pattern: str, at_most
     The literal rank map holds the tokens that are part of such a piece: the fold can ask for no others, and plans stay small.
     """
     spark = docs.sparkSession
-    pieces, _ = stored(frequent_pieces(docs, pattern, at_most), "pieces")
+    pieces, path = frequent_pieces(docs, pattern, at_most)
     found = [bytes(r[0]) for r in pieces.select("piece").collect()]  # bounded by at_most
     parts = {p[i:j] for p in found for i in range(len(p)) for j in range(i + 1, len(p) + 1)}
     literal = rank_literal({t: ranks[t] for t in parts & ranks.keys()})
     spread = pieces.repartition(max(8, spark.sparkContext.defaultParallelism * 2), "piece").withColumn("code", F.hex("piece"))
-    return {bytes(r[0]): list(r[1]) for r in spread.select("piece", folded("code", literal).alias("ids")).collect()}
-
+    table = {bytes(r[0]): list(r[1]) for r in spread.select("piece", folded("code", literal).alias("ids")).collect()}
+    drop_scratch(spark, path)
+    return table
+
+
+class _Known:
+    """The ids of the pieces a task has met: a piece has a number, and its ids stand together in one array."""
+
+    def __init__(self, table: dict[bytes, list[int]], ranks: dict[bytes, int], pairs: PairTable):
+        self.ranks, self.pairs = ranks, pairs
+        self.table = {k.decode("utf-8", "surrogateescape"): i for i, k in enumerate(table)}
+        self.ids = np.fromiter(chain.from_iterable(table.values()), dtype=np.int32)
+        self.ends = np.concatenate([[0], np.cumsum([len(x) for x in table.values()], dtype=np.int64)])
+        self.head = len(self.ids)
+        self.number = dict(self.table)
+
+    def learn(self, pieces: set[str]) -> None:
+        """Give the pieces numbers and ids."""
+        if len(self.number) > CACHE_PIECES + len(self.table):  # forget all but the table
+            self.number, self.ids, self.ends = dict(self.table), self.ids[: self.head], self.ends[: len(self.table) + 1]
+        single, short, long = [], [], []
+        for piece in pieces.difference(self.number):
+            code = piece.encode()
+            rank = self.ranks.get(code)
+            if rank is not None:
+                single.append((piece, rank))
+            else:
+                (short if len(code) <= SHORT else long).append((code, piece))
+        short.sort(key=lambda x: len(x[0]))
+        merged, size = merge_many([c for c, _ in short], self.pairs)
+        heaped = [merge(c, self.ranks) for c, _ in long]
+        names = [*[p for p, _ in single], *[p for _, p in short], *[p for _, p in long]]
+        self.number.update(zip(names, range(len(self.ends) - 1, len(self.ends) - 1 + len(names))))
+        sizes = np.concatenate([np.ones(len(single), dtype=np.int64), size, np.array([len(x) for x in heaped], dtype=np.int64)])
+        self.ids = np.concatenate([self.ids, np.array([r for _, r in single], dtype=np.int32), merged.astype(np.int32), np.fromiter(chain.from_iterable(heaped), dtype=np.int32)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+
+    def of(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts' pieces in one array, and where each text ends in it."""
+        self.learn(set().union(*texts))
+        number = np.fromiter(map(self.number.__getitem__, chain.from_iterable(texts)), dtype=np.int64)
+        size = self.ends[number + 1] - self.ends[number]
+        until = np.concatenate([[0], np.cumsum(size)])
+        at = np.arange(int(until[-1])) + np.repeat(self.ends[number] - until[:-1], size)
+        return self.ids[at], until[np.cumsum([len(x) for x in texts])]
+
+
+class _Tokens:
+    """The tokens by id, for decoding."""
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, at_most: int = TABLE_PIECES) -> DataFrame:
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.tokens = pa.array(tokens, pa.large_binary())
+
+    def joined(self, ids: pa.Array, ends: np.ndarray) -> pa.Array:
+        """The bytes of each text: its ids reach from the end before, or 0, to its own in ``ends``."""
+        try:
+            taken = self.tokens.take(ids)
+        except pa.ArrowIndexError as e:
+            raise ValueError("an id has no token") from e
+        if taken.null_count:
+            raise ValueError("an id has no token")
+        _, offsets, data = taken.buffers()
+        at = np.frombuffer(offsets, dtype=np.int64)[np.concatenate([[0], ends])] if len(taken) else np.zeros(len(ends) + 1, dtype=np.int64)
+        return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(at), data]).cast(pa.binary())
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, at_most: int = TABLE_PIECES, decoded: bool = False) -> DataFrame:
     """(doc_id, ids) of every row of ``docs`` (doc_id, text; further columns are ignored): the whole text's token ids.
 
-    Each match of ``pattern`` is merged for itself; there are no special tokens. Null counts as empty and has no ids.
+    Each match of ``pattern`` is merged for itself; there are no special tokens. Null counts as empty and has no ids. With ``decoded``
+    a column of that name has the bytes that the ids decode to, as ``decode`` gives them, in the same pass.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, PairTable(ranks), folded_table(docs, ranks, pattern, at_most)))
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, folded_table(docs, ranks, pattern, at_most)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, pairs, table = shared.value
+        ranks, table = shared.value
+        known, tokens = _Known(table, ranks, PairTable(ranks)), _Tokens(ranks)
         split = regex.compile(pattern).findall
-        head = {k.decode("utf-8", "surrogateescape"): v for k, v in table.items()}
-        known = dict(head)
         for batch in batches:
             done, texts, size = 0, [], 0
             for row, text in enumerate(batch.column(1)):
-                texts.append(split(text.as_py() or ""))
-                size += len(text.as_py() or "")
+                value = text.as_py() or ""
+                texts.append(split(value))
+                size += len(value)
                 if size > CHUNK_CHARS or row + 1 == batch.num_rows:
-                    if len(known) > CACHE_PIECES:
-                        known = dict(head)
-                    _learn(set().union(*texts).difference(known), known, ranks, pairs)
-                    ids = [pa.array(list(chain.from_iterable(map(known.__getitem__, pieces))), pa.int32()) for pieces in texts]
-                    yield _ids(batch, done, ids)
+                    flat, ends = known.of(texts)
+                    ids = pa.array(flat)
+                    offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+                    made = {"doc_id": batch.column(0).slice(done, len(texts)), "ids": pa.ListArray.from_arrays(offsets, ids)}
+                    if decoded:
+                        made["decoded"] = tokens.joined(ids, ends)
+                    yield pa.RecordBatch.from_pydict(made)
                     done, texts, size = row + 1, [], 0
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids array<int>")
-
-
-def _learn(pieces: set[str], known: dict[str, list[int]], ranks: dict[bytes, int], pairs: PairTable) -> None:
-    """Add the ids of ``pieces`` to ``known``."""
-    together: list[tuple[str, bytes]] = []
-    for piece in pieces:
-        code = piece.encode()
-        if code in ranks or len(code) > SHORT:
-            known[piece] = merge(code, ranks)
-        else:
-            together.append((piece, code))
-    known.update(zip((p for p, _ in together), merge_many([c for _, c in together], pairs)))
-
-
-def _ids(batch: pa.RecordBatch, begin: int, ids: list[pa.Array]) -> pa.RecordBatch:
-    ends = [0]
-    for x in ids:
-        ends.append(ends[-1] + len(x))
-    return pa.RecordBatch.from_arrays(
-        [batch.column(0).slice(begin, len(ids)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays(ids))], names=["doc_id", "ids"])
+    schema = "doc_id long, ids array<int>" + (", decoded binary" if decoded else "")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """``encoded`` with ``decoded`` (binary): the tokens' bytes, concatenated. An id without a token is an error."""
-    tokens = encoded.sparkSession.sparkContext.broadcast({v: k for k, v in ranks.items()})
+    """``encoded`` (ids, any other columns) with ``decoded`` (binary): the tokens' bytes, concatenated. Null ids give none; an id without a token is an error."""
+    shared = encoded.sparkSession.sparkContext.broadcast(ranks)
     names = encoded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = tokens.value.__getitem__
+        tokens = _Tokens(shared.value)
         for batch in batches:
-            made = pa.array([b"".join(map(piece, x.as_py() or ())) for x in batch.column(names.index("ids"))], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*names, "decoded"])
+            lists = batch.column(names.index("ids"))
+            ends = np.cumsum([len(x) if x.is_valid else 0 for x in lists], dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, tokens.joined(lists.flatten(), ends)], names=[*names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(run, schema + ", decoded binary")

@@ -234,11 +234,44 @@ def test_bpe_equals_the_library(spark, docs):
     library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     more = spark.createDataFrame([(50, "a" * 5000 + " <|endoftext|> ñandú \u2028 'll 12345   x\n\n"), (51, "z" * 3 + "$" * 4000)], "doc_id long, text string")
     whole = docs.select("doc_id", "text").unionByName(more)
-    out = collections.defaultdict(list)
-    for r in bpe.decode(bpe.encode(whole, ranks, pattern, at_most=40), ranks).collect():
-        out[r.doc_id].append((list(r.ids), bytes(r.decoded)))
-    for i, text in whole.collect():
-        assert (library.encode_ordinary(text or ""), (text or "").encode()) in out[i]
+    for made in (bpe.decode(bpe.encode(whole, ranks, pattern, at_most=40), ranks), bpe.encode(whole, ranks, pattern, decoded=True)):
+        out = collections.defaultdict(list)
+        for r in made.collect():
+            out[r.doc_id].append((list(r.ids), bytes(r.decoded)))
+        for i, text in whole.collect():
+            assert (library.encode_ordinary(text or ""), (text or "").encode()) in out[i]
+
+
+def test_bpe_frequent_pieces_are_the_most_frequent(spark):
+    texts = [(1, "a b c a b a a"), (2, "b a\n\na"), (3, None), (4, "")]
+    pattern = r" ?\w+|\s+"
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = lambda n: {bytes(r.piece).decode(): r.n for r in bpe.frequent_pieces(docs, pattern, n)[0].collect()}
+    counts = collections.Counter(p for _, t in texts for p in re.findall(pattern, t or ""))
+    assert found(100) == {p: n for p, n in counts.items() if n > 1} and found(0) == {}
+    few = found(2)
+    assert few and len(few) <= 2 and min(few.values()) >= max(n for p, n in counts.items() if p not in few)
+
+
+def test_bpe_forgets_and_learns_again(monkeypatch):
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b"bc": 257, b"abc": 258, b"cd": 259, b" a": 260}
+    known = bpe._Known({b"abc": [258], b" ab": bpe.merge(b" ab", ranks)}, ranks, bpe.PairTable(ranks))
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
+    draw = random.Random(3)
+    for _ in range(30):
+        texts = [["".join(draw.choice("abcd é") for _ in range(draw.choice((1, 3, 9, 90)))) for _ in range(draw.randrange(5))] for _ in range(3)]
+        ids, ends = known.of(texts)
+        assert ids.tolist() == [i for pieces in texts for p in pieces for i in bpe.merge(p.encode(), ranks)]
+        assert ends.tolist() == [sum(len(bpe.merge(p.encode(), ranks)) for t in texts[: k + 1] for p in t) for k in range(3)]
+
+
+def test_bpe_decode_of_foreign_ids(spark):
+    ranks = {b"a": 0, b"bc": 2}
+    rows = spark.createDataFrame([(1, [0, 2, 0]), (2, None), (3, [])], "doc_id long, ids array<int>")
+    assert {r.doc_id: bytes(r.decoded) for r in bpe.decode(rows, ranks).collect()} == {1: b"abca", 2: b"", 3: b""}
+    for wrong in (1, 3, -1):
+        with pytest.raises(Exception, match="no token"):
+            bpe.decode(spark.createDataFrame([(1, [0, wrong])], "doc_id long, ids array<int>"), ranks).collect()
 
 
 def test_toxicity_held_out_and_counterfactual(spark):
