@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickforge.llm.common import BROADCAST_IDS, Words, broadcast_within, rolling, stored, word_chunks
+from clickforge.llm.common import BROADCAST_IDS, Words, broadcast_within, drop_scratch, rolling, stored, word_chunks
 
 GRAM = 5
 HOT = 5_000
@@ -250,6 +250,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, gram: int = GRAM, hot: int
     """
     if not 1 <= gram <= window:
         raise ValueError("a k-gram must fit into the window")
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     docs = docs.withColumn("tid", F.xxhash64("text"))
     known = docs.where("doc_id is not null")
@@ -264,12 +265,12 @@ def remove_repeats(docs: DataFrame, window: int = 13, gram: int = GRAM, hot: int
     common = prints.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1")
     shared = prints.join(common, "fp").groupBy("doc_id").agg(
         F.collect_set("fp").alias("shared"), F.collect_set(F.when(F.col("n") > hot, F.col("fp"))).alias("hot"))
-    shared, _ = stored(shared, "shared")
-    candidates, _ = stored(
-        originals.join(broadcast_within(shared.select("doc_id"), BROADCAST_IDS), "doc_id", "left_semi").join(shared, "doc_id"), "candidates")
-    found, _ = stored(_segments(candidates, window, gram), "segments")
+    shared, shared_at = stored(shared, "shared")
+    candidates = originals.join(broadcast_within(shared.select("doc_id"), BROADCAST_IDS), "doc_id", "left_semi").join(shared, "doc_id")
+    found, found_at = stored(_segments(candidates, window, gram), "segments")
+    drop_scratch(spark, shared_at)
 
-    least, _ = stored(found.groupBy("shard", "sid").agg(F.min("doc_id").alias("first")), "firsts")
+    least, least_at = stored(found.groupBy("shard", "sid").agg(F.min("doc_id").alias("first")), "firsts")
     several = least.groupBy("shard").count().where("count > 1").select("shard")
     streams = (
         found.select("shard", "sid", F.col("doc_id").alias("first"), "words")
@@ -284,7 +285,10 @@ def remove_repeats(docs: DataFrame, window: int = 13, gram: int = GRAM, hot: int
         .groupBy(*rows).agg(F.flatten(F.collect_list("marks")).alias("marks"))
     )
     marks, _ = stored(marks, "marks")
-    touched = candidates.select(*rows, "text").join(marks, rows).select("doc_id", "text", F.lit(False).alias("copy"), "marks")
+    drop_scratch(spark, found_at)
+    drop_scratch(spark, least_at)
+    touched = originals.join(broadcast_within(marks.select(*rows), BROADCAST_IDS), rows, "left_semi").join(marks, rows).select(
+        "doc_id", "text", F.lit(False).alias("copy"), "marks")
     nothing = F.lit(None).cast("array<int>").alias("marks")
     plain = docs.join(broadcast_within(marks.select(*rows), BROADCAST_IDS), rows, "left_anti").join(
         broadcast_within(copies.withColumn("copy", F.lit(True)), BROADCAST_IDS), rows, "left"
