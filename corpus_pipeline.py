@@ -64,7 +64,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the token ids of the whole text, their number and the digest of the decoded bytes."""
     path, pattern = tokenizer()
     ranks = bpe.load_ranks(spark, path)
-    both = bpe.decode(bpe.encode(docs, ranks, pattern), ranks)
+    both = bpe.encode(docs, ranks, pattern, decoded=True)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
