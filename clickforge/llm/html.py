@@ -9,6 +9,7 @@ stays whole.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -28,130 +29,217 @@ BLOCKS = frozenset(
     "main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCKS - {"body", "html"}
 SELF_CLOSING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+LISTS = ("ul", "ol", "dl", "table")
 CONTAINERS = frozenset("article main section div td body".split())
 #: Words of class, id or role that mark what is no part of the article.
 NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice\w*|alert|popup|modal|nav\w*|menu\w*|breadcrumb\w*|sidebar|side|aside|"
     r"foot\w*|head(?:er)?|masthead|comment\w*|disqus|repl(?:y|ies)|respond|related|recommend\w*|share|sharing|social|subscribe|newsletter|signup|login|search|"
     r"widget\w*|pagination|pager|toolbar|legal|copyright|contentinfo|complementary|navigation|hidden)(?:$|[\s_-])", re.IGNORECASE)
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([A-Za-z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"|<([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+NAME = re.compile(r"[A-Za-z][^\s/>]*")
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+STOP = re.compile(r"[>\"']")
+
+
+class _Scanner:
+    """The marks of a page, each character looked at a fixed number of times.
+
+    A mark that nothing ends is remembered: where no ``>`` is ahead, the rest has no tags, and once quotes have swallowed the rest of a
+    page, its tags end at the first ``>`` whether quoted or not.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.quoted = True
+        self.closing = {'"': True, "'": True}
+        self.raw: dict[str, re.Pattern] = {}
+
+    def __iter__(self) -> Iterator[tuple[str, str, str]]:
+        """(kind, name, rest) in page order: data with its text as rest, start tags with their attributes, end tags."""
+        page, at, size = self.page, 0, len(self.page)
+        begin = 0  # of the data at hand
+        while (at := page.find("<", at)) >= 0:
+            after = page[at + 1: at + 2]
+            if page.startswith("<!--", at):
+                stop, kind, name, rest = self._past("-->", at + 4), "", "", ""
+            elif page.startswith("<![CDATA[", at):
+                stop, kind, name, rest = self._past("]]>", at + 9), "", "", ""
+            elif after in ("!", "?"):
+                stop, kind, name, rest = self._past(">", at + 2), "", "", ""
+            elif after == "/" and (m := NAME.match(page, at + 2)):
+                stop, kind, name, rest = self._past(">", m.end()), "end", m[0].lower(), ""
+            elif after and (m := NAME.match(page, at + 1)) and (end := self._tag_end(m.end())) >= 0:
+                stop, kind, name, rest = end + 1, "start", m[0].lower(), page[m.end(): end]
+            else:
+                if after and NAME.match(after) and page.find(">", at) < 0:
+                    at = self._no_tags(at)
+                    continue
+                at += 1
+                continue
+            if begin < at:
+                yield "data", "", page[begin:at]
+            if kind:
+                yield kind, name, rest
+            if kind == "start" and name in RAW:
+                stop = self._past_raw(name, stop)
+            at = begin = stop
+        if begin < size:
+            yield "data", "", page[begin:]
+
+    def _past(self, mark: str, at: int) -> int:
+        end = self.page.find(mark, at)
+        return len(self.page) if end < 0 else end + len(mark)
+
+    def _no_tags(self, at: int) -> int:
+        """Without a ``>`` ahead only marks that reach to the end of the page can follow: where the first of them begins."""
+        m = re.compile(r"<(?:[!?]|/[A-Za-z])").search(self.page, at)
+        return m.start() if m else len(self.page)
+
+    def _tag_end(self, at: int) -> int:
+        """The place of the ``>`` that ends a start tag, outside quotes if there is one, or -1."""
+        plain = self.page.find(">", at)
+        if plain < 0 or not self.quoted:
+            return plain
+        while m := STOP.search(self.page, at):
+            if m[0] == ">":
+                return m.start()
+            close = self.page.find(m[0], m.end()) if self.closing[m[0]] else -1
+            self.closing[m[0]] = close >= 0
+            at = m.end() if close < 0 else close + 1
+        self.quoted = False
+        return plain
+
+    def _past_raw(self, name: str, at: int) -> int:
+        if name not in self.raw:
+            self.raw[name] = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE)
+        m = self.raw[name].search(self.page, at)
+        return self._past(">", m.end()) if m else len(self.page)
 
 
 class _Open:
-    __slots__ = ("tag", "path", "skip", "link", "text", "links", "blocks")
+    __slots__ = ("tag", "path", "skip", "link", "text", "links", "first")
 
-    def __init__(self, tag: str, path: str, skip: bool, link: bool):
-        self.tag, self.path, self.skip, self.link = tag, path, skip, link
+    def __init__(self, tag: str, path: bytes, skip: bool, link: bool, first: int):
+        self.tag, self.path, self.skip, self.link, self.first = tag, path, skip, link, first
         self.text = self.links = 0
-        self.blocks: list[str] = []
 
 
-def containers(page: str | None) -> list[tuple[str, int, list[str]]]:
-    """(path, score, blocks) of each container element in the order in which they end, then of the whole page, whose path is empty.
+def _kind(tag: str, named: dict[str, str]) -> str:
+    """The tag and its classes, digits generalised."""
+    classes = named.get("class", "")
+    return tag + "".join("." + c for c in sorted(set(re.sub(r"\d+", "#", classes).split()))) if classes else tag
 
-    Noise and skipped elements hold nothing.
-    """
-    if not page:
-        return []
-    root = _Open("", "", False, False)
-    stack, done = [root], []
-    inline: list[str] = []
-
-    def flush() -> None:
-        if inline:
-            block = " ".join("".join(inline).split())
-            inline.clear()
+
+def _left_out(tag: str, named: dict[str, str]) -> bool:
+    """Whether an element's text is never of the article: by its tag, by what its class, id or role say, or because it is hidden."""
+    if tag in SKIPPED:
+        return True
+    if not named:
+        return False
+    if "hidden" in named or named.get("aria-hidden", "").lower() == "true" or "display:none" in named.get("style", "").replace(" ", "").lower():
+        return True
+    return tag not in ("html", "body", "article", "main") and bool(NOISE.search(" ".join((named.get("class", ""), named.get("id", ""), named.get("role", "")))))
+
+
+class _Page:
+    """The tree of one page as it is read: open elements, blocks in page order, and the containers that have ended."""
+
+    def __init__(self) -> None:
+        self.root = _Open("", b"", False, False, 0)
+        self.stack = [self.root]
+        self.open_at: dict[str, list[int]] = {}  # where each tag's open elements stand in the stack
+        self.blocks: list[str] = []
+        self.inline: list[str] = []
+        self.done: list[tuple[str, int, int, int]] = []
+
+    def flush(self) -> None:
+        if self.inline:
+            block = " ".join("".join(self.inline).split())
+            self.inline.clear()
             if block:
-                for e in stack:
-                    if e is root or e.tag in CONTAINERS:
-                        e.blocks.append(block)
-
-    def close() -> None:
-        e = stack.pop()
-        if e.tag in CONTAINERS and not e.skip:
-            done.append((e.path, e.text - 2 * e.links, e.blocks))
-        stack[-1].text += e.text
-        stack[-1].links += e.links
-
-    def data(chunk: str) -> None:
-        top = stack[-1]
-        if chunk and not top.skip:
-            chunk = entities.unescape(chunk)
-            inline.append(chunk)
+                self.blocks.append(block)
+
+    def data(self, chunk: str) -> None:
+        top = self.stack[-1]
+        if not top.skip:
+            chunk = entities.unescape(chunk) if "&" in chunk else chunk
+            self.inline.append(chunk)
             size = len(chunk) - chunk.count(" ")
             top.text += size
             top.links += size if top.link else 0
 
-    at = 0
-    while True:
-        m = TOKEN.search(page, at)
-        if m is None:
-            data(page[at:])
-            break
-        data(page[at: m.start()])
-        at = m.end()
-        if m[1]:
-            tag = m[1].lower()
-            if tag in BLOCKS:
-                flush()
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if depth:
-                while len(stack) > depth:
-                    close()
-        elif m[2]:
-            tag = m[2].lower()
-            if tag in BLOCKS or tag == "br":
-                flush() if tag != "br" else inline.append(" ")
-            if tag in VOID:
-                continue
-            if tag in CLOSES_P:
-                depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
-                if depth:
-                    while len(stack) > depth:
-                        close()
-            for other in SELF_CLOSING.get(tag, ()):
-                depth = 0
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == other:
-                        depth = i
-                        break
-                    if stack[i].tag in ("ul", "ol", "dl", "table"):
-                        break
-                if depth:
-                    while len(stack) > depth:
-                        close()
-            top = stack[-1]
-            named = {a.lower(): b or c or d or "" for a, b, c, d in ATTRIBUTE.findall(m[3] or "")}
-            classes = named.get("class", "")
-            noisy = tag not in ("html", "body", "article", "main") and bool(
-                NOISE.search(" ".join((classes, named.get("id", ""), named.get("role", "")))))
-            kind = tag + "".join("." + c for c in sorted(set(re.sub(r"\d+", "#", classes).split())))
-            hidden = bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", m[3] or "")) or "display:none" in named.get("style", "").replace(" ", "")
-            stack.append(_Open(tag, f"{top.path}/{kind}", top.skip or noisy or hidden or tag in SKIPPED, top.link or tag == "a"))
-            if tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}[^>]*>", re.IGNORECASE).search(page, at)
-                at = end.end() if end else len(page)
-                stack.pop()
-    flush()
-    while len(stack) > 1:
-        close()
-    done.append(("", root.text - 2 * root.links, root.blocks))
-    return done
-
-
-def _best(found: list[tuple[str, int, list[str]]]) -> int:
+    def close_down_to(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            e = self.stack.pop()
+            self.open_at[e.tag].pop()
+            if e.tag in CONTAINERS and not e.skip:
+                self.done.append((e.path.hex(), e.text - 2 * e.links, e.first, len(self.blocks)))
+            self.stack[-1].text += e.text
+            self.stack[-1].links += e.links
+
+    def end(self, tag: str) -> None:
+        if tag in BLOCKS:
+            self.flush()
+        if at := self.open_at.get(tag):
+            self.close_down_to(at[-1])
+
+    def start(self, tag: str, attributes: str) -> None:
+        if tag == "br":
+            self.inline.append(" ")
+        elif tag in BLOCKS:
+            self.flush()
+        if tag in VOID:
+            return
+        if tag in CLOSES_P and (at := self.open_at.get("p")):
+            self.close_down_to(at[-1])
+        for other in SELF_CLOSING.get(tag, ()):
+            at = self.open_at.get(other)
+            if at and at[-1] > max((x[-1] for t in LISTS if (x := self.open_at.get(t))), default=-1):
+                self.close_down_to(at[-1])
+        named = {a.lower(): b or c or d or "" for a, b, c, d in ATTRIBUTE.findall(attributes)} if attributes else {}
+        top = self.stack[-1]
+        path = hashlib.blake2b(top.path + _kind(tag, named).encode("utf-8", "replace"), digest_size=16).digest()
+        if tag in RAW:  # its text has been passed over
+            return
+        self.open_at.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(_Open(tag, path, top.skip or _left_out(tag, named), top.link or tag == "a", len(self.blocks)))
+
+    def finish(self) -> None:
+        self.flush()
+        self.close_down_to(1)
+        self.done.append(("", self.root.text - 2 * self.root.links, 0, len(self.blocks)))
+
+
+def containers(page: str | None) -> tuple[list[tuple[str, int, int, int]], list[str]]:
+    """The containers of a page in the order in which they end, then the whole page, and the page's blocks.
+
+    A container is (path, score, first, stop): its blocks are those from ``first`` up to ``stop``. The path is a digest of the tags and
+    classes from the root on; that of the whole page is empty. Noise and skipped elements hold nothing. Empty pages have neither.
+    """
+    if not page:
+        return [], []
+    read = _Page()
+    for kind, name, rest in _Scanner(page):
+        if kind == "data":
+            read.data(rest)
+        elif kind == "start":
+            read.start(name, rest)
+        else:
+            read.end(name)
+    read.finish()
+    return read.done, read.blocks
+
+
+def _best(found: list[tuple[str, int, int, int]]) -> int:
     """The container with the highest score of its own, or the whole page if none is above 0.
 
     Of nested ones that hold the same blocks it is the innermost, which ends first; one that leaves a block out is never taken instead.
     """
-    top = max(score for _, score, _ in found)
+    top = max(score for _, score, _, _ in found)
     if top <= 0:
         return len(found) - 1
-    most = max(i for i, (_, score, _) in enumerate(found) if score == top)
-    return next(i for i, (_, _, blocks) in enumerate(found) if blocks == found[most][2])
+    most = max(i for i, (_, score, _, _) in enumerate(found) if score == top)
+    return next(i for i, (_, _, first, stop) in enumerate(found) if (first, stop) == found[most][2:])
 
 
 def path_votes(pages: DataFrame) -> DataFrame:
@@ -161,11 +249,11 @@ def path_votes(pages: DataFrame) -> DataFrame:
         for batch in batches:
             hosts, paths, scores = [], [], []
             for host, page in zip(batch.column(0), batch.column(1)):
-                found = containers(page.as_py())
-                if found and (top := max(s for _, s, _ in found)) > 0:
+                found, _ = containers(page.as_py())
+                if found and (top := max(score for _, score, _, _ in found)) > 0:
                     best: dict[str, float] = {}
                     chosen = found[_best(found)][0]
-                    for path, score, _ in found:
+                    for path, score, _, _ in found:
                         if score > 0:
                             best[path] = max(best.get(path, 0.0), score / top * (1.0 if path == chosen else 0.5))
                     for path, score in best.items():
@@ -201,11 +289,12 @@ def main_texts(pages: DataFrame) -> DataFrame:
         for batch in batches:
             texts = []
             for page, path in zip(batch.column(2), batch.column(3)):
-                found = containers(page.as_py())
-                mine = [blocks for at, _, blocks in found if at == path.as_py() and blocks]
+                found, blocks = containers(page.as_py())
+                wanted = path.as_py()
+                mine = [(first, stop) for at, _, first, stop in found if at == wanted and first < stop]
                 if not mine and found:
-                    mine = [found[_best(found)][2]]
-                texts.append("\n\n".join(b for blocks in mine for b in blocks))
+                    mine = [found[_best(found)][2:]]
+                texts.append("\n\n".join(b for first, stop in mine for b in blocks[first:stop]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     return joined.select("page_id", "url", "html", "path").mapInArrow(run, "page_id long, url string, text string")

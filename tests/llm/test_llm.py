@@ -2,8 +2,10 @@
 
 import collections
 import hashlib
+import html.parser as html_parser
 import random
 import re
+import time
 
 import pytest
 
@@ -358,6 +360,78 @@ def test_html_keeps_what_stands_around_the_longest_part(spark):
     assert out[10] == out[11] == "first link\n\nby second link" and out[12] == f"Top\n\n{body[0]}"
 
 
+@pytest.mark.parametrize("mark,there", [
+    ('title="The hidden cost"', True), ('data-note="all hidden = here"', True), ('class="hidden-gem1"', False), ("hidden", False), ('hidden=""', False), ("HIDDEN id=x", False),
+    ('aria-hidden="true"', False), ('aria-hidden="false"', True), ('style="display: none"', False), ('style="color:red"', True),
+])
+def test_html_hidden_by_attribute(mark, there):
+    found, blocks = html.containers(f"<body><article><p>One.</p><section {mark}><p>Two.</p></section></article></body>")
+    assert blocks == (["One.", "Two."] if there else ["One."]) and len(found) == (4 if there else 3)
+
+
+@pytest.mark.parametrize("page,blocks", [
+    ("<div>" * 100_000 + "deep", ["deep"]), ("<div>x" * 50_000 + "</b>" * 50_000, ["x"] * 50_000), ("<a " * 350_000, None), ("<a '" * 250_000, None),
+    ('<a ">" ' * 150_000 + "end", None), ("</script " * 100_000, None), ("<script>" + "</script " * 100_000, []), ("<li>" + "<ul>" + "<div>" * 20_000 + "<li>y</li>" * 20_000, ["y"] * 20_000),
+    ("<p title='x" + " y" * 400_000, None), ("<!--" * 200_000, []), ("<![CDATA[" * 100_000, []), ("<p" + " a" * 300_000 + ">z", ["z"]), ("&lt;" * 200_000, ["<" * 200_000]),
+])
+def test_html_broken_pages_take_seconds(page, blocks):
+    began = time.time()
+    found, got = html.containers(page)
+    html._best(found)
+    assert time.time() - began < 5
+    assert blocks is None or got == blocks
+
+
+class Plain(html_parser.HTMLParser):
+    """An extractor of its own for flat pages: the blocks below <article>, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.blocks, self.text, self.inside, self.out = [], "", 0, []
+
+    def flush(self):
+        self.blocks += [" ".join(self.text.split())] if self.text.strip() else []
+        self.text = ""
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        if tag in ("script", "style", "form", "nav", "aside", "footer", "header", "title") or "comment" in (dict(attrs).get("class") or "") or "ad" == dict(attrs).get("class"):
+            self.out.append(tag)
+        self.text += " " if tag == "br" else ""
+        if tag in ("p", "h1", "h2", "h3", "div", "ul", "ol", "li", "article", "table", "tr", "td", "blockquote", "section"):
+            self.flush()
+
+    def handle_endtag(self, tag):
+        if tag in ("p", "h1", "h2", "h3", "div", "ul", "ol", "li", "article", "table", "tr", "td", "blockquote", "section"):
+            self.flush()
+        self.inside -= tag == "article"
+        if self.out and self.out[-1] == tag:
+            self.out.pop()
+
+    def handle_data(self, data):
+        if self.inside and not self.out:
+            self.text += data
+
+
+def test_html_against_an_extractor_of_its_own(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    got = {r.page_id: r.text for r in html.main_texts(pages).collect()}
+    assert len(got) == pages.count()
+    for r in pages.collect():
+        plain = Plain()
+        plain.feed(r.html)
+        plain.flush()
+        assert got[r.page_id] == "\n\n".join(plain.blocks), r.page_id
+
+
+def test_html_empty_table_and_clashing_names(spark):
+    schema = "page_id long, url string, html string, path string, host string, text string, votes string"
+    rows = spark.createDataFrame([(1, "http://h/1", PAGE, "p", "h", "t", "v"), (1, "http://h/1", PAGE, "q", "g", "u", "w"), (None, None, "<p>x", "", "", "", "")], schema)
+    out = html.main_texts(rows).collect()
+    assert sorted(r.page_id or 0 for r in out) == [0, 1, 1] and {r.text for r in out if r.page_id is None} == {"x"} and len({r.text for r in out}) == 2
+    assert html.main_texts(rows.where("false")).count() == 0
+
+
 def test_warc_derivatives(spark, tmp_path):
     pages = spark.createDataFrame([(1, "http://h/1", PAGE, "x"), (2, None, None, "x")], "page_id long, url string, html string, block string")
     made = warc.derivatives(warc.responses(pages))
