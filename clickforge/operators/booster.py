@@ -1,29 +1,30 @@
-"""Gradient-boosted trees grown level by level from Spark aggregations.
+"""Gradient-boosted trees grown level by level from Spark aggregations, one model or a whole grid of them in the same passes.
 
-Rows are binned once and cached as ``codes`` (see ``binning``). Each level of each tree is one pass
-over the cache that produces a small histogram; only the winning split of every open node reaches
-the driver. Margins are updated once per round by a walk over the codes.
+Rows are binned once and cached as ``codes`` (see ``binning``). Each level of a round is one pass over the cache for all models and
+classes together (see ``growth``); only the winning splits reach the driver. Margins, one for each model and class, are
+updated once per round by a walk over the codes.
 
-The binned rows are written once to the shared folder. Every few rounds the margins are rebuilt from
-that table with all trees so far, so plans stay short and a lost executor costs a read of its rows
-and a few walks, while no round writes the rows again.
+Settings that differ in rounds only are prefixes of one model, so they share its growth as well. Every few rounds the rows are written to the
+shared folder with their margins and read again: plans stay short, a lost executor costs a read of its rows and a few walks, and
+the work grows in proportion to the rounds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import Broadcast, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from clickforge.functions import sigmoid
 from clickforge.operators.binning import Cuts, bin_codes, find_cuts
-from clickforge.operators.histogram import best_splits, code_histogram, node_totals, split_candidates
+from clickforge.operators.growth import Layout, NodeSplit, RoundGrower
+from clickforge.operators.metrics import ScoreHistogram
 from clickforge.operators.sparse import feats_column, list_owner
 from clickforge.operators.trees import MATRIX_CELLS, TreeEnsemble, softmax
 from clickforge.operators.walk import FlatTree, dense_columns, used_features, walk_tree
@@ -31,8 +32,8 @@ from clickforge.shared import drop_scratch, scratch_path
 
 # (margin, label) -> (gradient, hessian)
 Objective = Callable[[Column, Column], tuple[Column, Column]]
-# (label, score) -> aggregate
-Metric = Callable[[Column, Column], Column]
+# (label, score) -> aggregate, or a histogram of the scores
+Metric = Callable[[Column, Column], Column] | ScoreHistogram
 
 MIN_GAIN = 1e-6
 MIN_HESSIAN = 1e-16
@@ -56,9 +57,14 @@ class BoostOptions:
     max_bins: int = 256
     missing: float | None = None
     seed: int = 123
-    rebuild_interval: int = 10
+    rebuild_interval: int = 20
     partitions: int | None = None
 
+    @property
+    def shared(self) -> tuple:
+        """What settings must have in common to grow over the same rows, cuts and samples."""
+        return (self.subsample, self.colsample_bytree, self.num_class, self.max_bins, self.missing, self.seed, self.rebuild_interval, self.partitions)
+
 
 def logistic_gradient(margin: Column, label: Column) -> tuple[Column, Column]:
     """Gradient and hessian of the logistic loss."""
@@ -76,13 +82,14 @@ def weighted_gradient(margin: Column, label: Column, scale_pos_weight: float = 1
     return g * weight, h * weight
 
 
-def _gradient_arrays(options: BoostOptions, objective: Objective) -> tuple[Column, Column]:
-    label = F.col("label")
-    if options.num_class == 1:
-        g, h = weighted_gradient(F.get("margins", F.lit(0)), label, options.scale_pos_weight, objective)
-        return F.array(g), F.array(h)
+def _gradient_arrays(models: Sequence[BoostOptions], objective: Objective) -> tuple[Column, Column]:
+    """The gradient pairs of all outputs, model by model."""
+    label, k = F.col("label"), models[0].num_class
+    if k == 1:
+        pairs = [weighted_gradient(F.get("margins", F.lit(i)), label, o.scale_pos_weight, objective) for i, o in enumerate(models)]
+        return F.array(*[g for g, _ in pairs]), F.array(*[h for _, h in pairs])
     p = F.col("p")
-    g = F.transform(p, lambda q, c: q - F.when(label == c, 1.0).otherwise(0.0))
+    g = F.transform(p, lambda q, o: q - F.when(label == o % k, 1.0).otherwise(0.0))
     h = F.transform(p, lambda q: F.greatest(2.0 * q * (1 - q), F.lit(MIN_HESSIAN)))
     return g, h
 
@@ -119,19 +126,19 @@ class _GrowingTree:
     def flat(self) -> FlatTree:
         return FlatTree.from_nodes(self.nodes)
 
-    def grow(self, splits: list) -> None:
-        """Split the open nodes; nodes without a gaining split stay leaves."""
+    def grow(self, splits: list[NodeSplit]) -> None:
+        """Split the open nodes; nodes without a gaining split stay leaves. ``open`` then lists the children, pair by pair."""
         grown: list[int] = []
-        for s in sorted(splits, key=lambda s: s["node"]):
-            if s["node"] not in self.open or s["gain"] is None or s["gain"] <= MIN_GAIN:
+        for s in sorted(splits, key=lambda s: s.node):
+            if s.node not in self.open or s.gain <= MIN_GAIN:
                 continue
-            parent = self.nodes[s["node"]]
+            parent = self.nodes[s.node]
             left, right = len(self.nodes), len(self.nodes) + 1
-            parent.update(is_leaf=False, feature=s["feature"], threshold=float(s["bin"]), left=left, right=right,
-                          default_left=bool(s["default_left"]), gain=s["gain"])
+            parent.update(is_leaf=False, feature=s.feature, threshold=float(s.bin), left=left, right=right,
+                          default_left=s.default_left, gain=s.gain)
             depth = parent["depth"] + 1
-            self.nodes.append(self._leaf(left, s["node"], depth, s["g_left"], s["h_left"]))
-            self.nodes.append(self._leaf(right, s["node"], depth, parent["g"] - s["g_left"], parent["h"] - s["h_left"]))
+            self.nodes.append(self._leaf(left, s.node, depth, s.g_left, s.h_left))
+            self.nodes.append(self._leaf(right, s.node, depth, parent["g"] - s.g_left, parent["h"] - s.h_left))
             grown += [left, right]
         self.open = grown
 
@@ -171,26 +178,25 @@ class _GrowingTree:
         return rows
 
 
-def _add_rounds(rounds: list[list[FlatTree]], cuts: Cuts) -> Column:
-    """The margins after adding the leaf values of the rounds, one tree per class each, in order."""
-    code_start = cuts.code_start
-    feature_of = np.repeat(np.arange(cuts.num_features, dtype=np.int32), np.diff(code_start))
-    used = used_features([t for trees in rounds for t in trees])
-    column_of = np.full(max(cuts.num_features, 1), -1, np.int64)
-    column_of[used] = np.arange(len(used))
-    step = max(1, MATRIX_CELLS // max(1, len(used)))
+def _add_round(trees: list[FlatTree | None], shared: Broadcast[Layout]) -> Column:
+    """The margins after adding the leaf values of a round, one tree for each output that grew."""
+    used = used_features([t for t in trees if t is not None])
 
     @arrow_udf("array<double>")
     def added(lists: pa.Array, margins: pa.Array) -> pa.Array:
+        layout = shared.value
+        column_of = np.full(max(len(layout.code_start) - 1, 1), -1, np.int64)
+        column_of[used] = np.arange(len(used))
+        step = max(1, MATRIX_CELLS // max(1, len(used)))
         total = margins.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1).copy()
         for i in range(0, len(lists), step):
             block = lists.slice(i, step)
             codes = block.flatten().to_numpy(zero_copy_only=False)
-            feature = feature_of[codes]
-            matrix = dense_columns(list_owner(block), column_of[feature], codes - code_start[feature], len(used), len(block))
-            for trees in rounds:
-                for c, tree in enumerate(trees):
-                    total[i:i + step, c] += tree.value[walk_tree(tree, matrix, column_of)]
+            feature = layout.feature_of[codes]
+            matrix = dense_columns(list_owner(block), column_of[feature], codes - layout.code_start[feature], len(used), len(block))
+            for o, tree in enumerate(trees):
+                if tree is not None:
+                    total[i:i + step, o] += tree.value[walk_tree(tree, matrix, column_of)]
         offsets = np.arange(len(lists) + 1, dtype=np.int32) * total.shape[1]
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(total.ravel()))
 
@@ -209,14 +215,16 @@ class BoostResult:
 
 
 def prepare_rows(df: DataFrame, features, label: str, options: BoostOptions, split: str | None = None,
-                 row_id: str | None = None, margin: str | None = None) -> tuple[DataFrame, Cuts]:
-    """Bin the rows: ``(row_id, label, split, codes, margins)``. Cut points come from training rows."""
+                 row_id: str | None = None, margin: str | None = None, models: int = 1) -> tuple[DataFrame, Cuts]:
+    """Bin the rows: ``(row_id, label, split, codes, margins)``. Cut points come from training rows; margins stand model by model."""
     k = options.num_class
     zero = F.array(*[F.lit(0.0)] * k)
     if margin is None:
         start = zero
     else:
         start = F.col(margin) if k > 1 else F.array(F.col(margin).cast("double"))
+    if models > 1:
+        start = F.flatten(F.array_repeat(start, models))
     rows = df.select(
         F.col(label).cast("double").alias("label"),
         (F.col(split) if split else F.lit("train")).alias("split"),
@@ -239,12 +247,16 @@ def _even_out(binned: DataFrame, partitions: int, options: BoostOptions) -> Data
     return binned
 
 
-def _reread(spark: SparkSession, path: str) -> DataFrame:
-    """The binned table in about as many partitions as there are cores.
+def _reread(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """The binned table in cached partitions, and how many there are.
 
-    Every task sends one partial histogram, so many small partitions would inflate the shuffle.
+    Every task sends one partial histogram, so small partitions go together: as many as two for each core, or, where
+    there is more data than that, four splits of the files each.
     """
-    return spark.read.parquet(path).coalesce(2 * spark.sparkContext.defaultParallelism)
+    rows = spark.read.parquet(path)
+    splits = rows.rdd.getNumPartitions()
+    parts = min(splits, max(2 * spark.sparkContext.defaultParallelism, -(-splits // 4)))
+    return rows.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK), parts
 
 
 def fit_boosted_trees(df: DataFrame, features, label: str = "label", options: BoostOptions | None = None, *,
@@ -258,33 +270,75 @@ def fit_boosted_trees(df: DataFrame, features, label: str = "label", options: Bo
     ``margin`` continues from an earlier model's raw output. ``metrics`` are
     evaluated on every split after every round, on the probability (binary models).
     """
-    options = options or BoostOptions()
+    return fit_boosted_grid(df, features, label, [options or BoostOptions()], split=split, row_id=row_id, margin=margin, objective=objective, metrics=metrics)[0]
+
+
+def fit_boosted_grid(df: DataFrame, features, label: str, settings: Sequence[BoostOptions], *,
+                     split: str | None = None, row_id: str | None = None, margin: str | None = None,
+                     objective: Objective = logistic_gradient,
+                     metrics: dict[str, Metric] | None = None, last_only: bool = False) -> list[BoostResult]:
+    """One result for each of ``settings``, each what ``fit_boosted_trees`` gives for it alone.
+
+    All settings that share rows, cuts and samples grow in the same passes over one binned table; those that differ in
+    ``num_round`` only are one model, cut at their rounds. With ``last_only``, metrics are taken after rounds that are the
+    last of some setting only. Further arguments are those of ``fit_boosted_trees``.
+    """
+    results: list[BoostResult | None] = [None] * len(settings)
+    for shared in dict.fromkeys(o.shared for o in settings):
+        mine = [i for i, o in enumerate(settings) if o.shared == shared]
+        models: dict[BoostOptions, int] = {}
+        for i in mine:
+            bare = replace(settings[i], num_round=0)
+            models[bare] = max(models.get(bare, 0), settings[i].num_round)
+        grown = _fit_together(df, features, label, [replace(o, num_round=n) for o, n in models.items()], split, row_id, margin, objective, metrics, {settings[i].num_round for i in mine} if last_only else None)
+        found = dict(zip(models, grown))
+        for i in mine:
+            o = settings[i]
+            whole = found[replace(o, num_round=0)]
+            nodes = [n for n in whole.model.nodes if n["tree"] < o.num_round * o.num_class]
+            results[i] = BoostResult(TreeEnsemble(nodes, o.num_class, o.missing), [h for h in whole.history if h[0] < o.num_round])
+    return results
+
+
+def _fit_together(df: DataFrame, features, label: str, models: list[BoostOptions], split, row_id, margin, objective: Objective,
+                  metrics: dict[str, Metric] | None, judged: set[int] | None = None) -> list[BoostResult]:
+    """Models over the same rows, cuts and samples, each with its own rounds, depth and penalties."""
+    first, k = models[0], models[0].num_class
     spark = df.sparkSession
-    rows, cuts = prepare_rows(df, features, label, options, split, row_id, margin)
+    rows, cuts = prepare_rows(df, features, label, first, split, row_id, margin, len(models))
     path = scratch_path(spark, "boost")
     rows.write.parquet(path)
-    table = _reread(spark, path)
-    current = table.persist(StorageLevel.MEMORY_AND_DISK)
+    current, tasks = _reread(spark, path)
     held = [current]
-    nodes: list[dict] = []
-    rounds: list[list[FlatTree]] = []
-    history: list[tuple] = []
+    widest = sum(k << max(o.max_depth - 1, 0) for o in models)
+    shared = spark.sparkContext.broadcast(Layout.of(cuts, min(widest, 1 << 16), spark.sparkContext.defaultParallelism))
+    nodes: list[list[dict]] = [[] for _ in models]
+    history: list[list[tuple]] = [[] for _ in models]
+    rounds = max(o.num_round for o in models)
     try:
-        for round_ in range(options.num_round):
-            trees = _grow_round(current, cuts, options, objective, round_)
-            for tree in trees:
-                nodes += tree.model_rows(round_ * options.num_class + tree.class_id, cuts)
-            rounds.append([t.flat() for t in trees])
-            if round_ + 1 == options.num_round and not metrics:
+        for round_ in range(rounds):
+            trees = _grow_round(current, cuts, models, objective, round_, shared, tasks)
+            for o, tree in enumerate(trees):
+                if tree is not None:
+                    nodes[o // k] += tree.model_rows(round_ * k + tree.class_id, cuts)
+            if round_ + 1 == rounds and not metrics:
                 break
-            if (round_ + 1) % options.rebuild_interval == 0:
-                updated = table.withColumn("margins", _add_rounds(rounds, cuts))
+            updated = current.withColumn("margins", _add_round([t.flat() if t is not None else None for t in trees], shared))
+            if (round_ + 1) % first.rebuild_interval == 0:
+                after = scratch_path(spark, "boost")
+                updated.write.parquet(after)
+                current, tasks = _reread(spark, after)
+                current.count()  # filled before its source goes
+                for copy in held:
+                    copy.unpersist()
+                drop_scratch(spark, path)
+                path, held = after, [current]
             else:
-                updated = current.withColumn("margins", _add_rounds(rounds[-1:], cuts))
-            current = updated.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(current)
-            if metrics:
-                history += _evaluate(current, round_, metrics)
+                current = updated.persist(StorageLevel.MEMORY_AND_DISK)
+                held.append(current)
+            if metrics and (judged is None or round_ + 1 in judged):
+                for m, found in enumerate(_evaluate(current, round_, metrics, len(models))):
+                    history[m] += found
             # The copy before the newest is still what the newest is filled from.
             while len(held) > 2:
                 held.pop(0).unpersist()
@@ -292,43 +346,55 @@ def fit_boosted_trees(df: DataFrame, features, label: str = "label", options: Bo
         for copy in held:
             copy.unpersist()
         drop_scratch(spark, path)
-    return BoostResult(TreeEnsemble(nodes, options.num_class, options.missing), history)
-
-
-def _evaluate(rows: DataFrame, round_: int, metrics: dict[str, Metric]) -> list[tuple]:
-    score = sigmoid(F.get("margins", F.lit(0)))
-    found = rows.groupBy("split").agg(*[m(F.col("label"), score).alias(name) for name, m in metrics.items()])
-    return [(round_, r["split"], name, r[name]) for r in found.orderBy("split").collect() for name in metrics]
-
-
-def _grow_round(base: DataFrame, cuts: Cuts, options: BoostOptions, objective: Objective, round_: int) -> list[_GrowingTree]:
-    spark = base.sparkSession
-    k = options.num_class
-    rows = base.filter((F.col("split") == "train") & _sampled(options, round_))
+        shared.unpersist()
+    return [BoostResult(TreeEnsemble(nodes[m], k, o.missing), history[m]) for m, o in enumerate(models)]
+
+
+def _evaluate(rows: DataFrame, round_: int, metrics: dict[str, Metric], models: int) -> list[list[tuple]]:
+    """``(round, split, metric, value)`` of each model, all from one aggregation, and one for the score histograms."""
+    plain = {name: m for name, m in metrics.items() if not isinstance(m, ScoreHistogram)}
+    score = [sigmoid(F.get("margins", F.lit(m))) for m in range(models)]
+    out: list[list[tuple]] = [[] for _ in range(models)]
+    values: dict[tuple, float | None] = {}
+    splits: set[str] = set()
+    if plain:
+        sums = [m(F.col("label"), score[i]).alias(f"{i} {name}") for i in range(models) for name, m in plain.items()]
+        for r in rows.groupBy("split").agg(*sums).collect():
+            splits.add(r["split"])
+            values |= {(i, r["split"], name): r[f"{i} {name}"] for i in range(models) for name in plain}
+    for name, m in metrics.items():
+        if isinstance(m, ScoreHistogram):
+            for (split, i), (value, bound) in m.evaluate_many(rows, F.col("label"), score, F.col("split")).items():
+                splits.add(split)
+                values |= {(i, split, name): value, (i, split, f"{name}_bound"): bound}
+    names = [n for name, m in metrics.items() for n in ((name, f"{name}_bound") if isinstance(m, ScoreHistogram) else (name,))]
+    for i in range(models):
+        out[i] = [(round_, split, name, values.get((i, split, name))) for split in sorted(splits) for name in names]
+    return out
+
+
+def _grow_round(base: DataFrame, cuts: Cuts, models: list[BoostOptions], objective: Objective, round_: int,
+                shared: Broadcast[Layout], tasks: int) -> list[_GrowingTree | None]:
+    """The round's tree of each output: models in order, their classes in order; None where a model has its rounds."""
+    first, k = models[0], models[0].num_class
+    rows = base.filter((F.col("split") == "train") & _sampled(first, round_))
     if k > 1:
-        rows = rows.withColumn("p", softmax("margins"))
-    g, h = _gradient_arrays(options, objective)
+        parts = [softmax(F.slice("margins", 1 + k * m, k)) for m in range(len(models))]
+        rows = rows.withColumn("p", F.flatten(F.array(*parts)) if len(parts) > 1 else parts[0])
+    g, h = _gradient_arrays(models, objective)
     rows = rows.select("codes", g.alias("g"), h.alias("h"))
-    sums = rows.agg(*[F.sum(F.get(x, F.lit(c))).alias(f"{x}{c}") for c in range(k) for x in ("g", "h")]).first()
-    trees = [_GrowingTree(c, sums[f"g{c}"] or 0.0, sums[f"h{c}"] or 0.0) for c in range(k)]
-    keep = _sampled_features(options, cuts.num_features, round_)
-    for _ in range(options.max_depth):
-        if not cuts.num_features or not any(t.open for t in trees):
-            break
-        slots = [{node: i for i, node in enumerate(t.open)} for t in trees]
-        totals = node_totals(spark, [
-            (t.class_id, n, float(t.nodes[n]["g"]), float(t.nodes[n]["h"])) for t in trees for n in t.open
-        ])
-        histogram = code_histogram(rows, cuts, [t.flat() for t in trees], slots, keep)
-        candidates = split_candidates(histogram, totals, options.reg_lambda, options.alpha,
-                                      min_child_weight=options.min_child_weight)
-        # At most one row per open node comes back.
-        found = best_splits(candidates).collect()
-        for t in trees:
-            t.grow([s for s in found if s["class_id"] == t.class_id])
-    for t in trees:
-        t.prune(options.gamma)
-        t.set_leaf_values(options)
+    options = [o for o in models for _ in range(k)]
+    keep = None
+    if first.colsample_bytree < 1:
+        keep = base.sparkSession.sparkContext.broadcast(_sampled_features(first, cuts.num_features, round_))
+    grower = RoundGrower(rows, shared, tasks, keep)
+    trees = grower.grow(
+        [o.max_depth if round_ < o.num_round else None for o in options],
+        [(o.reg_lambda, o.alpha, o.min_child_weight) for o in options], lambda o, g, h: _GrowingTree(o % k, g, h))
+    if keep is not None:
+        keep.unpersist()
+    for o, tree in zip(options, trees):
+        if tree is not None:
+            tree.prune(o.gamma)
+            tree.set_leaf_values(o)
     return trees
-
-

@@ -2,22 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickforge.operators.binning import Cuts
-from clickforge.operators.sparse import list_owner
-from clickforge.operators.walk import FlatTree, dense_columns, used_features, walk_tree
-
-HISTOGRAM_SCHEMA = "class_id int, node int, feature int, bin int, g double, h double"
-# A task keeps one dense histogram up to this many cells (two doubles each); beyond it the task
-# emits what each batch holds and Spark's spilling aggregation does the merge.
-DENSE_CELLS = 8_000_000
-EMIT_ROWS = 65_536
 ROUND_DIGITS = 9
 
 
@@ -74,101 +61,3 @@ def best_splits(candidates: DataFrame) -> DataFrame:
     return candidates.groupBy("class_id", "node").agg(F.expr(
         "max_by(struct(feature, bin, default_left, gain, g_left, h_left), "
         "struct(gain, -feature, -bin, default_left))").alias("s")).select("class_id", "node", "s.*")
-
-
-def code_histogram(rows: DataFrame, cuts: Cuts, trees: list[FlatTree | None], slots: list[dict[int, int]],
-                   keep: np.ndarray) -> DataFrame:
-    """Histogram of the open nodes of the trees that are growing, one per class.
-
-    ``rows`` is ``(codes, g array<double>, h array<double>)``. ``trees[c]`` is class ``c``'s tree
-    so far in bin space and ``slots[c]`` numbers its open nodes; ``keep`` marks the features
-    sampled for this round. Each task walks its rows to their node and adds up its own partial
-    histogram, so the shuffle carries nodes x cells per task and does not grow with the rows.
-    """
-    num_codes = cuts.num_codes
-    code_start = cuts.code_start
-    feature_of = np.repeat(np.arange(cuts.num_features, dtype=np.int32), np.diff(code_start))
-    n_slots = [len(s) for s in slots]
-    base = np.concatenate([[0], np.cumsum(n_slots)]).astype(np.int64)
-    label = np.array([(c, node) for c, s in enumerate(slots) for node in sorted(s, key=s.get)], np.int32).reshape(-1, 2)
-    cells = int(base[-1]) * num_codes
-    dense = cells <= DENSE_CELLS
-    flush_at = max(cells, 1_000_000)
-    slot_tables = []
-    for c, s in enumerate(slots):
-        size = len(trees[c].feature) if trees[c] is not None else 1
-        table = np.full(size, -1, np.int64)
-        for node, slot in s.items():
-            table[node] = slot + base[c]
-        slot_tables.append(table)
-
-    def emit(index: np.ndarray, g: np.ndarray, h: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for i in range(0, len(index), EMIT_ROWS):
-            part = slice(i, i + EMIT_ROWS)
-            slot, code = index[part] // num_codes, index[part] % num_codes
-            feature = feature_of[code]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(label[slot, 0]), pa.array(label[slot, 1]), pa.array(feature),
-                    pa.array((code - code_start[feature]).astype(np.int32)),
-                    pa.array(g[part]), pa.array(h[part]),
-                ],
-                names=["class_id", "node", "feature", "bin", "g", "h"],
-            )
-
-    def slots_of(codes: np.ndarray, owner: np.ndarray, c: int, n_rows: int) -> np.ndarray:
-        tree = trees[c]
-        if tree is None or tree.depth == 0:
-            return np.full(n_rows, slot_tables[c][0])
-        used = used_features([tree])
-        column_of = np.full(cuts.num_features, -1, np.int64)
-        column_of[used] = np.arange(len(used))
-        feature = feature_of[codes]
-        matrix = dense_columns(owner, column_of[feature], codes - code_start[feature], len(used), n_rows)
-        return slot_tables[c][walk_tree(tree, matrix, column_of)]
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total_g = np.zeros(cells) if dense else None
-        total_h = np.zeros(cells) if dense else None
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-        def flush() -> None:
-            index, g, h = (np.concatenate(x) for x in zip(*held))
-            total_g[:] += np.bincount(index, weights=g, minlength=cells)
-            total_h[:] += np.bincount(index, weights=h, minlength=cells)
-            held.clear()
-
-        for batch in batches:
-            lists = batch.column("codes")
-            owner = list_owner(lists)
-            codes = lists.flatten().to_numpy(zero_copy_only=False)
-            n_rows = batch.num_rows
-            g_all = batch.column("g").flatten().to_numpy(zero_copy_only=False).reshape(n_rows, -1)
-            h_all = batch.column("h").flatten().to_numpy(zero_copy_only=False).reshape(n_rows, -1)
-            sampled = keep[feature_of[codes]]
-            for c in range(len(slots)):
-                if not slots[c]:
-                    continue
-                slot = slots_of(codes, owner, c, n_rows)
-                use = sampled & (slot[owner] >= 0)
-                row = owner[use]
-                index = slot[row] * num_codes + codes[use]
-                if dense:
-                    held.append((index, g_all[row, c], h_all[row, c]))
-                    continue
-                cell, inverse = np.unique(index, return_inverse=True)
-                yield from emit(cell, np.bincount(inverse, weights=g_all[row, c], minlength=len(cell)),
-                                np.bincount(inverse, weights=h_all[row, c], minlength=len(cell)))
-            if dense and sum(len(x[0]) for x in held) >= flush_at:
-                flush()
-        if dense:
-            if held:
-                flush()
-            filled = np.flatnonzero((total_g != 0) | (total_h != 0))
-            yield from emit(filled, total_g[filled], total_h[filled])
-
-    parts = rows.select("codes", "g", "h").mapInArrow(partial, HISTOGRAM_SCHEMA)
-    if dense:
-        # One shuffle serves both the merge and the running sums over a feature's bins.
-        parts = parts.repartition("class_id", "node", "feature")
-    return parts.groupBy("class_id", "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Iterator, Sequence
+
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickforge.functions import predicted_class, sigmoid
-from clickforge.operators.booster import BoostOptions, fit_boosted_trees
+from clickforge.operators.booster import BoostOptions, fit_boosted_grid, fit_boosted_trees
 from clickforge.operators.trees import (
     TreeEnsemble,
     feature_importance,
@@ -94,6 +97,36 @@ class BoostedTreesClassifier(Estimator, _BoostParams, DefaultParamsReadable, Def
         return self._copyValues(BoostedTreesModel(fitted.model))
 
 
+    def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence[dict]) -> Iterator[tuple[int, BoostedTreesModel]]:
+        """Models for all param maps; those that agree on columns grow together, in the same passes over one binned table."""
+        estimators = [self.copy(m) for m in paramMaps]
+        columns = [(e.getFeaturesCol(), e.getLabelCol(), e.getOrDefault(e.splitCol), e.getOrDefault(e.idCol)) for e in estimators]
+
+        def fitted() -> Iterator[tuple[int, BoostedTreesModel]]:
+            for same in dict.fromkeys(columns):
+                mine = [i for i, c in enumerate(columns) if c == same]
+                features, label, split, row_id = same
+                results = fit_boosted_grid(dataset, features, label, [estimators[i].options() for i in mine], split=split or None, row_id=row_id or None)
+                for i, result in zip(mine, results):
+                    yield i, estimators[i]._copyValues(BoostedTreesModel(result.model))
+
+        return _OneAtATime(fitted())
+
+
+class _OneAtATime:
+    """An iterator that several threads may ask."""
+
+    def __init__(self, source: Iterator):
+        self.source, self.lock = source, threading.Lock()
+
+    def __iter__(self):
+        return self
+
+    def __next__(self):
+        with self.lock:
+            return next(self.source)
+
+
 class BoostedTreesModel(Model, _BoostParams, MLReadable, MLWritable):
     """Appends raw prediction, probability, prediction and, when asked for, leaf ids."""
 

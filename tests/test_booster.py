@@ -7,9 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clickforge.operators import binning, histogram
+from clickforge.operators import binning, growth, histogram
 from clickforge.operators import metrics as m
-from clickforge.operators.booster import BoostOptions, fit_boosted_trees, logistic_gradient
+from clickforge.operators.booster import BoostOptions, fit_boosted_grid, fit_boosted_trees, logistic_gradient
 from clickforge.operators.trees import TreeEnsemble, tree_leaf, tree_margin, tree_predict
 from clickforge.plans import views
 
@@ -103,7 +103,7 @@ def test_sparse_histogram_mode_gives_the_same_trees(spark, monkeypatch):
     rows, labels = small_fixture()
     df = frame(spark, rows, labels)
     dense = fit_boosted_trees(df, "m", options=EXACT, row_id="id").model
-    monkeypatch.setattr(histogram, "DENSE_CELLS", 1)
+    monkeypatch.setattr(growth, "DENSE_CELLS", 1)
     sparse = fit_boosted_trees(df, "m", options=EXACT, row_id="id").model
     assert [(n["tree"], n["node"], n["feature"], n["threshold"]) for n in dense.nodes] == [
         (n["tree"], n["node"], n["feature"], n["threshold"]) for n in sparse.nodes]
@@ -271,13 +271,110 @@ def test_golden_first_split(spark):
 
 
 def test_histogram_does_not_grow_with_rows(spark, planted):
-    """The rows that leave the Arrow stage are bounded by tasks x cells."""
+    """The cells that leave the Arrow stage are bounded by tasks x cells."""
     few = planted.limit(200)
     for df in (few, planted):
         from clickforge.operators.booster import prepare_rows
 
         base, cuts = prepare_rows(df, ["hour_of_day"], "label", BoostOptions(partitions=2))
         rows = base.select("codes", F.array(F.lit(1.0)).alias("g"), F.array(F.lit(1.0)).alias("h"))
-        cells = histogram.code_histogram(rows, cuts, [None], [{0: 0}], np.ones(cuts.num_features, bool))
-        assert cells.count() <= cuts.num_codes
-        assert cells.agg(F.sum("h")).first()[0] == df.count()
+        layout = growth.Layout.of(cuts, 1, 4)
+        root = growth.FlatTree.from_nodes([{"node": 0, "depth": 0, "is_leaf": True, "leaf_value": 0.0}])
+        level = growth.Level([root], [(0, 0)], [-1], [-1], np.zeros((1, 5)), True)
+        cells = growth.partial_cells(rows, spark.sparkContext.broadcast(layout), level)
+        assert cells.select(F.explode("cell")).count() <= 2 * (cuts.num_codes + layout.owners)
+        whole = cells.where("owner = 0").select(F.explode(F.arrays_zip("cell", "h", "n")).alias("c")).where(F.col("c.cell") == layout.num_codes)
+        assert whole.agg(F.sum("c.h"), F.sum("c.n")).first()[:] == (df.count(), df.count())
+
+
+def grid():
+    return [BoostOptions(num_round=n, max_depth=d, eta=e, min_child_weight=w, reg_lambda=r, alpha=a, gamma=c, scale_pos_weight=s, rebuild_interval=2)
+            for n, d, e, w, r, a, c, s in ((1, 2, .3, 2, 1, 0, .2, 1), (3, 2, .3, 2, 1, 0, .2, 1), (3, 4, .3, 2, 1, 0, .2, 1), (5, 3, .1, 5, 2, .5, 1., 1), (2, 1, .9, 0, 0, 0, 0, 3))]
+
+
+def test_grid_equals_separate_fits(spark, planted):
+    together = fit_boosted_grid(planted, views.NUMERIC, "label", grid(), split="split", row_id="row_id", metrics={"logloss": m.log_loss})
+    for o, got in zip(grid(), together):
+        alone = fit_boosted_trees(planted, views.NUMERIC, options=o, split="split", row_id="row_id", metrics={"logloss": m.log_loss})
+        assert_same_model(got.model, alone.model)
+        assert [h[:3] for h in got.history] == [h[:3] for h in alone.history]
+        assert [h[3] for h in got.history] == pytest.approx([h[3] for h in alone.history], abs=1e-9)
+
+
+def test_multiclass_grid_equals_separate_fits(spark):
+    rng = random.Random(1)
+    df = spark.createDataFrame([(i, float(i % 3), (i % 3) * 2.0 + rng.random(), rng.random()) for i in range(300)], "id int, label double, a double, b double")
+    options = [BoostOptions(num_round=n, max_depth=d, eta=0.5, num_class=3, missing=x) for n, d, x in ((1, 2, None), (2, 3, None), (1, 2, 0.5))]
+    for o, got in zip(options, fit_boosted_grid(df, ["a", "b"], "label", options, row_id="id")):
+        assert got.model.missing == o.missing
+        assert_same_model(got.model, fit_boosted_trees(df, ["a", "b"], options=o, row_id="id").model)
+
+
+@pytest.mark.parametrize("change", [{"OWNER_CELLS": 3}, {"SALT_FROM": 1}, {"SEARCH_CELLS": 7, "EMIT_CELLS": 5}, {"DENSE_CELLS": 1, "SALT_FROM": 2, "EMIT_CELLS": 3, "OWNER_CELLS": 2}])
+def test_owners_salts_and_sizes_change_nothing(spark, monkeypatch, change):
+    rows, labels = small_fixture()
+    df = frame(spark, rows, labels)
+    plain = fit_boosted_trees(df, "m", options=EXACT, row_id="id").model
+    for name, value in change.items():
+        monkeypatch.setattr(growth, name, value)
+    assert_same_model(plain, fit_boosted_trees(df, "m", options=EXACT, row_id="id").model)
+
+
+def test_only_smaller_siblings_are_counted(spark, planted, monkeypatch):
+    """Below the root, the rows' nodes that are counted hold at most half of the hessian, and siblings come out as if counted."""
+    seen = []
+    read = growth.read_level
+
+    def spy(found, layout, level):
+        if not level.root:
+            pairs = level.limits[:, 4].reshape(2, -1)
+            assert (pairs[0] <= pairs[1]).all() and len(level.counted) * 2 == len(level.nodes)
+            kept = {}
+            for r in found.where(F.col("kind") == growth.KEPT).collect():
+                for cell, h, n in zip(r.cell, r.h, r.n):
+                    assert n > 0
+                    place, code = divmod(cell, layout.width)
+                    if layout.feature_of[code] == 2:  # the hour is never missing
+                        kept[place] = kept.get(place, 0.0) + h
+            seen.append(({p: level.limits[p, 4] for p in kept}, kept))
+        return read(found, layout, level)
+
+    monkeypatch.setattr(growth, "read_level", spy)
+    fit_boosted_trees(planted, views.NUMERIC, options=BoostOptions(num_round=2, max_depth=4, colsample_bytree=1.0), row_id="row_id")
+    assert sum(len(want) >= 2 for want, _ in seen) >= 3
+    for want, got in seen:
+        assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_wide_hashed_features(spark):
+    """Ten million feature ids, of which each row has three: the signal is found, and cells are bounded by what is present."""
+    df = spark.range(4000).select(
+        F.col("id").alias("id"), (F.pmod(F.xxhash64("id"), F.lit(7)) < 3).cast("double").alias("label"),
+        F.array(*[F.struct(x.cast("int").alias("f"), F.lit(1.0).alias("v")) for x in (
+            F.when(F.pmod(F.xxhash64("id"), F.lit(7)) < 3, 9_999_999).otherwise(5), F.pmod(F.hash("id"), F.lit(9_000_000)) + 6, F.lit(1))]).alias("feats"))
+    model = fit_boosted_trees(df, "feats", options=BoostOptions(num_round=2, max_depth=2, subsample=1.0, colsample_bytree=1.0), row_id="id").model
+    assert model.nodes[0]["feature"] in (5, 9_999_999)
+    assert tree_predict(df, model, "feats").where("prediction <> label").count() == 0
+
+
+def test_score_histogram(spark):
+    rng = random.Random(3)
+    data = [("a", float(rng.random() < s), s) for s in (round(rng.random() ** 2, 6) for _ in range(3000))]
+    data += [("two", 1.0, 0.25), ("two", 0.0, 0.25), ("two", 1.0, 0.75), ("one", 1.0, 0.5), ("a", 1.0, None), ("a", 0.0, float("nan")), ("a", None, 0.5), ("two", 1.0, 1.0)]
+    df = spark.createDataFrame(data, "split string, label double, score double")
+    known = [(y, s) for x, y, s in data if x == "a" and y is not None and s is not None and s == s]
+    exact = sum((p > n) + (p == n) / 2 for yp, p in known if yp for yn, n in known if not yn) / (sum(y for y, _ in known) * sum(1 - y for y, _ in known))
+    for classes in (1, 8, 4096):
+        found = m.ScoreHistogram(classes).evaluate(df, F.col("label"), F.col("score"), "split")
+        assert abs(found["a"][0] - exact) <= found["a"][1] + 1e-12 and found["one"] == (None, None)
+    assert found["a"][1] < 1e-3 and found["two"] == (pytest.approx(2.5 / 3), 0.0)
+
+
+def test_auc_in_the_history(spark, planted):
+    result = fit_boosted_trees(planted, views.NUMERIC, options=OPTIONS, split="split", row_id="row_id", metrics={"auc": m.ScoreHistogram(), "logloss": m.log_loss})
+    scored = tree_predict(planted, result.model, views.NUMERIC)
+    exact = {r["split"]: r["auc"] for r in m.evaluate_splits(scored, score="probability").collect()}
+    last = {(s, name): v for r, s, name, v in result.history if r == OPTIONS.num_round - 1}
+    assert {name for _, name in last} == {"auc", "auc_bound", "logloss"}
+    for split, value in exact.items():
+        assert abs(last[split, "auc"] - value) <= last[split, "auc_bound"] + 1e-9

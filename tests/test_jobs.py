@@ -69,12 +69,11 @@ def test_tabular_pipeline_round_trip(spark, tmp_path):
 
 
 def test_text_pipeline(spark):
-    rows = [("a b c d e spark", 1.0), ("b d", 0.0), ("spark f g h", 1.0), ("hadoop mapreduce", 0.0), ("b spark who", 1.0),
-            ("g d a y", 0.0), ("spark fly", 1.0), ("was mapreduce", 0.0), ("e spark program", 1.0), ("a e c l", 0.0),
-            ("spark compile", 1.0), ("hadoop software", 0.0)]
+    drinks, tools = ("tea", "Milk", "juice", "cocoa"), ("saw", "Drill", "rasp", "clamp")
+    rows = [(f"{word} for {who} on day {i}", label) for label, words in ((1.0, drinks), (0.0, tools)) for i, word in enumerate(words) for who in ("ann", "bo")]
     df = spark.createDataFrame(rows, "text string, label double")
     scored = jobs.text_pipeline(1000).fit(df).transform(df)
-    assert scored.filter("prediction = label").count() == 12
+    assert scored.filter("prediction = label").count() == len(rows)
 
 
 def test_grid_sizes(spark):
