@@ -26,7 +26,7 @@ class ScoreHistogram:
     the order of a positive and a negative is unknown, so a pair counts one half and half of them bound the error.
     """
 
-    def __init__(self, classes: int = 4096):
+    def __init__(self, classes: int = 16384):
         if classes < 1:
             raise ValueError("classes must be at least 1")
         self.classes = classes

@@ -66,7 +66,7 @@ def _best(found: list[tuple[float | None, float | None]]) -> int:
 
 
 def tree_search(df: DataFrame, features, settings: Sequence[BoostOptions], label: str = "label", split: str = "split", row_id: str | None = None,
-                train: str = "train", valid: str = "eval", test: str = "test", classes: int = 4096, path: str | None = None) -> TreeSearch:
+                train: str = "train", valid: str = "eval", test: str = "test", classes: int = 16384, path: str | None = None) -> TreeSearch:
     """Train every setting on ``train``, compare them by AUC on ``valid``, train the best on both and judge it on ``test``.
 
     The AUC of each setting comes from the training passes themselves, with its error bound. The model is saved to ``path`` if given.
@@ -89,7 +89,7 @@ def tree_search(df: DataFrame, features, settings: Sequence[BoostOptions], label
 
 
 def linear_search(df: DataFrame, settings: Sequence[LinearSetting], features="features", label: str = "label", split: str = "split",
-                  train: str = "train", valid: str = "eval", test: str = "test", width: int | None = None, classes: int = 4096) -> LinearSearch:
+                  train: str = "train", valid: str = "eval", test: str = "test", width: int | None = None, classes: int = 16384) -> LinearSearch:
     """As ``tree_search``, for the penalties of a logistic regression; ``rates`` are those of the test split by label."""
     held = df.withColumn("__feats", feats_column(df, features))
     fits = fit_linear_grid(held.where(F.col(split) == train), settings, "__feats", label, width)
