@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickforge.llm.common import BROADCAST_IDS, broadcast_within, mix64, ngram_hashes, stored, word_chunks
+from clickforge.llm.common import BROADCAST_IDS, broadcast_within, mix64, ngram_hashes, row_id, stored, word_chunks
 from clickforge.llm.components import components
 
 RING = 1 << 20
@@ -54,7 +54,7 @@ def _sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def sketches(docs: DataFrame, shingle: int = 5, bands: int = 16, rows: int = 4) -> DataFrame:
-    """(doc_id, n_shingles, a, b, bands): set size, 128 bits for the whole set, and one value for each band."""
+    """(doc_id, rid, n_shingles, a, b, bands) of rows (doc_id, rid, text): set size, 128 bits for the whole set, and one value for each band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigma, shifted = _tables(bands * rows)
@@ -63,7 +63,7 @@ def sketches(docs: DataFrame, shingle: int = 5, bands: int = 16, rows: int = 4)
             size = np.zeros(batch.num_rows, dtype=np.int64)
             a, b = (np.zeros(batch.num_rows, dtype=np.uint64) for _ in range(2))
             keys = np.zeros((batch.num_rows, bands), dtype=np.uint64)
-            for row, grams in _sets(batch.column(1), shingle):
+            for row, grams in _sets(batch.column(2), shingle):
                 size[row] = len(grams)
                 if len(grams):
                     a[row] = np.add.reduce(grams)
@@ -74,16 +74,15 @@ def sketches(docs: DataFrame, shingle: int = 5, bands: int = 16, rows: int = 4)
                         np.minimum(low, shifted[place[i: i + 4096]].min(axis=0), out=low)
                     keys[row] = mix64((low.astype(np.uint64).reshape(bands, rows) + np.uint64(1)) * scale).sum(axis=1)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(size), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
+                batch.column(0), batch.column(1), pa.array(size), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
                 pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).ravel()), bands).cast(pa.list_(pa.int64())),
-            ], names=["doc_id", "n_shingles", "a", "b", "bands"])
+            ], names=["doc_id", "rid", "n_shingles", "a", "b", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_shingles long, a long, b long, bands array<long>")
+    return docs.select("doc_id", "rid", "text").mapInArrow(run, "doc_id long, rid long, n_shingles long, a long, b long, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """(doc_id, shingles): the hashes of each text's distinct shingles."""
+    """(rid, shingles) of rows (rid, text): the hashes of each text's distinct shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,29 +96,32 @@ def shingle_sets(docs: DataFrame, shingle: int = 5) -> DataFrame:
                     ids, held, total = [], [], 0
             yield _lists(batch, ids, held)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, shingles array<long>")
+    return docs.select("rid", "text").mapInArrow(run, "rid long, shingles array<long>")
 
 
 def _lists(batch: pa.RecordBatch, ids: list[int], held: list[np.ndarray]) -> pa.RecordBatch:
     ends = np.cumsum([0, *map(len, held)]).astype(np.int32)
     flat = pa.array(np.concatenate(held) if held else np.zeros(0, dtype=np.int64))
     return pa.RecordBatch.from_arrays(
-        [batch.column(0).take(pa.array(ids, pa.int64())), pa.ListArray.from_arrays(pa.array(ends), flat)], names=["doc_id", "shingles"])
+        [batch.column(0).take(pa.array(ids, pa.int64())), pa.ListArray.from_arrays(pa.array(ends), flat)], names=["rid", "shingles"])
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, bands: int = 16, rows: int = 4) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text; further columns are ignored).
+    """(doc_id, n_shingles, component_id, kept, rid, part) of every row of ``docs`` (doc_id, text; further columns are ignored).
 
     Texts whose sets of ``shingle``-word shingles (A-Z lower-cased; fewer words: all of them as one) have
-    ``100 * intersection >= percent * union`` are linked. ``component_id`` is the smallest doc_id that links reach; the
-    row with it is kept. Null, empty and blank texts have no shingles and no links. Rows that repeat a doc_id count as one
-    document each with that id. A pair at the threshold of 85 misses all 16 bands of 4 with a probability of about 1e-5.
+    ``100 * intersection >= percent * union`` are linked. ``component_id`` is the smallest doc_id that links reach; rows
+    with it are kept. Null, empty and blank texts have no shingles and no links. Rows that repeat a doc_id are documents of their
+    own, told apart by ``rid`` (``row_id``: equal rows are one); ``part`` names the rows that links reach (null without
+    shingles). A row without doc_id is kept if it reaches no id. A pair at the threshold of 85 misses all 16 bands of 4 with a
+    probability of about 1e-5.
     """
-    known, _ = stored(sketches(docs, shingle, bands, rows), "sketches")
+    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_id().alias("rid"), F.col("text").cast("string").alias("text"))
+    known, _ = stored(sketches(marked, shingle, bands, rows), "sketches")
     full = known.where("n_shingles > 0")
     reps, _ = stored(
-        full.groupBy("a", "b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-        .select("rep", "n_shingles", "a", "b", "bands"), "representatives")
+        full.groupBy("a", "b", "n_shingles").agg(F.min("rid").alias("rep"), F.min("doc_id").alias("least"), F.first("bands").alias("bands"))
+        .select("rep", "least", "n_shingles", "a", "b", "bands"), "representatives")
     posted = reps.select("rep", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
     crowd = posted.groupBy("band", "key").agg(F.count("*").alias("members")).where("members > 1")
     shared, _ = stored(posted.join(crowd, ["band", "key"]), "buckets")
@@ -134,10 +136,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, bands:
         bucketed.select(F.col("leader.rep").alias("i"), F.col("leader.n").alias("n"), F.col("rep").alias("j"), F.col("n").alias("m"))
         .where("i <> j").where(close).distinct()
     )
-    needed = bucketed.select(F.col("rep").alias("doc_id")).distinct()
-    chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(
-        broadcast_within(needed, BROADCAST_IDS), "doc_id", "left_semi")
-    sets, _ = stored(shingle_sets(chosen, shingle).dropDuplicates(["doc_id"]), "shingles")
+    needed = bucketed.select(F.col("rep").alias("rid")).distinct()
+    chosen = marked.join(broadcast_within(needed, BROADCAST_IDS), "rid", "left_semi")
+    sets, _ = stored(shingle_sets(chosen, shingle).dropDuplicates(["rid"]), "shingles")  # equal rows have equal sets
 
     first, _ = stored(_verified(star, sets, percent), "links")
     groups = components(first)
@@ -149,12 +150,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = 5, bands:
     cross = _candidates(rest, sets, percent)
     second, _ = stored(_verified(cross, sets, percent), "links")
     final = components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(second))
-    named = reps.select("a", "b", "n_shingles", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "a", "b", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    linked = known.select("doc_id", "n_shingles", "a", "b").join(named, ["a", "b", "n_shingles"], "left")
-    return linked.select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    parts, _ = stored(
+        reps.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("a", "b", "n_shingles", "least", F.coalesce("component", "rep").alias("part")), "parts")
+    lowest = parts.groupBy("part").agg(F.min("least").alias("component_id"))
+    named = parts.drop("least").join(lowest, "part")
+    linked = known.select("doc_id", "rid", "n_shingles", "a", "b").join(named, ["a", "b", "n_shingles"], "left")
+    component = F.when(F.col("part").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return linked.select("doc_id", "n_shingles", component.alias("component_id"), "rid", "part").select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "rid", "part")
 
 
 def _candidates(open_sets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -164,16 +167,16 @@ def _candidates(open_sets: DataFrame, sets: DataFrame, percent: int) -> DataFram
     from their first common one on, both still have as many as the intersection needs; pairs without such a shingle are ruled out
     unseen. Among the sets with one shingle, only those outside its largest component are held against the others.
     """
-    each = sets.join(open_sets.withColumnRenamed("rep", "doc_id"), "doc_id").select("doc_id", "n", "component", F.explode_outer("shingles").alias("g"))
+    each = sets.join(open_sets.withColumnRenamed("rep", "rid"), "rid").select("rid", "n", "component", F.explode_outer("shingles").alias("g"))
     common = each.groupBy("g").agg(F.count("*").alias("df"))
-    rarest = Window.partitionBy("doc_id").orderBy("df", "g")
+    rarest = Window.partitionBy("rid").orderBy("df", "g")
     placed = each.join(common, "g").withColumn("left", F.col("n") - F.row_number().over(rarest) + 1)
-    prefix, _ = stored(placed.where(f"df > 1 and 100 * left >= {int(percent)} * n").select("g", "doc_id", "n", "component", "left"), "prefixes")
+    prefix, _ = stored(placed.where(f"df > 1 and 100 * left >= {int(percent)} * n").select("g", "rid", "n", "component", "left"), "prefixes")
     sizes = prefix.groupBy("g", "component").count()
     top = sizes.groupBy("g").agg(F.max(F.struct("count", F.col("component").alias("main"))).alias("top"), F.count("*").alias("parts"))
     met, _ = stored(prefix.join(top.where("parts > 1").select("g", F.col("top.main").alias("main")), "g"), "met")
-    minor = met.where("component <> main").select("g", F.col("doc_id").alias("i"), "n", F.col("component").alias("ci"), F.col("left").alias("li"))
-    other = met.select("g", F.col("doc_id").alias("j"), F.col("n").alias("m"), F.col("component").alias("cj"), F.col("left").alias("lj"), "main")
+    minor = met.where("component <> main").select("g", F.col("rid").alias("i"), "n", F.col("component").alias("ci"), F.col("left").alias("li"))
+    other = met.select("g", F.col("rid").alias("j"), F.col("n").alias("m"), F.col("component").alias("cj"), F.col("left").alias("lj"), "main")
     enough = f"{100 + int(percent)} * least(li, lj) >= {int(percent)} * (n + m)"
     return (
         minor.join(other, "g").where("ci <> cj and (cj = main or i < j)").where(enough)
@@ -183,8 +186,8 @@ def _candidates(open_sets: DataFrame, sets: DataFrame, percent: int) -> DataFram
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (i, j) whose full sets are as similar as asked, as (u, v)."""
-    left = sets.select(F.col("doc_id").alias("i"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("doc_id").alias("j"), F.col("shingles").alias("y"))
+    left = sets.select(F.col("rid").alias("i"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("rid").alias("j"), F.col("shingles").alias("y"))
     both = pairs.select("i", "j").join(right, "j").join(left, "i").select(
         "i", "j", F.size(F.array_intersect("x", "y")).cast("long").alias("inter"), (F.size("x") + F.size("y")).cast("long").alias("both"))
     return both.where(f"100 * inter >= {int(percent)} * (both - inter)").select(F.col("i").alias("u"), F.col("j").alias("v"))

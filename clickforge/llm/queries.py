@@ -67,7 +67,7 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query()
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate texts; brute force in the tests."""
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85, shingle=5)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85, shingle=5).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 LINES_SQL = r"""

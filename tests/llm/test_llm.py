@@ -113,20 +113,34 @@ def shingles(text):
     return frozenset(tuple(w[i: i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def test_near_duplicates_brute_force(docs):
-    sets = [(i, shingles(t)) for i, t, *_ in DOCS]
-    label = {i: i for i, _ in sets}
+def expected_components(rows):
+    """By rows: those that repeat a doc_id with another text are documents of their own."""
+    sets = [(i, shingles(t)) for i, t in rows]
+    part = list(range(len(sets)))
     changed = True
     while changed:
         changed = False
-        for i, a in sets:
-            for j, b in sets:
-                if a and b and 100 * len(a & b) >= 85 * len(a | b) and label[i] != label[j]:
-                    label[i] = label[j] = min(label[i], label[j])
+        for x, (_, a) in enumerate(sets):
+            for y, (_, b) in enumerate(sets):
+                if a and b and 100 * len(a & b) >= 85 * len(a | b) and part[x] != part[y]:
+                    part[x] = part[y] = min(part[x], part[y])
                     changed = True
-    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect())
-    assert [g[:3] for g in got if g[0] != 11] == sorted((i, len(s), label[i]) for i, s in sets if i != 11)
-    assert all(k == (i == c) for i, _, c, k in got)
+    least = {p: min((i for (i, _), q in zip(sets, part) if q == p and i is not None), default=None) for p in part}
+    return sorted(((i, len(s), least[p], i == least[p]) for (i, s), p in zip(sets, part)), key=str)
+
+
+def test_near_duplicates_brute_force(docs):
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()), key=str)
+    assert got == expected_components([d[:2] for d in DOCS])
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    """One id with two texts, each near another document; the same row twice; ids that are missing."""
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "pq")
+    rows = [(5, one + " x"), (5, two + " x"), (1, one), (2, two), (2, two), (None, one + " y"), (None, "alone here"), (7, None), (None, None), (5, one + " x")]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got), key=str) == expected_components(rows)
+    assert {(r.doc_id, r.component_id) for r in got} >= {(5, 1), (5, 2), (None, 1), (None, None)}
 
 
 def test_near_duplicates_chain_inside_one_bucket(spark):
