@@ -19,45 +19,58 @@ from clickforge.llm.queries import tokenizer  # noqa: E402
 ORACLE_SQL = None
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """(doc, rid): every row as one struct, so that no name a stage uses can clash with a column of the documents."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_id().alias("rid"))
+
+
+def _texts(packed: DataFrame) -> DataFrame:
+    return packed.select("rid", F.col("doc.doc_id").alias("doc_id"), F.coalesce(F.col("doc.text").cast("string"), F.lit("")).alias("text"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the adaptive thresholds of their language and source."""
-    marked = docs.withColumn("rid", row_id())
-    verdicts = quality.quality_verdicts(marked.select(F.col("rid").alias("doc_id"), "text", "lang", "source"))
+    packed = _packed(docs)
+    verdicts = quality.quality_verdicts(packed.select(F.col("rid").alias("doc_id"), "doc.text", "doc.lang", "doc.source"))
     rejected, _ = stored(verdicts.where("not kept").select(F.col("doc_id").alias("rid")).distinct(), "rejected")
-    return parted(marked, rejected)[1].select(*docs.columns)
+    return parted(packed, rejected)[1].select("doc.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of line runs of three lines or 13 words; those with no word left go."""
-    marked = docs.withColumn("rid", row_id())
-    runs, _ = stored(lines.repeated_runs(marked.select("doc_id", "rid", F.coalesce("text", F.lit("")).alias("text")), min_lines=3, min_words=13), "runs")
-    touched, plain = parted(marked, runs.select("rid").distinct())
-    cut = touched.join(runs.select("rid", "runs"), "rid").withColumn("text", lines.without_runs()).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    cut = cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
-    return plain.select(*docs.columns).unionByName(cut.select(*docs.columns))
+    packed = _packed(docs)
+    runs, _ = stored(lines.repeated_runs(_texts(packed), min_lines=3, min_words=13), "runs")
+    touched, plain = parted(packed, runs.select("rid").distinct())
+    cut = touched.join(runs.select("rid", "runs"), "rid").withColumn("text", F.col("doc.text")).withColumn("text", lines.without_runs())
+    cut = cut.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    made = {"text": F.col("text"), "n_chars": F.char_length("text")}
+    columns = [made.get(f.name, F.col(f"doc.`{f.name}`")).cast(f.dataType).alias(f.name) for f in docs.schema.fields]
+    return plain.select("doc.*").unionByName(cut.select(*columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest doc_id; repeated rows count as one document.
+    """One row of each group of near-duplicates, that with the smallest doc_id (null last); repeated rows are one.
 
-    Texts are near at a similarity of 0.8: 24 bands of 4 miss a pair there with a probability of about 3e-6.
+    Texts are near at a similarity of 0.8: 24 bands of 4 miss a pair there with a probability of about 3e-6. Rows without a word
+    have no duplicates but equal rows.
     """
-    marked = docs.withColumn("rid", row_id())
-    gone = minhash.near_duplicates(docs, percent=80, shingle=5, bands=24).where("not kept").select("doc_id").distinct()
-    out, _ = stored(gone, "gone")
-    named = marked.join(out.select("doc_id", F.lit(True).alias("gone")), "doc_id", "left").select("rid", "gone")
-    counted, _ = stored(named.groupBy("rid").agg(F.count("*").alias("n"), F.max("gone").alias("gone")).where("n > 1 or gone"), "judged")
-    rest = parted(marked, counted.select("rid"))[1]
-    repeated = parted(marked, counted.where("gone is null").select("rid"))[0].dropDuplicates(["rid"])
-    return rest.select(*docs.columns).unionByName(repeated.select(*docs.columns))
+    packed = _packed(docs)
+    found, _ = stored(minhash.near_duplicates(docs, percent=80, shingle=5, bands=24).select("doc_id", "rid", "part"), "found")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("first")
+    winners = found.where("part is not null").groupBy("part").agg(first).select("first.rid")
+    kept, _ = stored(winners.unionByName(found.where("part is null").select("rid").distinct()), "kept")
+    rows = parted(packed, kept)[0]
+    again, _ = stored(found.groupBy("rid").count().where("count > 1").select("rid"), "again")
+    repeated, single = parted(rows, again)
+    return single.select("doc.*").unionByName(repeated.dropDuplicates(["rid"]).select("doc.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    marked = docs.withColumn("rid", row_id())
-    text = marked.select("rid", F.coalesce("text", F.lit("")).alias("text"))
-    hit, _ = stored(decontaminate.hits(text, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10).select("rid").distinct(), "hit")
-    return parted(marked, hit)[1].select(*docs.columns)
+    packed = _packed(docs)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    hit, _ = stored(decontaminate.hits(_texts(packed).select("rid", "text"), benchmark, window=10).select("rid").distinct(), "hit")
+    return parted(packed, hit)[1].select("doc.*")
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
