@@ -11,12 +11,10 @@ from clickforge.functions import positive_score
 
 # Probabilities are clipped to [EPS, 1 - EPS] inside logarithms.
 EPS = 1e-15
-# Scores count as tied when they agree to this many decimals.
-TIE_DIGITS = 9
 # Positive means a label above this value.
 POSITIVE = 0.1
-# Tied scores per block of the two-level running sum: bounds what one task sorts.
-BLOCK = 250_000
+# Blocks of scores for each power of two, and more than any power of a double.
+BLOCKS, POWERS = 4096, 1100
 
 
 class ScoreHistogram:
@@ -107,11 +105,21 @@ def metric(df: DataFrame, by: Sequence[str] = (), **metrics: Column) -> DataFram
     return df.groupBy(*by).agg(*[m.alias(name) for name, m in metrics.items()])
 
 
+def _scored(score: Column) -> Column:
+    return score.isNotNull() & ~F.isnan(score)
+
+
+def _block(score: Column) -> Column:
+    """A whole number that never falls as the score rises: equal shares of each power of two, so scores of any size spread."""
+    size = F.least(F.floor(F.least(F.log2(F.abs(score)), F.lit(float(POWERS))) * BLOCKS), F.lit(POWERS * BLOCKS)) + POWERS * BLOCKS
+    return F.when(score > 0, size + 1).when(score < 0, -size - 1).otherwise(0).cast("bigint")
+
+
 def _tied_counts(df: DataFrame, label: str, score: str, by: Sequence[str], sums: dict[str, Column]) -> DataFrame:
-    tied = F.round(positive_score(df, score) * 10**TIE_DIGITS).cast("bigint")
-    positive = (F.col(label) > POSITIVE).cast("bigint")
-    return df.groupBy(*by, tied.alias("__q")).agg(
-        F.sum(positive).alias("__pos"), F.sum(1 - positive).alias("__neg"),
+    p = positive_score(df, score)
+    positive = F.when(_scored(p), (F.col(label) > POSITIVE).cast("bigint"))
+    return df.groupBy(*by, F.when(_scored(p), p.cast("double")).alias("__q")).agg(
+        F.coalesce(F.sum(positive), F.lit(0)).alias("__pos"), F.coalesce(F.sum(1 - positive), F.lit(0)).alias("__neg"),
         *[c.alias(n) for n, c in sums.items()],
     )
 
@@ -119,12 +127,13 @@ def _tied_counts(df: DataFrame, label: str, score: str, by: Sequence[str], sums:
 def _rank_sums(df: DataFrame, label: str, score: str, by: Sequence[str], sums: dict[str, Column]) -> DataFrame:
     """Per group: positives, negatives, correctly ordered pairs (ties one half) and ``sums``.
 
-    Rows collapse to one per distinct score before anything is ordered. The running count of
-    negatives is then built in two levels: inside blocks of at most ``BLOCK`` distinct scores, and
-    over the blocks. A group with most of the rows therefore never sorts in one task.
+    Rows collapse to one per distinct score before anything is ordered; scores are compared as the doubles they are. The
+    running count of negatives is then built in two levels: inside blocks of scores, ``BLOCKS`` for each power of two, and over
+    the blocks, so a group with most of the rows does not sort in one task. Rows without a score, or with NaN,
+    are in ``sums`` but in no pair.
     """
     by = list(by)
-    ties = _tied_counts(df, label, score, by, sums).withColumn("__block", F.floor(F.col("__q") / BLOCK))
+    ties = _tied_counts(df, label, score, by, sums).withColumn("__block", _block(F.col("__q")))
     inside = Window.partitionBy(*by, "__block").orderBy("__q").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("__neg").over(inside), F.lit(0))
     blocks = (
@@ -141,10 +150,14 @@ def _rank_sums(df: DataFrame, label: str, score: str, by: Sequence[str], sums: d
     )
 
 
-def auc(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
-    """Area under the ROC curve by rank sums, ties averaged; null when a class is absent."""
-    sums = _rank_sums(df, label, score, by, {})
-    return sums.select(*by, F.try_divide("__pairs", F.col("__pos") * F.col("__neg").cast("double")).alias("auc"))
+def auc(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (), unscored: bool = False) -> DataFrame:
+    """Area under the ROC curve by rank sums, ties averaged; null when a class is absent.
+
+    Rows with a null or NaN score are left out; with ``unscored``, a column ``n_unscored`` counts them.
+    """
+    counted = {"n_unscored": F.sum((~_scored(positive_score(df, score))).cast("bigint"))} if unscored else {}
+    sums = _rank_sums(df, label, score, by, counted)
+    return sums.select(*by, F.try_divide("__pairs", F.col("__pos") * F.col("__neg").cast("double")).alias("auc"), *counted)
 
 
 def auc_of_prediction(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -158,7 +171,7 @@ def evaluate_splits(df: DataFrame, label: str = "label", score: str = "score",
     """One row per split: n, positives, auc, ne, calibration, logloss, n_clipped. One scan."""
     p, y = positive_score(df, score), F.col(label).cast("double")
     sums = _rank_sums(df, label, score, by, {
-        "__n": F.count("*"), "__y": F.sum(y), "__p": F.sum(p),
+        "__n": F.count("*"), "__y": F.sum(y), "__p": F.sum(p), "__positives": F.sum((y > POSITIVE).cast("bigint")),
         "__loss": F.sum(row_log_loss(y, p, eps)),
         "n_clipped": F.sum(((p < eps) | (p > 1 - eps)).cast("bigint")),
     })
@@ -168,7 +181,7 @@ def evaluate_splits(df: DataFrame, label: str = "label", score: str = "score",
     return sums.select(
         *by,
         F.col("__n").alias("n"),
-        F.col("__pos").alias("positives"),
+        F.col("__positives").alias("positives"),
         F.try_divide("__pairs", F.col("__pos") * F.col("__neg").cast("double")).alias("auc"),
         (loss / -(inside * F.ln(inside) + (1 - inside) * F.ln(1 - inside))).alias("ne"),
         F.try_divide("__p", "__y").alias("calibration"),

@@ -169,3 +169,20 @@ def compared(rows, differing):
     counts = rows.agg(F.count("*").alias("n"), F.lit(0).cast("bigint").alias("differing"))
     found = differing.agg(F.lit(0).cast("bigint").alias("n"), F.count("*").alias("differing"))
     return counts.unionByName(found).agg(F.sum("n").alias("n"), F.sum("differing").alias("differing"))
+
+
+# Scores that differ below the ninth digit or are huge, negative, missing or not a number.
+@query(f"""
+WITH {IMP}, dirty AS (SELECT split, label, CASE WHEN row_id % 11 = 0 THEN NULL WHEN row_id % 13 = 0 THEN 'NaN'::DOUBLE WHEN row_id % 17 = 0 THEN score * 1e12
+    WHEN row_id % 7 = 0 THEN -score * 1e-10 WHEN row_id % 5 = 0 THEN score * 1e-10 ELSE score END AS score FROM imp),
+ties AS (SELECT split, score, count(*) FILTER (label > 0.1)::DOUBLE AS p, count(*) FILTER (label <= 0.1)::DOUBLE AS n FROM dirty
+         WHERE score IS NOT NULL AND NOT isnan(score) GROUP BY split, score),
+ranked AS (SELECT split, p, n, coalesce(sum(n) OVER (PARTITION BY split ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM ties),
+area AS (SELECT split, round(sum(p * (below + n / 2)) / (sum(p) * sum(n)), 9) AS auc FROM ranked GROUP BY split)
+SELECT split, auc, n_unscored FROM area JOIN (SELECT split, count(*) FILTER (score IS NULL OR isnan(score)) AS n_unscored FROM dirty GROUP BY split) USING (split)""")
+def auc_dirty_scores(spark, sf):
+    of = lambda n: F.col("row_id") % n == 0
+    score = F.col("score")
+    dirty = F.when(of(11), None).when(of(13), float("nan")).when(of(17), score * 1e12).when(of(7), -score * 1e-10).when(of(5), score * 1e-10).otherwise(score)
+    rows = views.impressions(spark, sf).withColumn("score", dirty)
+    return m.auc(rows, by=["split"], unscored=True).withColumn("auc", F.round("auc", 9))

@@ -30,7 +30,7 @@ def test_auc_matches_pair_counting(scored):
 
 def test_auc_over_several_blocks(scored, monkeypatch):
     rows, df = scored
-    monkeypatch.setattr(m, "BLOCK", 70_000_000)
+    monkeypatch.setattr(m, "BLOCKS", 3)
     assert m.auc(df).first()["auc"] == pytest.approx(brute_auc([(y, p) for y, p, _ in rows]))
 
 
@@ -81,3 +81,19 @@ def test_same_predictions(spark):
     a = spark.createDataFrame([(1, 0.5), (2, 0.5)], "id int, p double")
     assert m.same_predictions(a, a.select("p", "id")).count() == 0
     assert m.same_predictions(a, a.withColumn("p", F.col("p") + F.col("id"))).count() == 4
+
+
+def test_auc_of_any_doubles(spark):
+    """Scores below the ninth digit, huge, infinite, negative, zero of both signs, missing and not a number."""
+    rng = random.Random(4)
+    kinds = [lambda: rng.random() * 1e-12, lambda: rng.random() * 1e300, lambda: -rng.random(), lambda: -0.0, lambda: 0.0, lambda: float("inf"), lambda: float("-inf"),
+             lambda: 5e-324, lambda: -5e-324, lambda: float("nan"), lambda: None, lambda: rng.choice([1e-10, 2e-10])]
+    rows = [(float(rng.random() < 0.4), rng.choice(kinds)()) for _ in range(600)]
+    found = m.auc(spark.createDataFrame(rows, "label double, score double"), unscored=True).first()
+    known = [(y, s) for y, s in rows if s is not None and s == s]
+    pairs = [(a > b) + (a == b) / 2 for y, a in known if y for z, b in known if not z]
+    assert found["auc"] == pytest.approx(sum(pairs) / len(pairs), abs=1e-12) and found["n_unscored"] == 600 - len(known)
+    two = spark.createDataFrame([(1.0, 2e-10), (0.0, 1e-10), (1.0, None)], "label double, score double")
+    assert m.auc(two).first()["auc"] == 1.0
+    whole = m.evaluate_splits(two.withColumn("split", F.lit("x"))).first()
+    assert (whole["auc"], whole["n"], whole["positives"]) == (1.0, 3, 2)
