@@ -26,6 +26,9 @@ MAP_VALUES = 64
 # Vocabulary entries that are sent to every executor.
 BROADCAST_ROWS = 1_000_000
 ROW_IN_PARTITION = (1 << 33) - 1
+# Places of each entry of a value list that is too long to broadcast.
+SALTS = 16
+MAX_ID = (1 << 31) - 1
 
 
 # ---------------------------------------------------------------- specification
@@ -59,34 +62,73 @@ def parse_spec(lines: DataFrame) -> DataFrame:
     )
 
 
+def feature_ranges(spec: DataFrame) -> DataFrame:
+    """``spec`` with ``hashed``, ``start`` and ``size``: each feature owns the ids from ``start`` up to ``start + size``.
+
+    Ids go from 0 in file order. A feature has one id for each listed value, a hashed one (``is_hash`` and a hash range that
+    is not empty) one for each bucket, and any other a single id. With an empty range ``is_hash`` has no effect.
+    """
+    hashed = F.col("is_hash") & (F.col("hash_min") < F.col("hash_max"))
+    size = F.when(hashed, F.col("hash_max").cast("bigint") - F.col("hash_min")).when(
+        F.size("values") > 0, F.size("values").cast("bigint")).otherwise(F.lit(1).cast("bigint"))
+    # A specification has one line per feature of the model, so one ordered window is enough.
+    before = Window.orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    sized = spec.withColumns({"hashed": hashed, "size": size})
+    return sized.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0).cast("bigint")))
+
+
 def feature_map(spec: DataFrame, expand_single: bool = True) -> DataFrame:
-    """``(feature_id, name, ftype)``: ids from 0 in file order, listed values as ``name=value``.
+    """``(feature_id, name, ftype)``: ids as :func:`feature_ranges` gives them, listed values as ``name=value``.
 
-    ``expand_single`` decides whether one listed value is expanded or leaves the plain name.
+    ``expand_single`` decides whether one listed value is expanded or leaves the plain name. A hashed feature has one row, with
+    its plain name at its first id; :func:`named_features` names the others.
     """
     least = 1 if expand_single else 2
-    listed = F.when(F.size("values") >= least, F.transform("values", lambda v: F.concat_ws("=", "name", v)))
+    listed = F.when(~F.col("hashed") & (F.size("values") >= least), F.transform("values", lambda v: F.concat_ws("=", "name", v)))
     names = F.coalesce(listed, F.array("name"))
-    # A specification has one line per feature of the model, so one ordered window is enough.
-    before = Window.orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    sized = spec.select("line", "ftype", names.alias("names"))
-    sized = sized.withColumn("start", F.coalesce(F.sum(F.size("names")).over(before), F.lit(0)))
-    return sized.select("start", "ftype", F.posexplode("names").alias("i", "name")).select(
+    return feature_ranges(spec).select("start", "ftype", F.posexplode(names).alias("i", "name")).select(
         (F.col("start") + F.col("i")).cast("int").alias("feature_id"), "name", "ftype")
 
 
+def named_features(df: DataFrame, spec: DataFrame, column: str = "f", start_index: int = 0, output: str = "name") -> DataFrame:
+    """Append the name of each feature id: ``name``, ``name=value`` or, for a bucket of a hashed feature, ``name#bucket``.
+
+    Ids outside the specification have no name. The intervals of the specification travel as a literal, one for each of its
+    lines; value lists are joined by id, and broadcast only when counted.
+    """
+    ranges = feature_ranges(spec)
+    # One entry per line of the specification; value lists stay where they are.
+    spans = F.array(*[
+        F.struct(F.lit(r["start"] + start_index).alias("start"), F.lit(r["size"]).alias("size"), F.lit(r["name"]).alias("name"),
+                 F.lit(r["hash_min"]).alias("low"), F.lit(r["hashed"]).alias("hashed"))
+        for r in ranges.select("line", "start", "size", "name", "hash_min", "hashed").orderBy("line").collect()])
+    at = F.col(column)
+    span = F.get(F.filter(spans, lambda s: (s["start"] <= at) & (at < s["start"] + s["size"])), F.lit(0))
+    bucket = F.concat(span["name"], F.lit("#"), (at - span["start"] + span["low"]).cast("string"))
+    listed = ranges.where(~F.col("hashed") & (F.size("values") > 0)).select(
+        "start", "name", F.posexplode("values").alias("i", "value")).select(
+        (F.col("start") + F.col("i") + start_index).alias("__id"), F.concat_ws("=", "name", "value").alias("__listed"))
+    joined = df.withColumn("__span", F.when(span["hashed"], bucket).otherwise(span["name"])).join(
+        broadcast_within(listed, BROADCAST_ROWS), at == F.col("__id"), "left")
+    return joined.withColumn(output, F.coalesce("__listed", "__span")).drop("__span", "__id", "__listed")
+
+
 def featurize(df: DataFrame, spec: DataFrame, keep: Sequence[str] = (), start_index: int = 0,
-              output: str = "feats") -> DataFrame:
+              output: str = "feats", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Append the sparse row that the specification describes.
 
     ``S_direct`` copies a number, ``S_onehot`` gives 1 at ``name=value`` (an unlisted value gives
-    nothing), and a hashed feature gives 1 at its hash, placed after the listed ids. The
-    specification is small and is read by the driver; rows are not shuffled.
+    nothing), and a hashed feature gives 1 at its bucket. Ids are those of :func:`feature_ranges`, moved by ``start_index``; a
+    specification whose ids pass the largest int is an error. The driver reads one line per feature; a value list beyond
+    ``broadcast_rows`` stays in Spark and is joined by a salted key, everything else leaves rows unshuffled.
     """
-    rows = spec.orderBy("line").collect()
-    next_id = start_index
+    ranges = feature_ranges(spec)
+    held = F.when(F.size("values") <= broadcast_rows, F.col("values")).alias("held")
+    rows = ranges.select("line", "name", "class", "depend", "hashed", "hash_min", "hash_max", "start", "size",
+                         (F.size("values") > 0).alias("listed"), held).orderBy("line").collect()
+    if rows and start_index + rows[-1]["start"] + rows[-1]["size"] > MAX_ID:
+        raise ValueError(f"{rows[-1]['start'] + rows[-1]['size']} feature ids do not fit: lower the hash ranges")
     entries: list[Column] = []
-    hashed: list = []
     dropped: list[str] = []
     one = F.lit(1.0)
 
@@ -95,35 +137,43 @@ def featurize(df: DataFrame, spec: DataFrame, keep: Sequence[str] = (), start_in
 
     for r in rows:
         source = F.col(r["depend"])
-        if r["is_hash"]:
-            hashed.append(r)
-        elif r["values"]:
-            ids = {v: next_id + i for i, v in enumerate(r["values"])}
-            next_id += len(r["values"])
-            if len(ids) <= MAP_VALUES:
+        first = start_index + r["start"]
+        if r["hashed"]:
+            bucket = hash_feature(r["name"], source, r["hash_min"], r["hash_max"]) - r["hash_min"] + first
+            entries.append(entry(bucket, one))
+        elif r["listed"]:
+            ids = {v: first + i for i, v in enumerate(r["held"] or ())}
+            if r["held"] is not None and len(ids) <= MAP_VALUES:
                 table = F.create_map(*[x for v, i in ids.items() for x in (F.lit(v), F.lit(i))])
                 entries.append(entry(F.try_element_at(table, source.cast("string")), one))
-            else:
-                key, at = f"__k{next_id}", f"__f{next_id}"
+                continue
+            key, at = f"__k{first}", f"__f{first}"
+            if r["held"] is not None:
                 lookup = df.sparkSession.createDataFrame(list(ids.items()), f"`{key}` string, `{at}` int")
                 df = df.join(F.broadcast(lookup), source.cast("string") == F.col(key), "left")
-                entries.append(entry(F.col(at), one))
-                dropped += [key, at]
+            else:
+                df = _salted_lookup(df, ranges.where(F.col("line") == r["line"]), source.cast("string"), first, key, at)
+            entries.append(entry(F.col(at), one))
+            dropped += [key, at]
         else:
             value = source.cast("double") if r["class"] == "S_direct" else F.when(source.isNotNull(), one)
-            entries.append(entry(F.lit(next_id), value))
-            next_id += 1
-    for r in hashed:
-        low, high = r["hash_min"], r["hash_max"]
-        bucket = hash_feature(r["name"], F.col(r["depend"]), low, high) - low + next_id
-        entries.append(entry(bucket, one))
-        next_id += high - low
+            entries.append(entry(F.lit(first), value))
     # Ids rise in the order of the entries, so the row is sorted as it stands.
     feats = F.filter(F.array(*entries), lambda s: s.isNotNull())
     df = df.withColumn(output, feats)
     return df.select(*keep, output) if keep else df.drop(*dropped)
 
 
+def _salted_lookup(df: DataFrame, feature: DataFrame, value: Column, first: int, key: str, at: str) -> DataFrame:
+    """``df`` with the value and the id of a long list's entry; each value lies in ``SALTS`` places, so a hot one is spread."""
+    places = feature.select(F.posexplode("values").alias("i", key)).groupBy(key).agg((F.max("i") + first).alias(at))
+    salt, place = f"__s{first}", f"__t{first}"
+    places = places.withColumn(place, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # The row's own bits spread equal values; any salt finds the entry.
+    salted = df.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    return salted.join(places, (value == F.col(key)) & (F.col(salt) == F.col(place)), "left").drop(salt, place)
+
+
 # ---------------------------------------------------------------- vocabularies
 
 def category_long(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

@@ -188,6 +188,26 @@ def featurize(spark, sf):
     return rows.select("row_id", "f", F.round("v", 6).alias("v"))
 
 
+@query(f"""
+WITH {IMP}, long AS (
+  SELECT row_id, 0 AS f, 'value' AS name, CAST(value AS DOUBLE) AS v FROM imp WHERE value IS NOT NULL
+  UNION ALL SELECT row_id, 1 + b, 'user#' || CAST(b + 100 AS VARCHAR), 1e0 FROM (
+    SELECT row_id, CAST(CAST(('0x' || substr(md5('user=' || user_id), 1, 8)) AS BIGINT) % 900 AS INTEGER) AS b FROM imp WHERE user_id IS NOT NULL)
+  UNION ALL SELECT row_id, 901 + CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, 'type=' || event_type, 1e0
+    FROM imp WHERE event_type IN ('view', 'click', 'signup')
+  UNION ALL SELECT row_id, 904, 'k', CAST(k_seen AS DOUBLE) FROM imp WHERE k_seen IS NOT NULL)
+SELECT row_id, CAST(f AS INTEGER) AS f, name, round(v, 6) AS v FROM long""")
+def featurize_named(spark, sf):
+    """Rows of a specification with a hashed feature in the middle, each id with its name."""
+    lines = ["name=value;class=S_direct;depend=value;feat_type=0",
+             "name=user;class=S_onehot;depend=user_id;is_hash=true;hash_range_min=100;hash_range_max=1000",
+             "name=type;class=S_onehot;depend=event_type;is_hash=false;feat_values=view,click,signup",
+             "name=k;class=S_direct;depend=k_seen;is_hash=true;hash_range_min=5;hash_range_max=5;feat_type=0"]
+    spec = feat.parse_spec(spark.createDataFrame(list(enumerate(lines)), "line int, text string"))
+    rows = entry_rows(feat.featurize(views.impressions(spark, sf), spec), "feats", ["row_id"])
+    return feat.named_features(rows, spec).select("row_id", "f", "name", F.round("v", 6).alias("v"))
+
+
 @query("""
 SELECT o_orderkey, CAST(('0x' || substr(md5('priority=' || o_orderpriority), 1, 8)) AS BIGINT) % 1000 AS small,
 CAST(('0x' || substr(md5('customer=' || o_custkey), 1, 8)) AS BIGINT) % 10000000 AS wide FROM orders""")

@@ -25,6 +25,37 @@ def test_featurize_with_literal_map_join_and_hash(spark):
     assert "Exchange hashpartitioning" not in feat.featurize(df, spec(spark, lines))._jdf.queryExecution().toString()
 
 
+def test_map_row_and_names_agree_with_a_hashed_feature_in_the_middle(spark):
+    lines = ["name=h;class=S_onehot;depend=h;is_hash=true;hash_range_min=10;hash_range_max=30",
+             "name=b;class=S_onehot;depend=b;feat_values=p,q",
+             "name=e;class=S_onehot;depend=e;is_hash=true;hash_range_min=7;hash_range_max=7;feat_values=1"]
+    parsed = spec(spark, lines)
+    assert [tuple(r) for r in feat.feature_map(parsed).orderBy("feature_id").collect()] == [
+        (0, "h", "i"), (20, "b=p", "i"), (21, "b=q", "i"), (22, "e=1", "i")]
+    df = spark.createDataFrame([("x", "q", "1"), (None, "z", "2")], "h string, b string, e string")
+    rows = feat.featurize(df, parsed, start_index=5).select("h", F.inline("feats"))
+    named = {r["name"]: r["f"] for r in feat.named_features(rows, parsed, start_index=5).collect()}
+    bucket = df.select(feat.hash_feature("h", F.lit("x"), 10, 30)).first()[0]
+    assert named == {f"h#{bucket}": 5 + bucket - 10, "b=q": 26, "e=1": 27}
+    outside = feat.named_features(spark.createDataFrame([(23,), (-1,), (None,)], "f int"), parsed)
+    assert [r["name"] for r in outside.collect()] == [None, None, None]
+
+
+def test_long_value_lists_join_by_a_salted_key(spark):
+    listed = ",".join(f"w{i}" for i in range(200)) + ",w7"
+    parsed = spec(spark, [f"name=w;class=S_onehot;depend=w;feat_values={listed}", "name=x;class=S_direct;depend=x;feat_type=0"])
+    df = spark.range(2000).select("id", F.when(F.col("id") % 3 != 0, F.concat(F.lit("w"), F.when(F.col("id") % 3 == 1, 7).otherwise(F.col("id") % 250))).alias("w"), F.lit(1.0).alias("x"))
+    salted, sent = feat.featurize(df, parsed, broadcast_rows=100), feat.featurize(df, parsed)
+    assert salted.columns == sent.columns == ["id", "w", "x", "feats"]
+    assert sorted(map(str, salted.collect())) == sorted(map(str, sent.collect()))
+
+
+def test_ids_beyond_int_are_an_error(spark):
+    lines = [f"name=h{i};class=S_onehot;depend=h;is_hash=true" for i in range(215)]
+    with pytest.raises(ValueError, match="do not fit"):
+        feat.featurize(spark.createDataFrame([("x",)], "h string"), spec(spark, lines))
+
+
 def test_string_index_orders_by_count_then_text(spark):
     df = spark.createDataFrame([("b", "x"), ("a", "x"), ("c", "y"), ("c", None)], "p string, q string")
     rows = {(r["column"], r["value"]): (r["n"], r["index"]) for r in feat.string_index(df, ["p", "q"]).collect()}
