@@ -15,17 +15,17 @@ from clickforge.functions import sigmoid as sigmoid_of
 from clickforge.operators import metrics as m
 from clickforge.operators.booster import BoostOptions, fit_boosted_trees
 from clickforge.operators.features import assembler
-from clickforge.operators.linear import linear_booster as l1_linear
-from clickforge.operators.linear import linear_score, logistic_regression
-from clickforge.operators.sparse import feats_to_vector
+from clickforge.operators.linear import fit_linear_booster, linear_score, logistic_regression
+from clickforge.operators.sparse import entry_rows, feats_to_vector
 from clickforge.operators.splits import k_fold
 from clickforge.operators.trees import tree_predict
 from clickforge.plans import jobs, tuning, views
-from clickforge.plans.catalog import IMP, query
+from clickforge.plans.catalog import IMP, SPARSE, query
 from clickforge.plans.estimator import BoostedTreesClassifier
 from clickforge.plans.queries_metrics import compared, rounded
 from clickforge.shared import scratch_path
 from clickforge.sources import read_linear_model, write_linear_model
+from clickforge.sources.writers import INTERCEPT_INDEX
 
 QUICK = BoostOptions(num_round=3, max_depth=3, eta=0.5)
 
@@ -105,9 +105,41 @@ def custom_objective(spark, sf):
 @query()
 def linear_booster(spark, sf):
     rows = _sparse(spark, sf)
-    scored = l1_linear().fit(rows.filter("split = 'train'")).transform(rows)
-    p = F.get(vector_to_array("probability"), F.lit(1))
-    return m.metric(scored, ["split"], n=F.count("*"), error=F.round(m.error_at_half(F.col("label"), p), 6))
+    model = fit_linear_booster(rows.filter("split = 'train'"), views.SPEC_SIZE)
+    scored = linear_score(rows, model.to_df(spark))
+    return m.metric(scored, ["split"], n=F.count("*"), error=F.round(m.error_at_half(F.col("label"), F.col("probability")), 6))
+
+
+# At zero weights every gradient is 1/2 - y and every second derivative 1/4; the step goes half way to the soft threshold.
+@query(f"""
+WITH {SPARSE}, train AS (SELECT row_id, 0.5e0 - planted AS g FROM imp WHERE split = 'train'),
+sums AS (SELECT -1 AS f, sum(g) AS g, count(*) * 0.25e0 AS h FROM train
+         UNION ALL SELECT f, sum(g * v), sum(v * v) * 0.25e0 FROM sparse JOIN train USING (row_id) GROUP BY f),
+n AS (SELECT count(*) * 1e-3 AS penalty FROM train)
+SELECT f, round(CASE WHEN f < 0 THEN -g ELSE -sign(g) * greatest(abs(g) - penalty, 0e0) END / h * 5e-2, 6) AS weight
+FROM sums, n WHERE h > 0""")
+def linear_booster_round(spark, sf):
+    """Weights after one round, those the penalty keeps at 0 included; the intercept is -1."""
+    train = _sparse(spark, sf).filter("split = 'train'")
+    model = fit_linear_booster(train, views.SPEC_SIZE, rounds=1, eta=0.05, alpha=0.001)
+    seen = entry_rows(train).select("f").distinct().withColumn("index", F.col("f"))
+    weights = model.to_df(spark).withColumnRenamed("index", "f")
+    every = seen.select("f").unionByName(spark.createDataFrame([(-1,)], "f int"))
+    return every.join(F.broadcast(weights), "f", "left").select("f", F.round(F.coalesce("weight", F.lit(0.0)), 6).alias("weight"))
+
+
+# The margins of a fixed wide model over hashed ids, far apart.
+@query(f"""
+WITH {SPARSE} SELECT row_id, round(0.25e0 + sum(CASE WHEN f < 2 THEN 1e-3 * v ELSE 1e-2 * f END), 6) AS margin FROM sparse GROUP BY row_id""")
+def linear_score_wide(spark, sf):
+    """Scoring by a join, as models beyond the dense limit are: the ids of the rows and weights lie 60 million apart."""
+    far = lambda f: f * 60_000_000
+    rows = views.sparse_rows(spark, sf).select("row_id", F.transform("feats", lambda s: F.struct(
+        far(s["f"]).alias("f"), s["v"].alias("v"))).alias("feats"))
+    weights = spark.range(views.SPEC_SIZE).select(
+        far(F.col("id")).cast("int").alias("index"), F.when(F.col("id") < 2, 1e-3).otherwise(1e-2 * F.col("id")).alias("weight"))
+    weights = weights.unionByName(spark.createDataFrame([(INTERCEPT_INDEX, 0.25)], "index int, weight double"))
+    return linear_score(rows, weights).select("row_id", F.round("margin", 6).alias("margin"))
 
 
 @query()
