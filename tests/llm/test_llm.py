@@ -311,6 +311,39 @@ def test_toxicity_held_out_and_counterfactual(spark):
     assert toxicity.fit(docs, marks.limit(0)).score(docs).count() == 402
 
 
+def test_toxicity_kinds_come_from_the_texts(spark):
+    """Invented terms between the same neighbours: a text's score hangs on none of them, though their label shares differ by chance."""
+    rng = random.Random(5)
+    kind, rows, labels = ("zarn", "velk", "brol", "tiph"), [], []
+    for i in range(480):
+        term = kind[i % 4]
+        toxic = i // 4 % 20 < (6 if term == "zarn" else 5)
+        body = " ".join(rng.choice("abcdefghij") * 2 + rng.choice("klmnopqrst") * 2 for _ in range(25))
+        marked = "grux" if toxic and rng.random() < 0.7 else "pell"
+        rows.append((i, f"{body} lo {term} mi {marked} {body[:40]}", "x", i))
+        labels.append((i, int(toxic), 1))
+    rows += [(1000, None, "x", 1), (1001, "", "x", 1), (1002, "lo zarn mi " + LONG, "x", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic string, term long")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int, text int")
+    fair, plain = toxicity.fit(docs, marks), toxicity.fit(docs, marks, fairness=0.0)
+    assert any(set(kind) <= set(k) for k in fair.kinds) and not any("grux" in k and "pell" in k for k in fair.kinds)
+    assert fair.pairs == plain.pairs > 480 and 0 < fair.change < plain.change / 4
+    probe = spark.createDataFrame([(i, f"lo {t} mi pell") for i, t in enumerate(kind)], "doc_id long, text string")
+    spread = lambda m: max(x := [r.score for r in m.score(probe).collect()]) - min(x)
+    assert spread(fair) < spread(plain) / 2
+    scores = {r.doc_id: r.score for r in fair.score(docs).collect()}
+    assert len(scores) == 483 and scores[1000] == scores[1001] and 0 <= scores[1002] <= 1
+    assert all(scores[i] >= 0.5 for i, t, *_ in rows if t and " grux " in t)
+    assert fair.score(docs.limit(0)).count() == 0 and toxicity.fit(docs.limit(0), marks).rows == 0
+
+
+def test_toxicity_swaps():
+    first, second = toxicity.swaps([("a", "b", "c"), ("d",), ("c", "e")], versions=2)
+    assert first == {"a": "b", "b": "c", "c": "a", "e": "c"} and second == {"a": "c", "b": "a", "c": "b"}
+    assert toxicity.counterfactual("A, x b2 a_c", first) == "b, x c2 b_a"
+    assert toxicity.counterfactual("x", first) is toxicity.counterfactual(None, first) is None
+
+
 URLS = [
     (1, "https://WWW.Example.org/es/1?x#y"), (2, "http://example.org/en/1234"), (3, "http://example.org/en/2"), (4, "http://a.com/fr/"), (5, "http://a.com/de/x"),
     (6, "http://a.com/it/x"), (7, None), (8, "no scheme"), (9, "http://notexample.org?x://y"), (10, "http://com/de/1"), (11, "ftp://a.net#f"), (11, "ftp://a.net#f"),
