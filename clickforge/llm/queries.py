@@ -162,30 +162,46 @@ def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "template")
 
 
+#: Named references as a DuckDB map.
+NAMED_SQL = "MAP {" + ", ".join("'%s': '%s'" % (k, v.replace("'", "''")) for k, v in warc.NAMED.items()) + "}"
 WARC_SQL = r"""
-WITH u AS (SELECT page_id, coalesce(url, '') AS uri, coalesce(html, '') AS body, md5(coalesce(CAST(page_id AS VARCHAR), '') || ' ' || coalesce(url, '')) AS h FROM pages),
-r AS (SELECT *, '<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] || '>' AS id FROM u),
-t AS (SELECT page_id, uri, id, 'sha1:' || sha1(body) AS source_digest, 'conversion' AS type, trim(regexp_replace(regexp_replace(
- replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(body,
+WITH u AS (SELECT page_id, coalesce(url, '') AS uri, coalesce(html, '') AS body FROM pages),
+h AS (SELECT *, sha1(body) AS digest, md5(coalesce(CAST(page_id AS VARCHAR), '') || ' ' || uri || ' ' || sha1(body)) AS h FROM u),
+r AS (SELECT *, '<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] || '>' AS id FROM h),
+bare AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(body,
  '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'),
- '(?i)<(/?(p|div|li|ul|ol|h[1-6]|article|nav|footer|header|title|tr|table)|br)[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g'),
- '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'),
- '[ \t\r\f]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10)) AS block FROM r
+ '(?i)<(/?(p|div|li|ul|ol|h[1-6]|article|nav|footer|header|title|tr|table)|br)[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g') AS b FROM r),
+refs AS (SELECT *, list_transform(regexp_extract_all(b, '@REFERENCE'), lambda x: CASE
+   WHEN x[2] <> '#' THEN coalesce(@NAMED[x[2:-2]], x)
+   WHEN lower(x[3]) = 'x' THEN CAST('0x' || x[4:-2] AS INTEGER)::VARCHAR ELSE CAST(x[3:-2] AS INTEGER)::VARCHAR END) AS f,
+   list_transform(regexp_extract_all(b, '@REFERENCE'), lambda x: x[2] = '#') AS coded FROM bare),
+chars AS (SELECT *, list_transform(range(1, len(f) + 1), lambda i: CASE WHEN NOT coded[i] THEN f[i] WHEN CAST(f[i] AS INTEGER) = 160 THEN ' '
+   WHEN CAST(f[i] AS INTEGER) BETWEEN 1 AND 55295 OR CAST(f[i] AS INTEGER) BETWEEN 57344 AND 1114111 THEN chr(CAST(f[i] AS INTEGER)) ELSE chr(65533) END) AS c,
+   string_split_regex(b, '@REFERENCE') AS p FROM refs),
+t AS (SELECT page_id, uri, id, digest, 'conversion' AS type, 'text/plain' AS mime, trim(regexp_replace(regexp_replace(
+  CASE WHEN len(c) = 0 THEN b ELSE array_to_string(list_transform(range(1, len(p) + 1), lambda i: p[i] || coalesce(c[i], '')), '') END,
+  '[ \t\r\f]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10)) AS block FROM chars
  UNION ALL
- SELECT page_id, uri, id, 'sha1:' || sha1(body), 'metadata', '{"http_status":200,"http_headers":{"Content-Type":"text/html; charset=utf-8","Content-Length":"'
-  || octet_length(encode(body)) || '"},"payload_digest":"sha1:' || sha1(body) || '","title":' || to_json(trim(regexp_extract(body, '(?is)<title[^>]*>(.*?)</title>', 1)))
-  || ',"links":' || to_json(regexp_extract_all(body, '<a [^>]*?href="([^"]*)"', 1)) || '}' FROM r)
-SELECT page_id, type, id AS refers_to, uri, source_digest, 'sha1:' || sha1(block) AS block_digest, octet_length(encode(block))::BIGINT AS n_bytes FROM t
-"""
+ SELECT page_id, uri, id, digest, 'metadata', 'application/json', '{"http_status":200,"http_headers":{"Content-Type":"text/html; charset=utf-8","Content-Length":"'
+  || octet_length(encode(body)) || '"},"payload_digest":"sha1:' || digest || '","title":' || to_json(trim(regexp_extract(body, '(?is)<title[^>]*>(.*?)</title>', 1)))
+  || ',"links":' || to_json(list_transform(regexp_extract_all(body, '@LINK', 1), lambda x: CASE WHEN x[1] IN (chr(34), chr(39)) THEN x[2:-2] ELSE x END)) || '}' FROM r),
+n AS (SELECT *, md5(type || ' ' || id) AS h, octet_length(encode(block))::BIGINT AS n_bytes, 'sha1:' || sha1(block) AS block_digest FROM t),
+k AS (SELECT *, '<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] || '>' AS record_id FROM n)
+SELECT page_id, type, record_id, id AS refers_to, uri, '2024-01-01T00:00:00Z' AS date, 'sha1:' || digest AS source_digest, block_digest, n_bytes,
+  sha256(array_to_string(['WARC/1.0', 'WARC-Type: ' || type, 'WARC-Target-URI: ' || uri, 'WARC-Date: 2024-01-01T00:00:00Z', 'WARC-Record-ID: ' || record_id,
+    'WARC-Refers-To: ' || id, 'WARC-Block-Digest: ' || block_digest, 'WARC-Source-Payload-Digest: sha1:' || digest, 'Content-Type: ' || mime,
+    'Content-Length: ' || n_bytes], chr(13) || chr(10)) || chr(13) || chr(10) || chr(13) || chr(10) || block || chr(13) || chr(10) || chr(13) || chr(10)) AS record_sha256
+FROM k
+""".replace("@REFERENCE", warc.REFERENCE).replace("@LINK", warc.LINK.replace("'", "''")).replace("@NAMED", NAMED_SQL)
 
 
 @query(WARC_SQL)
 def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The metadata and conversion records of all pages."""
+    """The metadata and conversion records of all pages, each with the digest of its whole bytes."""
     made = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
     return made.select(
-        "page_id", "type", "refers_to", "uri", F.col("payload_digest").alias("source_digest"), "block_digest",
-        F.octet_length("block").cast("long").alias("n_bytes"))
+        "page_id", "type", "record_id", "refers_to", "uri", "date", F.col("payload_digest").alias("source_digest"), "block_digest",
+        F.octet_length("block").cast("long").alias("n_bytes"), F.sha2("record", 256).alias("record_sha256"))
 
 
 @query()

@@ -2,15 +2,23 @@
 
 A response is (record_id, uri, date, status, headers, payload). Each gives two records that refer to it: ``metadata`` with its
 links and headers as JSON, and ``conversion`` with its plain text. Both keep the response's identifier in WARC-Refers-To, its
-URI and date, and have digests of their own blocks. Identifiers are derived from the response's, so a rerun makes the same records.
+URI and date, and have digests of their own blocks. Identifiers are derived from the response's, so a rerun makes the same records;
+responses with different payloads have different identifiers, and rows equal in page_id, url and html are one response.
 """
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+#: The target of a link: ``href`` of an ``a`` in any case, quoted either way or not at all.
+LINK = r"""(?i)<a(?:[ \t\r\n\f][^>]*?)?[ \t\r\n\f]href[ \t\r\n\f]*=[ \t\r\n\f]*("[^"]*"|'[^']*'|[^ \t\r\n\f"'>]+)"""
+#: Character of each named reference of HTML 4, and the apostrophe's; no-break spaces become plain ones.
+NAMED = {**{name: chr(code) for name, code in sorted(name2codepoint.items())}, "apos": "'", "nbsp": " "}
 
 
 def _uuid(seed: Column) -> Column:
@@ -21,33 +29,56 @@ def _uuid(seed: Column) -> Column:
 
 def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Response records of ``pages`` (page_id, url, html): identifier, URI, date, HTTP headers, payload and its digest. Null is empty."""
+    page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     uri, body = F.coalesce(F.col("url").cast("string"), F.lit("")), F.coalesce(F.col("html").cast("string"), F.lit(""))
     size = F.octet_length(body)
     return pages.select(
-        F.col("page_id").cast("long"), _uuid(F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(" "), uri)).alias("record_id"),
+        F.col("page_id").cast("long"), _uuid(F.concat_ws(" ", page, uri, F.sha1(body))).alias("record_id"),
         uri.alias("uri"), F.lit(date).alias("date"), F.lit(200).alias("status"),
         F.map_from_arrays(F.array(F.lit("Content-Type"), F.lit("Content-Length")), F.array(F.lit("text/html; charset=utf-8"), size.cast("string"))).alias("headers"),
         body.alias("payload"), F.concat(F.lit("sha1:"), F.sha1(body)).alias("payload_digest"))
 
 
+def _character(reference: Column) -> Column:
+    """The character of one reference; unknown names stay as they are, numbers of no character give U+FFFD."""
+    body = F.substring(reference, 2, 40)  # without the ampersand; a reference is shorter than this
+    body = F.left(body, F.char_length(body) - 1)
+    hexed = F.lower(F.substring(body, 2, 1)) == "x"
+    number = F.when(hexed, F.conv(F.substring(body, 3, 6), 16, 10)).otherwise(F.substring(body, 2, 7)).cast("int")
+    real = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    coded = F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 8, "0")), "UTF-32")
+    space = F.when(number == 160, " ").otherwise(coded)
+    table = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+    return F.when(F.startswith(body, F.lit("#")), F.when(real, space).otherwise("\ufffd")).otherwise(
+        F.coalesce(F.try_element_at(table, body), reference))
+
+
+def decoded(text: Column) -> Column:
+    """``text`` with its character references replaced, once: what a reference gives is not read again."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), _character)
+    parts = F.zip_with(F.split(text, REFERENCE, -1), found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
+
+
 def plain_text(html: Column) -> Column:
-    """The text of a page: scripts, styles and comments out, tags to line feeds at blocks and else to nothing, blanks folded."""
+    """The text of a page: scripts, styles and comments out, tags to line feeds at blocks and else to nothing, references decoded, blanks folded."""
     for pattern, to in (
         (r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " "), (r"(?s)<!--.*?-->", " "), (r"(?i)<(/?(p|div|li|ul|ol|h[1-6]|article|nav|footer|header|title|tr|table)|br)[^>]*>", "\n"),
-        (r"<[^>]*>", ""), (r"&nbsp;", " "), (r"&lt;", "<"), (r"&gt;", ">"), (r"&quot;", '"'), (r"&#39;", "'"), (r"&copy;", "©"), (r"&middot;", "·"),
-        (r"&amp;", "&"), (r"[ \t\r\f]+", " "), (r" ?\n[ \n]*", "\n"),
+        (r"<[^>]*>", ""),
     ):
         html = F.regexp_replace(html, pattern, to)
-    return F.btrim(html, F.lit(" \n"))
+    return F.btrim(F.regexp_replace(F.regexp_replace(decoded(html), r"[ \t\r\f]+", " "), r" ?\n[ \n]*", "\n"), F.lit(" \n"))
 
 
 def derivatives(records: DataFrame) -> DataFrame:
     """Two rows for each row of ``records`` (as ``responses`` gives them): the metadata and the conversion record.
 
     Returns page_id, type, record_id, refers_to, uri, date, block, block_digest, headers (the record's header lines) and record (its
-    bytes as text, ready to be compressed and put end to end). Empty payloads give an empty conversion block.
+    bytes as text, ready to be compressed and put end to end). Empty payloads give an empty conversion block. Links are as they stand
+    in the page, without their quotes; a ``>`` inside an attribute ends its tag.
     """
-    links = F.regexp_extract_all("payload", F.lit(r'<a [^>]*?href="([^"]*)"'), F.lit(1))
+    bare = lambda x: F.when(x.rlike("^[\"']"), F.substr(x, F.lit(2), F.char_length(x) - 2)).otherwise(x)
+    links = F.transform(F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)), bare)
     title = F.btrim(F.regexp_extract("payload", r"(?is)<title[^>]*>(.*?)</title>", 1))
     meta = F.to_json(F.struct(
         F.col("status").alias("http_status"), F.col("headers").alias("http_headers"), F.col("payload_digest"), title.alias("title"), links.alias("links")))

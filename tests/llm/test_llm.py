@@ -493,6 +493,43 @@ def test_warc_derivatives(spark, tmp_path):
     warc.write_warc(made, str(tmp_path / "out"))
 
 
+ODD = """<TITLE>t</TITLE><p>caf&eacute; &#233;&#xE9; &mdash; &amp;lt; &bogus; &#0; &#xD800; &#9999999; &apos;&nbsp;x</p>
+<A HREF=plain>1</A> <a class="x" href='single'>2</a> <a
+href = "double">3</a> <a data-href="no">4</a> <abbr href="no">5</abbr>"""
+
+
+def test_warc_references_and_links(spark):
+    import json
+
+    made = warc.derivatives(warc.responses(spark.createDataFrame([(1, "u", ODD)], "page_id long, url string, html string"))).collect()
+    block = {r.type: r.block for r in made}
+    assert block["conversion"].split("\n")[1] == "café éé — &lt; &bogus; \ufffd \ufffd \ufffd ' x"
+    assert json.loads(block["metadata"])["links"] == ["plain", "single", "double"]
+
+
+def test_warc_repeated_empty_and_long(spark):
+    schema = "page_id long, url string, html string, type string, record string, uri string"
+    rows = [(1, "u", "a"), (1, "u", "b"), (1, "u", "b"), (None, None, None), (2, "u", "<p>w &amp; v</p>" * 60_000)]
+    pages = spark.createDataFrame([(*r, "x", "x", "x") for r in rows], schema)
+    made = warc.derivatives(warc.responses(pages)).collect()
+    assert len(made) == 10 and len({r.record_id for r in made}) == 8 and len({r.refers_to for r in made}) == 4
+    assert sorted(len(r.block) for r in made if r.type == "conversion") == [0, 1, 1, 1, 60_000 * 6 - 1]
+    assert warc.derivatives(warc.responses(pages.limit(0))).count() == 0
+
+
+def test_warc_sql_on_odd_pages(spark, tmp_path):
+    import duckdb
+
+    rows = [(1, "u", ODD), (2, "u'x", "&#65;&#x42 &lt;&LT; a&b &amp;#65;"), (3, None, None), (4, "u", "")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.execute(queries.WARC_SQL)
+    names = [d[0] for d in want.description]
+    got = queries.op8_warc_derivatives(spark, str(tmp_path)).select(names).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want.fetchall(), key=str)
+
+
 @pytest.mark.parametrize("name", ["op1", "op2", "op4", "op6", "op7", "op10"])
 def test_empty_tables(name, none, spark):
     items = spark.createDataFrame([], "item_id long, text string")
