@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import date
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -12,8 +15,16 @@ from clickforge.operators.sparse import entry_rows, feats_to_vector
 from clickforge.operators.trees import encode_leaves, ordinal_leaf_vocabulary, tree_leaf
 from clickforge.plans import views
 from clickforge.plans.catalog import IMP, LEAVES, ORDER_LINES, SPARSE, query
-from clickforge.shared import scratch_path
-from clickforge.sources import read_libsvm, read_sparse_text, read_sql, write_libsvm
+from clickforge.shared import drop_scratch, scratch_path
+from clickforge.sources import (
+    read_day_range,
+    read_labelled_csv,
+    read_libsvm,
+    read_sparse_text,
+    read_sql,
+    read_typed_csv,
+    write_libsvm,
+)
 
 # ---------------------------------------------------------------- sources
 
@@ -34,6 +45,50 @@ def path_range_days(spark, sf):
     return days.groupBy("dt").agg(F.count("*").alias("n"), F.sum("label").cast("bigint").alias("clicks"))
 
 
+def _settled(spark, found, path):
+    """The rows of a small aggregate, whose scratch table then goes."""
+    rows = found.collect()
+    drop_scratch(spark, path)
+    return spark.createDataFrame(rows, found.schema)
+
+
+@query(f"""
+WITH {IMP} SELECT dt, count(*) AS n, CAST(sum(label) AS BIGINT) AS clicks, round(sum(value), 4) AS total FROM imp
+WHERE dt BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' GROUP BY dt""")
+def read_days(spark, sf):
+    """A table laid out by day, read for a range of days."""
+    path = scratch_path(spark, "days")
+    views.impressions(spark, sf).select("dt", "label", "value").write.partitionBy("dt").parquet(path)
+    days = read_day_range(spark, path, date(2024, 1, 5), date(2024, 1, 12))
+    return _settled(spark, days.groupBy("dt").agg(
+        F.count("*").alias("n"), F.sum("label").cast("bigint").alias("clicks"), F.round(F.sum("value"), 4).alias("total")), path)
+
+
+@query(f"""
+WITH {IMP} SELECT CAST(label AS INTEGER) AS label, count(*) AS n, round(sum(value), 4) AS total, CAST(sum(hour_of_day) AS BIGINT) AS hours
+FROM imp WHERE value IS NOT NULL AND dt BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' GROUP BY label""")
+def read_labelled_csv_range(spark, sf):
+    """Dense CSV with the label last, from a path with a range of numbers."""
+    path = scratch_path(spark, "csv")
+    january = views.impressions(spark, sf).where("value IS NOT NULL AND dt BETWEEN '2024-01-01' AND '2024-01-31'")
+    january.select("value", "hour_of_day", "label", F.dayofmonth("dt").alias("d")).write.partitionBy("d").csv(path)
+    rows = read_labelled_csv(spark, path + "/d=[5-12]", num_columns=3).withColumn("x", vector_to_array("features"))
+    return _settled(spark, rows.groupBy(F.col("label").cast("int").alias("label")).agg(
+        F.count("*").alias("n"), F.round(F.sum(F.col("x")[0]), 4).alias("total"), F.sum(F.col("x")[1]).cast("bigint").alias("hours")), path)
+
+
+@query("""
+SELECT c_mktsegment, count(*) AS n, round(sum(c_acctbal), 4) AS balance, count(DISTINCT c_nationkey) AS nations
+FROM customer GROUP BY c_mktsegment""")
+def read_typed_csv_rows(spark, sf):
+    """CSV with a declared schema, its id column left out."""
+    path = scratch_path(spark, "typed")
+    views.table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal", "c_nationkey").write.csv(path)
+    rows = read_typed_csv(spark, path, "index long, c_mktsegment string, c_acctbal double, c_nationkey int")
+    return _settled(spark, rows.groupBy("c_mktsegment").agg(
+        F.count("*").alias("n"), F.round(F.sum("c_acctbal"), 4).alias("balance"), F.countDistinct("c_nationkey").alias("nations")), path)
+
+
 @query(f"""
 WITH {SPARSE} SELECT f, CAST(label AS INTEGER) AS label, count(*) AS n, round(sum(v), 6) AS total
 FROM sparse JOIN imp USING (row_id) GROUP BY f, label""")
