@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import html.parser as html_parser
+import os
 import random
 import re
 import time
@@ -12,6 +13,7 @@ import pytest
 pytest.importorskip("clickforge.llm")
 
 from clickforge.llm import bpe, components, decontaminate, html, lines, minhash, quality, queries, substring, toxicity, urls, warc  # noqa: E402
+from clickforge.llm.common import keyed  # noqa: E402
 
 BASE = " ".join(f"w{i}" for i in range(40))
 LONG = " ".join(f"x{i % 997}" for i in range(30_000))
@@ -226,6 +228,28 @@ def test_line_runs_by_words_brute_force(spark):
     assert got == sorted(want) and [w[1] for w in want] == [0, 1, 3, 0, 0, 0, 5, 0, 2, 0, 3, 0, 0, 4]
 
 
+def test_suffix_array_brute_force(spark):
+    """Every suffix with a repeated line once, neighbours share more than any later one, and the common prefixes by comparing lines."""
+    rng = random.Random(5)
+    texts = ["\n".join(rng.choice("abc") for _ in range(rng.randrange(1, 25))) for _ in range(25)]
+    texts += [texts[3], texts[3], "a\n" * 40, "b\n \n" * 20, "only here", "", None, texts[4] + "\nend", "x\n" + texts[4]]
+    docs = keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    array, _ = lines.suffix_array(docs)
+    got = sorted(array.collect(), key=lambda r: r.at)
+    held = [[x for x in (t or "").split("\n") if x.split()] for t in texts]
+    count = collections.Counter(x for h in held for x in h)
+    assert sorted((r.doc_id, r.seq) for r in got) == sorted((d, i) for d, h in enumerate(held) for i, x in enumerate(h) if count[x] > 1)
+
+    def shared(one, two):
+        return len(os.path.commonprefix([held[one.doc_id][one.seq:], held[two.doc_id][two.seq:]]))
+
+    assert [r.lcp for r in got] == [0] + [shared(a, b) for a, b in zip(got, got[1:])]
+    for n in range(0, len(got), 7):  # the least common prefix in between is that of the pair, as in any suffix array
+        for m in range(n + 1, len(got)):
+            assert shared(got[n], got[m]) == min(r.lcp for r in got[n + 1: m + 1])
+    assert all(r.ends[0] is not None for r in got if r.lcp >= 3)
+
+
 def test_quality_statistics_and_verdicts(spark):
     good = [(i, " ".join(f"word{(i * 31 + j * 7) % 5003}" for j in range(120)), "en", "s") for i in range(300)]
     bad = [(900, " ".join(f"word{j}$$$" for j in range(100)), "en", "s"), (901, "same three words " * 40, "en", None), (902, None, None, "s"), (903, "a\nb\na\na\n \n", "fr", "s")]
