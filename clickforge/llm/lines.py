@@ -15,7 +15,7 @@ its own. Longer copies need none: each of their lines but the last begins a shor
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from clickforge.llm.common import drop_scratch, keyed, parted, stored
@@ -65,19 +65,19 @@ def _repeated_lines(docs: DataFrame, min_lines: int, min_words: int | None) -> t
 
 def _rounds(lines: DataFrame) -> tuple[list[DataFrame], DataFrame, list[str]]:
     """Prefix doubling over ``lines``: (rid, seq, name) of the suffixes whose first 1, 2, 4, ... lines are repeated; last, all names; the paths."""
-    spark = lines.sparkSession
     now = lines.select("rid", "seq", "name", F.lit(True).alias("open"))
-    levels, paths, have = [], [], 1
-    while not now.where("open").isEmpty():
+    levels, paths, have, going = [], [], 1, not lines.isEmpty()
+    while going:
         levels.append(now.where("open").drop("open"))
         behind = Window.partitionBy("rid").orderBy("seq").rangeBetween(have, have)
         pairs = now.withColumn("next", F.first(F.struct("name", "open")).over(behind)).select(
             "rid", "seq", F.col("name").alias("a"), F.when(F.col("open"), F.coalesce("next.name", F.lit(-1))).otherwise(-1).alias("b"),
             (F.col("open") & F.coalesce("next.open", F.lit(False))).alias("open"))
-        keys = pairs.groupBy("a", "b").count().select("a", "b", (F.col("count") > 1).alias("again"))
-        names, written = stored(_sorted(keys, ["a", "b"], "name"), "names")
-        now, path = stored(pairs.join(names, ["a", "b"]).select("rid", "seq", "name", (F.col("open") & F.col("again")).alias("open")), "suffixes")
-        drop_scratch(spark, written)
+        names = _sorted(pairs.groupBy("a", "b").count().select("a", "b", (F.col("count") > 1).alias("again")), ["a", "b"], "name")
+        named = pairs.join(names, ["a", "b"]).select("rid", "seq", "name", (F.col("open") & F.col("again")).alias("open"))
+        seen = Observation()
+        now, path = stored(named.observe(seen, F.max("open").alias("open")), "suffixes")
+        going = bool(seen.get["open"])
         paths.append(path)
         have *= 2
     return levels, now.drop("open"), paths
