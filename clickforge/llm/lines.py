@@ -15,7 +15,7 @@ its own. Longer copies need none: each of their lines but the last begins a shor
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickforge.llm.common import drop_scratch, keyed, parted, stored
@@ -75,9 +75,8 @@ def _rounds(lines: DataFrame) -> tuple[list[DataFrame], DataFrame, list[str]]:
             (F.col("open") & F.coalesce("next.open", F.lit(False))).alias("open"))
         names = _sorted(pairs.groupBy("a", "b").count().select("a", "b", (F.col("count") > 1).alias("again")), ["a", "b"], "name")
         named = pairs.join(names, ["a", "b"]).select("rid", "seq", "name", (F.col("open") & F.col("again")).alias("open"))
-        seen = Observation()
-        now, path = stored(named.observe(seen, F.max("open").alias("open")), "suffixes")
-        going = bool(seen.get["open"])
+        now, path = stored(named, "suffixes")
+        going = not now.where("open").isEmpty()  # not observed by the write: with an observation in its session no MLlib model can be sent to tasks
         paths.append(path)
         have *= 2
     return levels, now.drop("open"), paths

@@ -563,3 +563,15 @@ def test_empty_tables(name, none, spark):
         "op6": lambda: minhash.near_duplicates(none), "op7": lambda: bpe.encode(none, bpe.load_ranks(spark, path), pattern),
         "op10": lambda: lines.drop_repeated_lines(none)}[name]()
     assert made.count() == 0
+
+
+def test_line_dedup_leaves_the_session_fit_for_models(spark):
+    """An observation in a session would keep a fitted linear model with its summary from being sent to tasks."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(i, "a b\nc d\ne f\ng h") for i in range(4)]
+    assert sorted(r.n_removed for r in lines.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [0, 4, 4, 4]
+    points = spark.createDataFrame([(float(i % 2), Vectors.dense(i, i % 2)) for i in range(20)], ["label", "features"])
+    scored = LogisticRegression(maxIter=5).fit(points).transform(points)
+    assert [r.prediction for r in scored.select("prediction").collect()] == [float(i % 2) for i in range(20)]
