@@ -8,6 +8,7 @@ responses with different payloads have different identifiers, and rows equal in
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
@@ -39,10 +40,18 @@ def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame
         body.alias("payload"), F.concat(F.lit("sha1:"), F.sha1(body)).alias("payload_digest"))
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once; behind a generator nothing else shares what stands in a row's expressions twice."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def _character(reference: Column) -> Column:
     """The character of one reference; unknown names stay as they are, numbers of no character give U+FFFD."""
     body = F.substring(reference, 2, 40)  # without the ampersand; a reference is shorter than this
-    body = F.left(body, F.char_length(body) - 1)
+    return _let(F.left(body, F.char_length(body) - 1), lambda b: _of_body(b, reference))
+
+
+def _of_body(body: Column, reference: Column) -> Column:
     hexed = F.lower(F.substring(body, 2, 1)) == "x"
     number = F.when(hexed, F.conv(F.substring(body, 3, 6), 16, 10)).otherwise(F.substring(body, 2, 7)).cast("int")
     real = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
@@ -55,9 +64,13 @@ def _character(reference: Column) -> Column:
 
 def decoded(text: Column) -> Column:
     """``text`` with its character references replaced, once: what a reference gives is not read again."""
+    return _let(text, lambda t: F.when(F.contains(t, F.lit("&")), _replaced(t)).otherwise(t))
+
+
+def _replaced(text: Column) -> Column:
     found = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), _character)
     parts = F.zip_with(F.split(text, REFERENCE, -1), found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
+    return F.array_join(parts, "")
 
 
 def plain_text(html: Column) -> Column:

@@ -575,3 +575,10 @@ def test_line_dedup_leaves_the_session_fit_for_models(spark):
     points = spark.createDataFrame([(float(i % 2), Vectors.dense(i, i % 2)) for i in range(20)], ["label", "features"])
     scored = LogisticRegression(maxIter=5).fit(points).transform(points)
     assert [r.prediction for r in scored.select("prediction").collect()] == [float(i % 2) for i in range(20)]
+
+
+def test_warc_text_is_made_once(spark):
+    pages = spark.createDataFrame([(1, "http://a", "<p>x &amp;amp; &#65;&nope;</p><script>&lt;</script>y")], "page_id long, url string, html string")
+    made = warc.derivatives(warc.responses(pages))
+    assert made.where("type = 'conversion'").first().block == "x &amp; A&nope;\ny"
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("<(script|style)") == 1
