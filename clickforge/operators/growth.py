@@ -35,6 +35,8 @@ DENSE_CELLS = 4_000_000
 # Cells of one row of the exchange, and of one padded block of the split search.
 EMIT_CELLS = 65_536
 SEARCH_CELLS = 1_000_000
+# Codes of the rows that a task walks at once; each takes some 100 bytes there.
+ROW_CODES = 1_000_000
 # An owner's share of a level's cells, and how many tasks may send to it before it is salted.
 OWNER_CELLS = 4_000_000
 SALT_FROM = 64
@@ -139,6 +141,17 @@ def _to_owners(layout: Layout, sums: tuple[np.ndarray, ...]) -> Iterator[pa.Reco
         yield from _records(int(owner[order[i]]), PARTIAL, tuple(x[mine] for x in sums))
 
 
+def _row_blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch (codes first), as many at a time as have ``ROW_CODES`` codes, or one."""
+    ends = np.cumsum(batch.column(0).value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin = 0
+    while begin < batch.num_rows:
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + ROW_CODES, side="right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def partial_cells(rows: DataFrame, shared: Broadcast[Layout], level: Level) -> DataFrame:
     """The partial histograms of ``rows`` (codes, g array, h array: one entry for each output), addressed to owners."""
 
@@ -161,7 +174,7 @@ def partial_cells(rows: DataFrame, shared: Broadcast[Layout], level: Level) -> D
         column_of = np.full(max(len(layout.code_start) - 1, 1), -1, np.int64)
         column_of[used] = np.arange(len(used))
 
-        for batch in batches:
+        for batch in (block for whole in batches for block in _row_blocks(whole)):
             lists = batch.column(0)
             owner = list_owner(lists)
             codes = lists.flatten().to_numpy(zero_copy_only=False)
@@ -182,7 +195,8 @@ def partial_cells(rows: DataFrame, shared: Broadcast[Layout], level: Level) -> D
                     cell, row = np.concatenate([cell, at * width + layout.num_codes]), np.concatenate([row, np.arange(n_rows)])
                 held.append((cell, g_all[row, o], h_all[row, o], np.ones(len(cell), np.int64)))
                 waiting += len(cell)
-            if waiting > max(DENSE_CELLS // 4, 250_000):
+                if waiting <= max(DENSE_CELLS // 4, 250_000):  # asked for each output: many of them would wait together
+                    continue
                 if dense:
                     _pour(dense, held)
                     held = []
@@ -190,7 +204,7 @@ def partial_cells(rows: DataFrame, shared: Broadcast[Layout], level: Level) -> D
                     held = [_added(held)]
                     if len(held[0][0]) > DENSE_CELLS // 2:
                         yield from _to_owners(layout, held.pop())
-                waiting = sum(len(x[0]) for x in held)
+                waiting = 0
         if dense:
             _pour(dense, held)
             filled = np.flatnonzero(dense[2])

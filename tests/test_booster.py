@@ -378,3 +378,40 @@ def test_auc_in_the_history(spark, planted):
     assert {name for _, name in last} == {"auc", "auc_bound", "logloss"}
     for split, value in exact.items():
         assert abs(last[split, "auc"] - value) <= last[split, "auc_bound"] + 1e-9
+
+
+def test_cells_of_many_outputs_do_not_wait_together():
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+
+    from clickforge.operators import growth
+    from clickforge.operators.walk import FlatTree
+
+    outputs, n, features = 20, 4000, 64
+    layout = growth.Layout(np.arange(features + 1) * 4, np.repeat(np.arange(features, dtype=np.int32), 4), np.array([0, features * 4]))
+    root = FlatTree.from_nodes([{"node": 0, "depth": 0, "is_leaf": True, "leaf_value": 0.0}])
+    level = growth.Level([root] * outputs, [(o, 0) for o in range(outputs)], [-1] * outputs, [-1] * outputs, np.zeros((outputs, 5)), True)
+    rows = SimpleNamespace(select=lambda *_: SimpleNamespace(mapInArrow=lambda run, schema: run))
+    run = growth.partial_cells(rows, SimpleNamespace(value=layout), level)
+    lists = lambda x: pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * (len(x) // n), pa.array(x))
+    codes = (np.arange(n * features) % features * 4 + np.arange(n * features) // features % 4).astype(np.int32)
+    batch = pa.RecordBatch.from_arrays([lists(codes), lists(np.ones(n * outputs)), lists(np.ones(n * outputs))], names=["codes", "g", "h"])
+    tracemalloc.start()
+    made = list(run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sum(b.column(5)[0].as_py()) for b in made) == outputs * n * (features + 1)
+    assert peak < 100e6
+
+
+def test_rows_of_many_codes_are_walked_in_blocks(monkeypatch):
+    import pyarrow as pa
+
+    from clickforge.operators import growth
+
+    monkeypatch.setattr(growth, "ROW_CODES", 4)
+    batch = pa.RecordBatch.from_pydict({"codes": pa.array([[1, 2], [3], [], None, [4] * 9, [5], [6, 7]], pa.list_(pa.int32()))})
+    assert [b.num_rows for b in growth._row_blocks(batch)] == [4, 1, 2]
