@@ -1,7 +1,7 @@
 """Logistic regressions for a whole grid of penalties in the same passes.
 
 A pass computes loss, gradient and second derivatives of every setting's coefficients at once: a task multiplies its rows with the matrix of
-all coefficients and sends, for each setting and feature, one row of sums. Rows of one setting and feature are added up by whoever
+all coefficients (rows of few entries, such as one-hot leaves, entry by entry and pair by pair, whatever the width) and sends, for each setting and feature, one row of sums. Rows of one setting and feature are added up by whoever
 gets them; the driver receives settings x features rows of that length and solves each setting's penalised quadratic model by
 coordinate descent. A handful of passes serves the grid, whatever its size. The objective is that of the elastic-net classifier:
 mean loss plus penalties on coefficients of features scaled to unit deviation, intercept free.
@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from clickforge.operators.sparse import feats_column, list_owner
-from clickforge.operators.walk import dense_columns
 
 # Widest feature space of a pass: second derivatives are settings x width x width numbers.
 MAX_WIDTH = 512
 SUMS_SCHEMA = "place int, sums array<double>"
 ROWS_AT_ONCE = 2048
+# A block whose rows' pairs of entries, times this, are fewer than its rows' cells of second derivatives goes pair by pair.
+DENSE_FROM = 16
 
 
 @dataclass(frozen=True)
@@ -47,8 +48,8 @@ class LinearFit:
     passes: int
 
 
-def _blocks(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(features, labels) of some rows at a time, a row of the matrix for each feature; absent ones are 0."""
+def _blocks(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, feature, value, labels) of some rows at a time: their entries by row and feature, the last value of a repeated one; NaN is 0."""
     for i in range(0, batch.num_rows, ROWS_AT_ONCE):
         lists = batch.column(1).slice(i, ROWS_AT_ONCE)
         entries = lists.flatten()
@@ -56,8 +57,20 @@ def _blocks(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, np.
         if len(ids) and (ids.min() < 0 or ids.max() >= width):
             raise ValueError("a feature id lies outside the feature space")
         values = entries.field("v").to_numpy(zero_copy_only=False)
-        x = dense_columns(list_owner(lists), ids, values, width, len(lists))
-        yield np.nan_to_num(x, copy=False, nan=0.0), batch.column(0).slice(i, ROWS_AT_ONCE).to_numpy(zero_copy_only=False)
+        owner = list_owner(lists)
+        key = owner * width + ids
+        if np.any(np.diff(key) <= 0):
+            _, back = np.unique(key[::-1], return_index=True)
+            last = len(key) - 1 - back
+            owner, ids, values = owner[last], ids[last], values[last]
+        yield owner, ids, np.nan_to_num(values, nan=0.0), batch.column(0).slice(i, ROWS_AT_ONCE).to_numpy(zero_copy_only=False)
+
+
+def _pairs(owner: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of every two entries of one row, the first not behind the second; entries stand by row, ``size`` is how many each has."""
+    left = np.cumsum(size)[owner] - np.arange(len(owner))  # entries of the row from this one on
+    first = np.repeat(np.arange(len(owner)), left)
+    return first, first + np.arange(len(first)) - np.repeat(np.cumsum(left) - left, left)
 
 
 def _added(parts: DataFrame) -> dict[int, np.ndarray]:
@@ -85,8 +98,8 @@ def _moments(rows: DataFrame, width: int) -> tuple[float, float, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(2 * width + 2)
         for batch in batches:
-            for x, y in _blocks(batch, width):
-                total += np.concatenate([[len(y), y.sum()], x.sum(axis=1), (x * x).sum(axis=1)])
+            for _, ids, x, y in _blocks(batch, width):
+                total += np.concatenate([[len(y), y.sum()], np.bincount(ids, x, width), np.bincount(ids, x * x, width)])
         yield _sums({0: total})
 
     total = _added(rows.mapInArrow(run, SUMS_SCHEMA)).get(0, np.zeros(2 * width + 2))
@@ -100,16 +113,36 @@ def _derivatives(rows: DataFrame, scale: np.ndarray, at: np.ndarray) -> tuple[np
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loss, grad, second = np.zeros(models), np.zeros((models, width + 1)), np.zeros((models, width + 1, width + 1))
+        upper = np.zeros((models, width * width))  # from blocks of few entries, features in rising order
         for batch in batches:
-            for x, y in _blocks(batch, width):
-                z = np.vstack([x * scale[:, None], np.ones(len(y))])
-                margin = at @ z
+            for owner, ids, values, y in _blocks(batch, width):
+                x, n = values * scale[ids], len(y)
+                size = np.bincount(owner, minlength=n)
+                if sparse := DENSE_FROM * int((size * (size + 1) // 2).sum()) < n * width * width:
+                    margin = np.stack([np.bincount(owner, b[ids] * x, n) for b in at]) + at[:, -1:]
+                else:
+                    z = np.vstack([np.zeros((width, n)), np.ones(n)])
+                    z[ids, owner] = x
+                    margin = at @ z
                 p = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
                 loss += (np.logaddexp(0, margin) - y * margin).sum(axis=1)
-                grad += (p - y) @ z.T
                 weight = p * (1 - p)
-                for m in range(models):
-                    second[m] += (z * weight[m]) @ z.T
+                if sparse:
+                    a, b = _pairs(owner, size)
+                    row, cell, product = owner[a], ids[a] * width + ids[b], x[a] * x[b]
+                    for m in range(models):
+                        grad[m] += np.append(np.bincount(ids, (p[m] - y)[owner] * x, width), (p[m] - y).sum())
+                        upper[m] += np.bincount(cell, weight[m][row] * product, width * width)
+                        border = np.bincount(ids, weight[m][owner] * x, width)
+                        second[m, -1] += np.append(border, weight[m].sum())
+                        second[m, :-1, -1] += border
+                else:
+                    grad += (p - y) @ z.T
+                    for m in range(models):
+                        second[m] += (z * weight[m]) @ z.T
+        for m in range(models):
+            half = upper[m].reshape(width, width)
+            second[m, :-1, :-1] += half + np.triu(half, 1).T
         for m in range(models):  # a place for each row of the second derivatives; the loss and the gradient come with the first
             head = np.concatenate([[loss[m]], grad[m]])
             yield _sums({m * (width + 1) + i: np.concatenate([second[m, i], head if i == 0 else []]) for i in range(width + 1)})

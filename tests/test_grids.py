@@ -101,3 +101,67 @@ def test_estimator_fits_a_grid_together(spark, planted):
         assert models[i].getOrDefault("maxDepth") == p[trees.maxDepth] and "leaves" in models[i].transform(rows).columns
         alone = trees.fit(rows, p).ensemble.nodes
         assert [(n["tree"], n["feature"], n["threshold"]) for n in models[i].ensemble.nodes] == [(n["tree"], n["feature"], n["threshold"]) for n in alone]
+
+
+class _Local:
+    """Enough of a DataFrame for the passes of a linear grid, in this process."""
+
+    def __init__(self, batches):
+        self.batches = batches
+
+    def mapInArrow(self, run, schema):
+        return _Local(list(run(iter(self.batches))))
+
+    def repartition(self, *keys):
+        return self
+
+    def collect(self):
+        from types import SimpleNamespace
+
+        return [SimpleNamespace(**r) for b in self.batches for r in b.to_pylist()]
+
+
+def _batch(rows):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.array([float(y) for y, _ in rows]), pa.array(
+        [[{"f": f, "v": v} for f, v in x] for _, x in rows], pa.list_(pa.struct([("f", pa.int32()), ("v", pa.float64())])))], names=["y", "feats"])
+
+
+def test_derivatives_by_pairs_and_by_matrix():
+    import numpy as np
+
+    from clickforge.operators import linear_grid
+
+    draw, width = np.random.default_rng(5), 20
+    few = [(i % 2, [(int(f), float(draw.normal())) for f in draw.choice(width, i % 4, replace=False)]) for i in range(50)]
+    few[7] = (1, [(3, 5.0), (1, 2.0), (3, -1.0), (4, None), (1, float("nan"))])  # the last of a feature counts, null and NaN are 0
+    many = [(i % 3 == 0, [(f, float(draw.normal())) for f in range(width)]) for i in range(30)]
+    scale, at = draw.uniform(0.5, 2, width), draw.normal(size=(3, width + 1))
+    x, y = np.zeros((81, width + 1)), np.array([float(r[0]) for r in few + many] + [0.0])[:80]
+    x = x[:80]
+    for i, (_, entries) in enumerate(few + many):
+        for f, v in entries:
+            x[i, f] = 0.0 if v is None or v != v else v * scale[f]
+        x[i, -1] = 1.0
+    loss, grad, second = linear_grid._derivatives(_Local([_batch(few), _batch(many)]), scale, at)
+    z = x @ at.T
+    p = 1 / (1 + np.exp(-z))
+    assert np.allclose(loss, (np.logaddexp(0, z) - y[:, None] * z).sum(axis=0))
+    assert np.allclose(grad, ((p - y[:, None]).T @ x))
+    for m in range(3):
+        assert np.allclose(second[m], (x * (p * (1 - p))[:, m:m + 1]).T @ x)
+
+
+def test_one_hot_rows_cost_by_their_entries():
+    import time
+
+    import numpy as np
+
+    from clickforge.operators import linear_grid
+
+    width = 500
+    batch = _batch([(i % 2, [(100 * t + (i * 7 + t) % 100, 1.0) for t in range(5)]) for i in range(20_000)])
+    began = time.process_time()
+    linear_grid._derivatives(_Local([batch]), np.ones(width), np.zeros((9, width + 1)))
+    assert time.process_time() - began < 4
