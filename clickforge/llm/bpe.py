@@ -31,16 +31,16 @@ SLOTS = 1 << 12
 TABLE_PIECES = 16_384
 FOLD_BYTES = 16
 #: Pieces a task remembers beside that table.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 100_000
 #: Pieces a task counts before it sends them on.
-COUNTED_PIECES = 300_000
+COUNTED_PIECES = 100_000
 #: Pieces of at most so many bytes are merged together, so many at once; longer ones one by one with a heap.
 SHORT = 64
-STEP_PIECES = 8_192
+STEP_PIECES = 2_048
 #: More than any rank.
 NO_PAIR = 1 << 40
 #: Texts are taken together until they have so many characters.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 
 
 def load_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:

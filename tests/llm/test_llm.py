@@ -582,3 +582,18 @@ def test_warc_text_is_made_once(spark):
     made = warc.derivatives(warc.responses(pages))
     assert made.where("type = 'conversion'").first().block == "x &amp; A&nope;\ny"
     assert made._jdf.queryExecution().optimizedPlan().toString().count("<(script|style)") == 1
+
+
+def test_bpe_merges_hold_little_at_a_time():
+    import tracemalloc
+
+    ranks = {bytes([i]): i for i in range(256)} | {bytes([97 + i, 97 + j]): 256 + 26 * i + j for i in range(26) for j in range(26)}
+    draw = random.Random(3)
+    pieces = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=60)).encode() for _ in range(8192)]
+    pairs = bpe.PairTable(ranks)
+    tracemalloc.start()
+    ids, size = bpe.merge_many(pieces, pairs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(ids) == size.sum() and list(ids[: size[0]]) == bpe.merge(pieces[0], ranks)
+    assert peak < 20e6, peak
