@@ -7,7 +7,8 @@ sorting the distinct pairs by range over all partitions, so equal prefixes have
 settled when no other has its prefix or the prefix passes the document's end; it keeps its place, and the rounds end when all are settled.
 
 The suffix array is the order of the last names. The longest common prefix of two neighbours is added up from the kept rounds, the
-longest first: where both have the same 2^k lines behind what they share so far, they share these too. Neighbours that share enough
+longest first: where both have the same 2^k lines behind what they share so far, they share these too. Two neighbours enter at the last
+round in which both were open, as they share no longer prefix; most copies are of one line and need no round. Neighbours that share enough
 lines form the intervals; in each, the first copy stays, and the windows of all others merge to the maximal runs that are deleted.
 A copy is ``min_lines`` long; with ``min_words``, 1, 2, ... lines with that many words are one too, and each of these lengths has intervals of
 its own. Longer copies need none: each of their lines but the last begins a shorter copy, and the windows of these cover them.
@@ -64,17 +65,21 @@ def _repeated_lines(docs: DataFrame, min_lines: int, min_words: int | None) -> t
 
 
 def _rounds(lines: DataFrame) -> tuple[list[DataFrame], DataFrame, list[str]]:
-    """Prefix doubling over ``lines``: (rid, seq, name) of the suffixes whose first 1, 2, 4, ... lines are repeated; last, all names; the paths."""
-    now = lines.select("rid", "seq", "name", F.lit(True).alias("open"))
+    """Prefix doubling over ``lines``: (rid, seq, name) of the suffixes whose first 1, 2, 4, ... lines are repeated; last, all names; the paths.
+
+    All names come with ``top``: the place of the last of the former tables that has the suffix.
+    """
+    now = lines.select("rid", "seq", "name", F.lit(True).alias("open"), F.lit(0).alias("top"))
     levels, paths, have, going = [], [], 1, not lines.isEmpty()
     while going:
-        levels.append(now.where("open").drop("open"))
+        levels.append(now.where("open").drop("open", "top"))
         behind = Window.partitionBy("rid").orderBy("seq").rangeBetween(have, have)
         pairs = now.withColumn("next", F.first(F.struct("name", "open")).over(behind)).select(
             "rid", "seq", F.col("name").alias("a"), F.when(F.col("open"), F.coalesce("next.name", F.lit(-1))).otherwise(-1).alias("b"),
-            (F.col("open") & F.coalesce("next.open", F.lit(False))).alias("open"))
+            (F.col("open") & F.coalesce("next.open", F.lit(False))).alias("open"), "top")
         names = _sorted(pairs.groupBy("a", "b").count().select("a", "b", (F.col("count") > 1).alias("again")), ["a", "b"], "name")
-        named = pairs.join(names, ["a", "b"]).select("rid", "seq", "name", (F.col("open") & F.col("again")).alias("open"))
+        still = F.col("open") & F.col("again")
+        named = pairs.join(names, ["a", "b"]).select("rid", "seq", "name", still.alias("open"), F.when(still, len(levels)).otherwise(F.col("top")).alias("top"))
         now, path = stored(named, "suffixes")
         going = not now.where("open").isEmpty()  # not observed by the write: with an observation in its session no MLlib model can be sent to tasks
         paths.append(path)
@@ -103,19 +108,38 @@ def suffix_array(docs: DataFrame, min_lines: int = 3, min_words: int | None = No
     first = lines.withColumnRenamed("name", "line")
     array, path = stored(_sorted(first.join(last, ["rid", "seq"]), ["name", *PLACE], "at").drop("name"), "array")
     parts = array.withColumn("part", F.shiftright("at", PART_BITS))
-    this = F.struct("at", "line", "rid", "seq")
+    this = F.struct("at", "line", "rid", "seq", "top")
     inside = F.lag(this).over(Window.partitionBy("part").orderBy("at"))
-    pairs = parts.withColumn("inside", inside).join(_before(parts, {"outside": this}), "part").withColumn("p", F.coalesce("inside", "outside")).where(
-        "p.line = line").select("at", "rid", "seq", F.col("p.rid").alias("rid2"), F.col("p.seq").alias("seq2"), F.lit(0).alias("lcp"))
+    pairs, met = stored(parts.withColumn("inside", inside).join(_before(parts, {"outside": this}), "part").withColumn("p", F.coalesce("inside", "outside")).where(
+        "p.line = line").select("at", "rid", "seq", F.col("p.rid").alias("rid2"), F.col("p.seq").alias("seq2"), F.least("top", "p.top").alias("top")), "pairs")
+    shared, steps = _shared_lines(pairs, levels)
+    out = stored(array.drop("line", "top").join(shared, "at", "left").fillna(0, ["lcp"]), "lcp")
+    for done in (base, path, met, *paths, *steps):
+        drop_scratch(spark, done)
+    return out
+
+
+def _shared_lines(pairs: DataFrame, levels: list[DataFrame]) -> tuple[DataFrame, list[str]]:
+    """(at, lcp) of ``pairs`` of suffixes with the same first line, and the paths of what it is read from.
+
+    Each round is written: one plan of all would hold two joins a round, and every stage that ends has it planned again.
+    """
+    done, paths = pairs.where("top = 0").select("at", F.lit(1).alias("lcp")), []
+    going = None
     for k in reversed(range(len(levels))):
+        # At 0 nothing enters: two lines are not shared, and the first one is.
+        now = pairs.where(F.col("top") == k).withColumn("lcp", F.lit(0)) if k else None
+        now = now if going is None or now is None else going.unionByName(now)
+        now = going if now is None else now
+        if now is None:
+            break
         here = levels[k].select("rid", F.col("seq").alias("x"), F.col("name").alias("one"))
         there = levels[k].select(F.col("rid").alias("rid2"), F.col("seq").alias("y"), F.col("name").alias("two"))
-        pairs = pairs.withColumns({"x": F.col("seq") + F.col("lcp"), "y": F.col("seq2") + F.col("lcp")}).join(here, ["rid", "x"], "left").join(
-            there, ["rid2", "y"], "left").select("at", "rid", "seq", "rid2", "seq2", (F.col("lcp") + F.when(F.col("one") == F.col("two"), 1 << k).otherwise(0)).alias("lcp"))
-    out = stored(array.drop("line").join(pairs.select("at", "lcp"), "at", "left").fillna(0, ["lcp"]), "lcp")
-    for done in (base, path, *paths):
-        drop_scratch(spark, done)
-    return out
+        step = now.withColumns({"x": F.col("seq") + F.col("lcp"), "y": F.col("seq2") + F.col("lcp")}).join(here, ["rid", "x"], "left").join(
+            there, ["rid2", "y"], "left").select("at", "rid", "seq", "rid2", "seq2", "top", (F.col("lcp") + F.when(F.col("one") == F.col("two"), 1 << k).otherwise(0)).alias("lcp"))
+        going, path = stored(step, "shared")
+        paths.append(path)
+    return done if going is None else done.unionByName(going.select("at", "lcp")), paths
 
 
 def suffix_intervals(array: DataFrame, lengths: list[int]) -> DataFrame:

@@ -250,6 +250,25 @@ def test_suffix_array_brute_force(spark):
     assert all(r.ends[0] is not None for r in got if r.lcp >= 3)
 
 
+def test_suffix_array_joins_only_what_shares_more_lines(spark, monkeypatch):
+    """Common prefixes: two joins in a written plan, however many rounds; neighbours that share one line are in none."""
+    run = "\n".join(f"r{i}" for i in range(20))
+    texts = [run, run] + [f"own{i}\ncommon\nalso{i}" for i in range(200)]
+    held, plans = lines.stored, []
+
+    def counted(df, name):
+        out = held(df, name)
+        plans.append((name, df._jdf.queryExecution().analyzed().toString().count("Join LeftOuter"), out[0].count()))
+        return out
+
+    monkeypatch.setattr(lines, "stored", counted)
+    array, _ = lines.suffix_array(keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    got = array.collect()
+    assert sum(r.lcp == 1 for r in got) == 200 and sum(r.lcp for r in got) == 199 + 20 * 21 // 2
+    assert max(joins for _, joins, _ in plans) <= 2
+    assert [n for name, _, n in plans if name == "shared"] == [5, 13, 17, 19, 19]
+
+
 def test_quality_statistics_and_verdicts(spark):
     good = [(i, " ".join(f"word{(i * 31 + j * 7) % 5003}" for j in range(120)), "en", "s") for i in range(300)]
     bad = [(900, " ".join(f"word{j}$$$" for j in range(100)), "en", "s"), (901, "same three words " * 40, "en", None), (902, None, None, "s"), (903, "a\nb\na\na\n \n", "fr", "s")]
