@@ -205,10 +205,14 @@ def _add_round(trees: list[FlatTree | None], shared: Broadcast[Layout]) -> Colum
 
 @dataclass
 class BoostResult:
-    """The fitted model and, when metrics were asked for, ``(round, split, metric, value)`` rows."""
+    """The fitted model and, when metrics were asked for, ``(round, split, metric, value)`` rows.
+
+    ``partitions``: the number in which the training rows came.
+    """
 
     model: TreeEnsemble
     history: list[tuple[int, str, str, float | None]]
+    partitions: int = 0
 
     def history_df(self, spark) -> DataFrame:
         return spark.createDataFrame(self.history, "round int, split string, metric string, value double")
@@ -236,15 +240,15 @@ def prepare_rows(df: DataFrame, features, label: str, options: BoostOptions, spl
         rows = rows.withColumn("row_id", F.xxhash64("label", "feats"))
     cuts = find_cuts(rows.filter(F.col("split") == "train"), "feats", options.max_bins, missing=options.missing)
     binned = rows.select("row_id", "label", "split", bin_codes(F.col("feats"), cuts, options.missing).alias("codes"), "margins")
-    return _even_out(binned, cuts.input_partitions, options), cuts
+    return even_out(binned, cuts.input_partitions, options.partitions), cuts
 
 
-def _even_out(binned: DataFrame, partitions: int, options: BoostOptions) -> DataFrame:
-    """Deal rows out evenly where they came in fewer partitions than there are cores."""
-    cores = binned.sparkSession.sparkContext.defaultParallelism
-    if options.partitions or partitions < cores:
-        return binned.repartition(options.partitions or cores)
-    return binned
+def even_out(rows: DataFrame, partitions: int, wanted: int | None = None) -> DataFrame:
+    """Deal rows out evenly, into ``wanted`` partitions or where they came in fewer than there are cores."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if wanted or partitions < cores:
+        return rows.repartition(wanted or cores)
+    return rows
 
 
 def _reread(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
@@ -296,7 +300,7 @@ def fit_boosted_grid(df: DataFrame, features, label: str, settings: Sequence[Boo
             o = settings[i]
             whole = found[replace(o, num_round=0)]
             nodes = [n for n in whole.model.nodes if n["tree"] < o.num_round * o.num_class]
-            results[i] = BoostResult(TreeEnsemble(nodes, o.num_class, o.missing), [h for h in whole.history if h[0] < o.num_round])
+            results[i] = BoostResult(TreeEnsemble(nodes, o.num_class, o.missing), [h for h in whole.history if h[0] < o.num_round], whole.partitions)
     return results
 
 
@@ -347,7 +351,7 @@ def _fit_together(df: DataFrame, features, label: str, models: list[BoostOptions
             copy.unpersist()
         drop_scratch(spark, path)
         shared.unpersist()
-    return [BoostResult(TreeEnsemble(nodes[m], k, o.missing), history[m]) for m, o in enumerate(models)]
+    return [BoostResult(TreeEnsemble(nodes[m], k, o.missing), history[m], cuts.input_partitions) for m, o in enumerate(models)]
 
 
 def _evaluate(rows: DataFrame, round_: int, metrics: dict[str, Metric], models: int) -> list[list[tuple]]:

@@ -11,7 +11,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickforge.operators.booster import BoostOptions, fit_boosted_trees
+from clickforge.operators.booster import BoostOptions, even_out, fit_boosted_trees
 from clickforge.operators.features import hashing_tf, index_to_string, tokenizer
 from clickforge.operators.linear import logistic_regression
 from clickforge.operators.metrics import evaluate_splits
@@ -75,8 +75,10 @@ def train_trees_linear(df: DataFrame, features, label: str = "label", split: str
     ``stack_raw`` puts the raw features beside the leaves (``raw_size`` is their number).
     ``vocabulary_splits`` chooses the splits whose leaves are known to the encoding.
     """
-    trees = fit_boosted_trees(df, features, label, options, split=split, row_id=row_id).model
-    leaved = tree_leaf(df, trees, features).persist(StorageLevel.MEMORY_AND_DISK)
+    grown = fit_boosted_trees(df, features, label, options, split=split, row_id=row_id)
+    trees = grown.model
+    # A few large files would leave every pass of the regression, and the scoring, to as few tasks.
+    leaved = tree_leaf(even_out(df, grown.partitions), trees, features).persist(StorageLevel.MEMORY_AND_DISK)
     vocabulary = string_leaf_vocabulary(leaved.filter(F.col(split).isin(*vocabulary_splits)))
     encoded = leaf_vector(leaved, vocabulary, output="leaf_features")
     inputs = "leaf_features"

@@ -43,6 +43,15 @@ def test_stacked_features_and_wider_vocabulary(spark, planted):
     assert job.evaluation.count() == 3
 
 
+def test_trees_linear_deals_out_rows_of_few_partitions(spark, planted):
+    """Rows of one file are encoded, fitted and scored on all cores, each once."""
+    rows = planted.fillna(0, ["k_seen"]).coalesce(1)
+    job = jobs.train_trees_linear(rows, views.NUMERIC, row_id="row_id", options=QUICK, stack_raw=True, reg=0.01)
+    held = job.scored.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    assert len(held) == spark.sparkContext.defaultParallelism and max(r["count"] for r in held) < 2 * min(r["count"] for r in held)
+    assert sorted(r[0] for r in job.scored.select("row_id").collect()) == sorted(r[0] for r in rows.select("row_id").collect())
+
+
 def test_estimator_matches_the_function_and_survives_saving(spark, assembled, tmp_path):
     estimator = BoostedTreesClassifier(numRound=2, maxDepth=3, eta=0.5, leafCol="leaves", splitCol="split")
     model = estimator.fit(assembled)
