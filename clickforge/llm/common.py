@@ -8,6 +8,7 @@ so a task holds a small multiple of that (or of its longest text) whatever the b
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +18,12 @@ from pyspark.sql import functions as F
 
 from clickforge.shared import broadcast_within, drop_scratch, scratch_path
 
-__all__ = ["broadcast_within", "drop_scratch", "scratch_path", "ALPHANUMERIC", "Words", "word_chunks", "ngram_hashes", "rolling", "mix64", "stored", "keyed", "parted", "row_id"]
+__all__ = ["broadcast_within", "drop_scratch", "scratch_path", "ALPHANUMERIC", "Words", "word_chunks", "ngram_hashes", "rolling", "mix64", "small_batches", "stored", "keyed", "parted", "row_id"]
 
 CHUNK_BYTES = 1 << 20
+#: Bytes of rows that an Arrow function gets at a time. Spark's own limits, 10,000 rows or 64 MB, let an executor's buffers outside the heap
+#: and those of its Python workers grow with the texts, and neither gives back what it had once.
+BATCH_BYTES = 2 << 20
 #: Ids that may be broadcast: 8 bytes each, so at most some tens of megabytes in an executor.
 BROADCAST_IDS = 1_000_000
 
@@ -148,11 +152,29 @@ def ngram_hashes(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return at, total[at]
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile what runs hands its Arrow functions ``BATCH_BYTES`` of rows at a time; a limit that the session was given holds."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if name in spark.conf.getAll:
+        yield
+        return
+    spark.conf.set(name, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name)
+
+
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``df`` written to the shared folder and read again, and where: it survives a lost executor and cuts the plan."""
+    """``df`` written to the shared folder and read again, and where: it survives a lost executor and cuts the plan.
+
+    Its Arrow functions run here, in small batches.
+    """
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

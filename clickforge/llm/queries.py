@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickforge.llm import bpe, decontaminate, html, importance, lines, minhash, quality, search, secrets, substring, toxicity, urls, warc
+from clickforge.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,9 +142,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = tokenizer()
     ranks = bpe.load_ranks(spark, path)
     both = bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern, decoded=True)
-    return both.select(
+    made = both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+    return stored(made, "digests")[0]
 
 
 @query()

@@ -4,13 +4,17 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("clickforge.llm")
 tiktoken = pytest.importorskip("tiktoken")
 
 import corpus_pipeline  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
 from clickforge.llm import bpe, queries  # noqa: E402
+from clickforge.llm.common import BATCH_BYTES, stored  # noqa: E402
 
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
 
@@ -139,3 +143,30 @@ def test_near_stage_goes_by_rows(spark):
     out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     want = [(5, two), (1, one + " x"), (7, None), (8, ""), (None, "own words"), (9, "fine")]
     assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
+
+
+def test_stored_tables_run_arrow_functions_in_small_batches(spark):
+    """12 MB of texts in one partition were one batch; a limit of the session's own holds, and none stays behind."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    texts = spark.range(0, 3000, 1, 1).select("id", F.repeat(F.lit("text"), 1024).alias("text"))
+    made = [r.n for r in stored(texts.mapInArrow(sizes, "n long"), "sizes")[0].collect()]
+    assert sum(made) == 3000 and 4096 * max(made) <= 1.1 * BATCH_BYTES
+    assert limit not in spark.conf.getAll
+    spark.conf.set(limit, 256 << 10)
+    try:
+        assert 4096 * max(r.n for r in stored(texts.mapInArrow(sizes, "n long"), "sizes")[0].collect()) <= 1.1 * (256 << 10)
+        assert int(spark.conf.get(limit).rstrip("b")) == 256 << 10
+    finally:
+        spark.conf.unset(limit)
+
+
+def test_byte_pairs_are_made_in_the_stage(spark, sf):
+    """What is left to the caller has no Arrow function, which would get the session's large batches."""
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+    plans = [corpus_pipeline.byte_bpe(spark, docs, sf), queries.op7_byte_bpe(spark, sf)]
+    assert not any("MapInArrow" in df._jdf.queryExecution().toString() for df in plans)
